@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cartwise import oracle as O
 from cartwise.functions.columns import round_doubles
 from cartwise.operators import features as FT
-from cartwise.sources.adapter import adapt
+from cartwise.sources.adapter import load_basket
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -42,4 +42,4 @@ def oracle_sql() -> dict[str, str]:
     O.basket_cte("part"), O.features_cte(),
     body=O.rounded_select(O.FEATURE_COLS_TYPES, "features")))
 def customer_product_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_doubles(FT.build_features(adapt(spark, sf_dir, "part")))
+    return round_doubles(FT.build_features(load_basket(spark, sf_dir, "part")))
