@@ -45,9 +45,6 @@ def _make_numberer(key_names: list[str], lag_names: list[str], integral_lags: se
     def number(batches):
         import numpy as np
         import pandas as pd
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
         prev_key = None          # key tuple of the last row already seen
         prev_run = 0             # its local row number
         prev_vals = None         # lag-source values of that row
@@ -77,7 +74,6 @@ def _make_numberer(key_names: list[str], lag_names: list[str], integral_lags: se
             last = np.ones(m, dtype=bool)
             last[:-1] = ~same[1:]
             out = pdf.copy()
-            out["_seq_pid"] = np.int32(pid)
             out["_seq_rn"] = rn
             head = np.zeros(m, dtype=bool)
             if first:
@@ -122,12 +118,15 @@ def sequence_within(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
     sort_cols = keys + order_by
     ranged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
     fields = list(ranged.schema.fields)
+    # The range partition index, taken from the partition itself (inside a union
+    # the task's partition id is the union's index, not this one).
+    ranged = ranged.withColumn("_seq_pid", F.spark_partition_id())
     integral = {c for c in lag_names if isinstance(ranged.schema[c].dataType, _INTEGRAL)}
     lag_fields = [T.StructField(f"_seq_lag_{i}",
                                 T.LongType() if c in integral else T.DoubleType())
                   for i, c in enumerate(lag_names)]
     schema = T.StructType(fields + [
-        T.StructField("_seq_pid", T.IntegerType()),
+        T.StructField("_seq_pid", T.IntegerType(), False),
         T.StructField("_seq_rn", T.LongType()),
         T.StructField("_seq_head", T.BooleanType()),
         T.StructField("_seq_tail", T.BooleanType()),
@@ -145,7 +144,8 @@ def sequence_within(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
     heads = edges.filter("_seq_head").select(
         F.col("_seq_pid").alias("_h_pid"), *[F.col(f"_k{i}").alias(f"_h{i}") for i in range(len(keys))])
     kcols = [f"_k{i}" for i in range(len(keys))]
-    w_key = Window.partitionBy(*kcols).orderBy("_seq_pid").rowsBetween(Window.unboundedPreceding, 0)
+    w_key = (Window.partitionBy(*kcols) if kcols else Window).orderBy("_seq_pid") \
+        .rowsBetween(Window.unboundedPreceding, 0)
     w_all = Window.orderBy("_seq_pid")  # over <= n tail rows
     tails = (tails
              .withColumn("_cum", F.sum("_seq_rn").over(w_key))
@@ -166,7 +166,7 @@ def sequence_within(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
               .drop("_o_pid", "_b_pid"))
 
     joined = seq.join(F.broadcast(bounds), seq["_seq_pid"] == bounds["_b_key"], "left")
-    cont = F.col("_bp0").isNotNull() if keys else F.lit(False)
+    cont = F.col("_b_cum").isNotNull()
     for i, k in enumerate(keys):
         cont = cont & F.col(k).eqNullSafe(F.col(f"_bp{i}"))
     cont = F.coalesce(cont, F.lit(False))

@@ -135,3 +135,102 @@ FEATURE_COLS_TYPES = [(f.name, f.dataType.simpleString()) for f in FEATURE_SCHEM
 
 def with_ctes(*ctes: str, body: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n" + body
+
+
+def _md5_key(salt: str) -> str:
+    return ("md5(concat_ws('-', CAST(user_id AS VARCHAR), CAST(product_id AS VARCHAR), "
+            f"'42{salt}'))")
+
+
+def labels_cte() -> str:
+    """CTEs labelled, split (with is_test), train, test, balanced (over features)."""
+    return f"""
+lab_future AS (
+  SELECT DISTINCT user_id, product_id FROM b_lines WHERE eval_set = 'train'),
+labelled AS (
+  SELECT f.*, CAST(CASE WHEN x.user_id IS NULL THEN 0 ELSE 1 END AS INTEGER) AS target
+  FROM features f LEFT JOIN lab_future x
+    ON f.user_id = x.user_id AND f.product_id = x.product_id),
+sp_cnt AS (SELECT target, count(*) AS n FROM labelled GROUP BY target),
+sp_tot AS (SELECT sum(n) AS n_all, CAST(ceil(CAST(0.2 AS DOUBLE) * sum(n)) AS BIGINT) AS k
+           FROM sp_cnt),
+sp_q AS (SELECT c.target, (t.k * c.n) // t.n_all AS base, (t.k * c.n) % t.n_all AS rem, t.k
+         FROM sp_cnt c CROSS JOIN sp_tot t),
+sp_quota AS (
+  SELECT target, base + CASE WHEN row_number() OVER (ORDER BY rem DESC, target)
+                                  <= k - sum(base) OVER () THEN 1 ELSE 0 END AS quota
+  FROM sp_q),
+sp_rank AS (
+  SELECT l.*, row_number() OVER (PARTITION BY target ORDER BY {_md5_key('')}, user_id, product_id)
+         AS rk
+  FROM labelled l),
+split AS (
+  SELECT r.* EXCLUDE (rk), r.rk <= q.quota AS is_test
+  FROM sp_rank r JOIN sp_quota q ON r.target = q.target),
+train AS (SELECT * EXCLUDE (is_test) FROM split WHERE NOT is_test),
+test AS (SELECT * EXCLUDE (is_test) FROM split WHERE is_test),
+bal_pos AS (SELECT count(*) AS n_pos FROM train WHERE target = 1),
+bal_neg AS (
+  SELECT t.*, row_number() OVER (ORDER BY {_md5_key(':balance')}, user_id, product_id) AS rk
+  FROM train t WHERE target = 0),
+balanced AS (
+  SELECT * FROM train WHERE target = 1
+  UNION ALL
+  SELECT b.* EXCLUDE (rk) FROM bal_neg b JOIN bal_pos p ON b.rk <= p.n_pos)"""
+
+
+def per_class_sample_sql(source: str, size: int, salt: str, proportional_int: bool) -> str:
+    """SELECT of a stratified sample of ``size`` rows from ``source``.
+
+    proportional_int: positives = int(size·rate), negatives = rest (CV sample);
+    otherwise largest-remainder quotas (tuning sample).
+    """
+    if proportional_int:
+        quota = f"""
+q AS (SELECT 1 AS target, CAST(floor({size} * CAST(p AS DOUBLE) / n) AS BIGINT) AS quota FROM c
+      UNION ALL
+      SELECT 0, {size} - CAST(floor({size} * CAST(p AS DOUBLE) / n) AS BIGINT) FROM c)"""
+    else:
+        quota = f"""
+qc AS (SELECT target, count(*) AS m FROM {source} GROUP BY target),
+qb AS (SELECT qc.target, ({size} * qc.m) // c.n AS base, ({size} * qc.m) % c.n AS rem
+       FROM qc CROSS JOIN c),
+q AS (SELECT target, base + CASE WHEN row_number() OVER (ORDER BY rem DESC, target)
+                                   <= {size} - sum(base) OVER () THEN 1 ELSE 0 END AS quota
+      FROM qb)"""
+    return f"""
+c AS (SELECT count(*) AS n, sum(target) AS p FROM {source}),
+{quota.strip()},
+rk AS (SELECT s.*, row_number() OVER (PARTITION BY target ORDER BY {_md5_key(salt)},
+                                      user_id, product_id) AS rk
+       FROM {source} s)
+SELECT rk.* EXCLUDE (rk) FROM rk JOIN q ON rk.target = q.target CROSS JOIN c
+WHERE c.n <= {size} OR rk.rk <= q.quota"""
+
+
+def scored_cte() -> str:
+    """Deterministic stand-in score on the test split (for metric oracles)."""
+    return """
+m_scored AS (
+  SELECT user_id, product_id, target AS label,
+         least(1.0, CAST(user_product_purchase_count AS DOUBLE) / 10) AS score,
+         CAST(least(1.0, CAST(user_product_purchase_count AS DOUBLE) / 10) >= 0.5 AS INTEGER)
+           AS prediction
+  FROM test),
+m_cnt AS (
+  SELECT count_if(label = 1 AND prediction = 1) AS tp, count_if(label = 0 AND prediction = 1) AS fp,
+         count_if(label = 0 AND prediction = 0) AS tn, count_if(label = 1 AND prediction = 0) AS fn,
+         count(*) AS n
+  FROM m_scored),
+m_g AS (SELECT score AS s, count(*) AS c, sum(label) AS p FROM m_scored GROUP BY score),
+m_r AS (SELECT s, c, p, coalesce(sum(c) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING
+                                                AND 1 PRECEDING), 0) AS below FROM m_g),
+m_auc AS (
+  SELECT CASE WHEN sum(p) = 0 OR sum(c) = sum(p) THEN NULL
+              ELSE (sum(p * (below + (c + 1) / 2.0)) - sum(p) * (sum(p) + 1) / 2.0)
+                   / (CAST(sum(p) AS DOUBLE) * (sum(c) - sum(p))) END AS roc_auc
+  FROM m_r)"""
+
+
+def safe_div(a: str, b: str) -> str:
+    return f"CASE WHEN ({b}) = 0 THEN 0.0 ELSE CAST({a} AS DOUBLE) / ({b}) END"

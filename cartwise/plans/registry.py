@@ -43,3 +43,354 @@ def oracle_sql() -> dict[str, str]:
     body=O.rounded_select(O.FEATURE_COLS_TYPES, "features")))
 def customer_product_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(FT.build_features(load_basket(spark, sf_dir, "part")))
+
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from cartwise.operators import labels as LB  # noqa: E402
+from cartwise.operators import metrics as MT  # noqa: E402
+from cartwise.operators import plotdata as PD  # noqa: E402
+from cartwise.operators import quality as QC  # noqa: E402
+from cartwise.operators import scoring as SC  # noqa: E402
+from cartwise.plans import stages as ST  # noqa: E402
+from cartwise.sources.schemas import MODEL_FEATURES  # noqa: E402
+
+_B = O.basket_cte("part")
+_BT = O.basket_cte("brand_type")
+_F = O.features_cte()
+_L = O.labels_cte()
+
+
+def _sql(*ctes, body):
+    return O.with_ctes(*ctes, body=body)
+
+
+# ---------------------------------------------------------------- adapter (basket tables)
+
+@register("basket_orders", _sql(_B, body="SELECT * FROM b_orders"))
+def basket_orders(spark, sf_dir):
+    return load_basket(spark, sf_dir, "part").orders
+
+
+@register("basket_lines", _sql(_B, body="SELECT order_id, product_id, add_to_cart_order, "
+                                        "user_id, eval_set, order_number, reordered FROM b_lines"))
+def basket_lines(spark, sf_dir):
+    return load_basket(spark, sf_dir, "part").lines.select(
+        "order_id", "product_id", "add_to_cart_order", "user_id", "eval_set", "order_number",
+        "reordered")
+
+
+# ---------------------------------------------------------------- feature parts
+
+@register("user_order_features", _sql(_B, body=f"""
+SELECT user_id, CAST(count(order_id) AS BIGINT) AS user_total_orders,
+       round(avg(days_since_prior_order), {O.R}) AS user_avg_days_between_orders,
+       round(avg(order_hour_of_day), {O.R}) AS user_avg_order_hour,
+       round(avg(order_dow), {O.R}) AS user_avg_order_dow,
+       max(order_number) AS user_last_order_number
+FROM b_orders WHERE eval_set = 'prior' GROUP BY user_id"""))
+def user_order_features(spark, sf_dir):
+    return round_doubles(FT.user_order_features(load_basket(spark, sf_dir, "part").orders))
+
+
+_PAIR_SQL = f"""
+SELECT user_id, product_id, CAST(count(order_id) AS BIGINT) AS user_product_purchase_count,
+       CAST(sum(reordered) AS BIGINT) AS user_product_reorder_count,
+       CAST(max(order_number) AS BIGINT) AS user_product_last_order_number,
+       round(CAST(sum(reordered) AS DOUBLE) / count(order_id), {O.R}) AS user_product_reorder_rate,
+       round(CAST(sum(add_to_cart_order) AS DOUBLE) / count(order_id), {O.R})
+         AS user_product_avg_cart_position
+FROM b_lines WHERE eval_set = 'prior' GROUP BY user_id, product_id"""
+
+
+@register("pair_stats", _sql(_B, body=_PAIR_SQL))
+def pair_stats(spark, sf_dir):
+    b = load_basket(spark, sf_dir, "part")
+    return round_doubles(FT.pair_stats(b.lines.filter(F.col("eval_set") == "prior")))
+
+
+@register("pair_recency", _sql(_B, "ps AS (" + _PAIR_SQL + ")", body="""
+SELECT ps.*, CAST(u.ulon - ps.user_product_last_order_number AS BIGINT)
+         AS user_product_recency_orders
+FROM ps LEFT JOIN (SELECT user_id, max(order_number) AS ulon FROM b_orders
+                   WHERE eval_set = 'prior' GROUP BY user_id) u ON ps.user_id = u.user_id"""))
+def pair_recency(spark, sf_dir):
+    b = load_basket(spark, sf_dir, "part")
+    pairs = FT.pair_stats(b.lines.filter(F.col("eval_set") == "prior"))
+    return round_doubles(FT.pair_recency(pairs, FT.user_order_features(b.orders)))
+
+
+@register("product_features", _sql(_B, _F, body=f"""
+SELECT pr.product_id, CAST(pr.ptp AS BIGINT) AS product_total_purchases,
+       CAST(pr.puu AS BIGINT) AS product_unique_users,
+       round(CAST(pr.prr AS DOUBLE), {O.R}) AS product_reorder_rate,
+       d.aisle_id, d.department_id
+FROM f_prod pr LEFT JOIN f_dims d ON pr.product_id = d.product_id"""))
+def product_features(spark, sf_dir):
+    b = load_basket(spark, sf_dir, "part")
+    pairs = FT.pair_stats(b.lines.filter(F.col("eval_set") == "prior"))
+    return round_doubles(FT.product_features(pairs, b.products))
+
+
+def _affinity_sql(level, short):
+    key = f"{level}_id"
+    return _sql(_B, _F, body=f"""
+SELECT user_id, {key}, CAST(u{short}c AS BIGINT) AS user_{level}_purchase_count,
+       round(CAST(u{short}s AS DOUBLE), {O.R}) AS user_{level}_purchase_share
+FROM f_u{short}""")
+
+
+@register("user_department_affinity", _affinity_sql("department", "d"))
+def user_department_affinity(spark, sf_dir):
+    b = load_basket(spark, sf_dir, "part")
+    pairs = FT.pair_stats(b.lines.filter(F.col("eval_set") == "prior"))
+    return round_doubles(FT.user_category_affinity(FT.pairs_with_category(pairs, b.products),
+                                                   "department"))
+
+
+@register("user_aisle_affinity", _affinity_sql("aisle", "a"))
+def user_aisle_affinity(spark, sf_dir):
+    b = load_basket(spark, sf_dir, "part")
+    pairs = FT.pair_stats(b.lines.filter(F.col("eval_set") == "prior"))
+    return round_doubles(FT.user_category_affinity(FT.pairs_with_category(pairs, b.products),
+                                                   "aisle"))
+
+
+@register("customer_product_features_brand_type", _sql(
+    _BT, _F, body=O.rounded_select(O.FEATURE_COLS_TYPES, "features")))
+def customer_product_features_brand_type(spark, sf_dir):
+    return round_doubles(FT.build_features(load_basket(spark, sf_dir, "brand_type")))
+
+
+# ---------------------------------------------------------------- quality
+
+def _quality_sql():
+    from cartwise.sources.schemas import COUNT_FEATURES, FEATURE_SCHEMA, RATE_FEATURES
+    parts = ["SELECT 'row_count' AS \"check\", '*' AS \"column\", CAST(count(*) AS DOUBLE) AS value FROM features",
+             "SELECT 'duplicate_keys', 'user_id,product_id', CAST(count(*) - count(DISTINCT (user_id, product_id)) AS DOUBLE) FROM features"]
+    for f in FEATURE_SCHEMA.fields:
+        parts.append(f"SELECT 'null_count', '{f.name}', CAST(count_if({f.name} IS NULL) AS DOUBLE) FROM features")
+    for f in FEATURE_SCHEMA.fields:
+        if f.dataType.simpleString() == "double":
+            parts.append(f"SELECT 'infinite_count', '{f.name}', CAST(count_if(isinf({f.name})) AS DOUBLE) FROM features")
+        else:
+            parts.append(f"SELECT 'infinite_count', '{f.name}', 0.0")
+    for c in RATE_FEATURES:
+        parts.append(f"SELECT 'min', '{c}', round(min({c}), {O.R}) FROM features")
+        parts.append(f"SELECT 'max', '{c}', round(max({c}), {O.R}) FROM features")
+    for c in COUNT_FEATURES:
+        parts.append(f"SELECT 'negative_count', '{c}', CAST(count_if({c} < 0) AS DOUBLE) FROM features")
+    return _sql(_B, _F, body="\nUNION ALL\n".join(parts))
+
+
+@register("feature_quality_report", _quality_sql())
+def feature_quality_report(spark, sf_dir):
+    return round_doubles(QC.quality_report(ST.features(spark, sf_dir, "part")))
+
+
+@register("warehouse_checks", _sql(_B, _F, body="""
+SELECT count(*) AS row_count,
+       count(DISTINCT CAST(user_id AS VARCHAR) || '-' || CAST(product_id AS VARCHAR))
+         AS unique_customer_product_pairs,
+       count_if(user_id IS NULL) AS null_user_ids, count_if(product_id IS NULL) AS null_product_ids,
+       count_if(user_product_purchase_count < 0) AS negative_purchase_counts,
+       count_if(user_product_reorder_count < 0) AS negative_reorder_counts,
+       count_if(user_product_reorder_rate < 0 OR user_product_reorder_rate > 1) AS invalid_reorder_rates,
+       count_if(user_department_purchase_share < 0 OR user_department_purchase_share > 1)
+         AS invalid_department_shares,
+       count_if(user_aisle_purchase_share < 0 OR user_aisle_purchase_share > 1) AS invalid_aisle_shares,
+       count_if(product_reorder_rate < 0 OR product_reorder_rate > 1) AS invalid_product_reorder_rates
+FROM features"""))
+def warehouse_checks(spark, sf_dir):
+    return QC.warehouse_checks(ST.features(spark, sf_dir, "part"))
+
+
+@register("feature_null_counts", _sql(_B, _F, body="\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", count_if({c} IS NULL) AS null_count FROM features"
+    for c, _ in O.FEATURE_COLS_TYPES)))
+def feature_null_counts(spark, sf_dir):
+    return QC.null_counts(ST.features(spark, sf_dir, "part"))
+
+
+@register("feature_profile", _sql(_B, _F, body="\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", s.statistic, round(s.value, {O.R}) AS value FROM (
+  SELECT unnest([{{'statistic': 'count', 'value': CAST(count({c}) AS DOUBLE)}},
+                 {{'statistic': 'mean', 'value': avg({c})}},
+                 {{'statistic': 'std', 'value': stddev_samp({c})}},
+                 {{'statistic': 'min', 'value': CAST(min({c}) AS DOUBLE)}},
+                 {{'statistic': 'max', 'value': CAST(max({c}) AS DOUBLE)}},
+                 {{'statistic': '25%', 'value': quantile_cont(CAST({c} AS DOUBLE), 0.25)}},
+                 {{'statistic': '50%', 'value': quantile_cont(CAST({c} AS DOUBLE), 0.5)}},
+                 {{'statistic': '75%', 'value': quantile_cont(CAST({c} AS DOUBLE), 0.75)}}]) AS s
+  FROM features)""" for c in MODEL_FEATURES)))
+def feature_profile(spark, sf_dir):
+    return round_doubles(QC.profile(ST.features(spark, sf_dir, "part"), MODEL_FEATURES))
+
+
+@register("order_dow_value_counts", _sql(_B, body=f"""
+SELECT order_dow, count(*) AS count, round(CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (), {O.R}) AS share
+FROM b_orders GROUP BY order_dow"""))
+def order_dow_value_counts(spark, sf_dir):
+    return round_doubles(QC.value_counts(load_basket(spark, sf_dir, "part").orders, "order_dow"))
+
+
+# ---------------------------------------------------------------- labels and sampling
+
+_LBL = (_BT, _F, _L)
+
+
+@register("future_pairs", _sql(_BT, body="SELECT DISTINCT user_id, product_id FROM b_lines "
+                                         "WHERE eval_set = 'train'"))
+def future_pairs(spark, sf_dir):
+    b = load_basket(spark, sf_dir, "brand_type")
+    return LB.future_pairs(b.orders, b.order_products_train)
+
+
+@register("labelled_pairs", _sql(*_LBL, body=O.rounded_select(
+    O.FEATURE_COLS_TYPES + [("target", "int")], "labelled")))
+def labelled_pairs(spark, sf_dir):
+    b = load_basket(spark, sf_dir, "brand_type")
+    fut = LB.future_pairs(b.orders, b.order_products_train)
+    return round_doubles(LB.label_pairs(ST.features(spark, sf_dir, "brand_type"), fut))
+
+
+@register("train_test_split", _sql(*_LBL, body="SELECT user_id, product_id, target, is_test FROM split"))
+def train_test_split(spark, sf_dir):
+    return LB.split_flag(ST.labelled(spark, sf_dir)).select("user_id", "product_id", "target",
+                                                            "is_test")
+
+
+@register("class_distribution", _sql(*_LBL, body=f"""
+SELECT name AS split, target AS class, count(*) AS count,
+       round(100.0 * count(*) / sum(count(*)) OVER (PARTITION BY name), {O.R}) AS percent
+FROM (SELECT 'all' AS name, target FROM labelled UNION ALL SELECT 'train', target FROM train
+      UNION ALL SELECT 'test', target FROM test UNION ALL SELECT 'balanced', target FROM balanced) x
+GROUP BY name, target"""))
+def class_distribution(spark, sf_dir):
+    parts = [QC.class_distribution(ST.labelled(spark, sf_dir), name="all"),
+             QC.class_distribution(ST.train(spark, sf_dir), name="train"),
+             QC.class_distribution(ST.test(spark, sf_dir), name="test"),
+             QC.class_distribution(ST.balanced(spark, sf_dir), name="balanced")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return round_doubles(out)
+
+
+@register("balanced_train", _sql(*_LBL, body="SELECT user_id, product_id, target FROM balanced"))
+def balanced_train(spark, sf_dir):
+    return LB.balance_undersample(ST.train(spark, sf_dir)).select("user_id", "product_id", "target")
+
+
+@register("cv_sample", _sql(*_LBL, "bal AS (SELECT user_id, product_id, target FROM balanced)",
+                            O.per_class_sample_sql("bal", 150_000, ":cv", True), body=""))
+def cv_sample(spark, sf_dir):
+    return LB.cv_sample(ST.balanced(spark, sf_dir).select("user_id", "product_id", "target"),
+                        150_000)
+
+
+@register("tuning_sample", _sql(*_LBL, "bal AS (SELECT user_id, product_id, target FROM balanced)",
+                                O.per_class_sample_sql("bal", 250_000, ":sample", False), body=""))
+def tuning_sample(spark, sf_dir):
+    return LB.stratified_sample(ST.balanced(spark, sf_dir).select("user_id", "product_id", "target"),
+                                250_000)
+
+
+@register("train_sample_1000", _sql(*_LBL, "tr AS (SELECT user_id, product_id, target FROM train)",
+                                    O.per_class_sample_sql("tr", 1000, ":sample", False), body=""))
+def train_sample_1000(spark, sf_dir):
+    """D4 on the (unbalanced) training rows with a size below the row count."""
+    return LB.stratified_sample(ST.train(spark, sf_dir).select("user_id", "product_id", "target"), 1000)
+
+
+@register("stratified_folds", _sql(*_LBL, body=f"""
+SELECT user_id, product_id, target,
+       CAST((row_number() OVER (PARTITION BY target ORDER BY {O._md5_key(':folds')}, user_id,
+             product_id) - 1) % 3 AS INTEGER) AS fold
+FROM balanced"""))
+def stratified_folds(spark, sf_dir):
+    return LB.stratified_folds(ST.balanced(spark, sf_dir).select("user_id", "product_id", "target"), 3)
+
+
+# ---------------------------------------------------------------- metrics on a fixed score
+
+def _scored(spark, sf_dir):
+    t = ST.test(spark, sf_dir)
+    s = F.least(F.lit(1.0), F.col("user_product_purchase_count").cast("double") / 10)
+    return t.select("user_id", "product_id", F.col("target").alias("label"), s.alias("score"),
+                    (s >= 0.5).cast("int").alias("prediction"))
+
+
+_M = (*_LBL, O.scored_cte())
+
+
+@register("confusion_matrix", _sql(*_M, body="SELECT label, prediction, count(*) AS count "
+                                             "FROM m_scored GROUP BY label, prediction"))
+def confusion_matrix(spark, sf_dir):
+    return MT.confusion(_scored(spark, sf_dir))
+
+
+@register("binary_metrics", _sql(*_M, body=f"""
+SELECT round({O.safe_div('tp + tn', 'n')}, {O.R}) AS accuracy,
+       round({O.safe_div('tp', 'tp + fp')}, {O.R}) AS precision,
+       round({O.safe_div('tp', 'tp + fn')}, {O.R}) AS recall,
+       round({O.safe_div('2 * tp', '2 * tp + fp + fn')}, {O.R}) AS f1_score,
+       round(roc_auc, {O.R}) AS roc_auc
+FROM m_cnt CROSS JOIN m_auc"""))
+def binary_metrics(spark, sf_dir):
+    return round_doubles(MT.binary_metrics(_scored(spark, sf_dir), tiebreak=["user_id", "product_id"]))
+
+
+@register("roc_auc_exact", _sql(*_M, body=f"SELECT round(roc_auc, {O.R}) AS roc_auc FROM m_auc"))
+def roc_auc_exact(spark, sf_dir):
+    return round_doubles(MT.roc_auc(_scored(spark, sf_dir), tiebreak=["user_id", "product_id"]))
+
+
+@register("classification_report", _sql(*_M, body=f"""
+, cls AS (
+  SELECT '0' AS row, {O.safe_div('tn', 'tn + fn')} AS precision, {O.safe_div('tn', 'tn + fp')} AS recall,
+         {O.safe_div('2 * tn', '2 * tn + fn + fp')} AS f1_score, CAST(tn + fp AS DOUBLE) AS support, n
+  FROM m_cnt
+  UNION ALL
+  SELECT '1', {O.safe_div('tp', 'tp + fp')}, {O.safe_div('tp', 'tp + fn')},
+         {O.safe_div('2 * tp', '2 * tp + fp + fn')}, CAST(tp + fn AS DOUBLE), n FROM m_cnt)
+SELECT row, round(precision, {O.R}) AS precision, round(recall, {O.R}) AS recall,
+       round(f1_score, {O.R}) AS f1_score, support FROM cls
+UNION ALL
+SELECT 'macro avg', round(avg(precision), {O.R}), round(avg(recall), {O.R}), round(avg(f1_score), {O.R}),
+       sum(support) FROM cls
+UNION ALL
+SELECT 'weighted avg', round(sum(precision * support / n), {O.R}), round(sum(recall * support / n), {O.R}),
+       round(sum(f1_score * support / n), {O.R}), sum(support) FROM cls
+UNION ALL
+SELECT 'accuracy', NULL, NULL, round({O.safe_div('tp + tn', 'n')}, {O.R}), CAST(n AS DOUBLE) FROM m_cnt"""))
+def classification_report(spark, sf_dir):
+    return round_doubles(MT.classification_report(_scored(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- request validation
+
+@register("request_validation", _sql(_BT, _F, body="SELECT user_id, product_id, " + """
+       list_count(v) = 0 AS is_valid, array_to_string(v, ',') AS violations FROM (
+  SELECT user_id, product_id, list_filter([""" + ", ".join(
+    [f"CASE WHEN {f} IS NULL OR isnan(CAST({f} AS DOUBLE)) THEN '{f}:missing' END, "
+     f"CASE WHEN {f} < {lo} THEN '{f}:ge_{lo}' END"
+     + (f", CASE WHEN {f} > {hi} THEN '{f}:le_{hi}' END" if hi is not None else "")
+     for f, lo, hi in SC.REQUEST_RULES]) + """], lambda x: x IS NOT NULL) AS v
+  FROM features) r"""))
+def request_validation(spark, sf_dir):
+    v = SC.violations(ST.features(spark, sf_dir, "brand_type"))
+    return v.select("user_id", "product_id", "is_valid",
+                    F.array_join("violations", ",").alias("violations"))
+
+
+# ---------------------------------------------------------------- plot data
+
+@register("purchase_count_box", _sql(*_LBL, body="\nUNION ALL\n".join(
+    f"SELECT target AS \"group\", '{name}' AS statistic, "
+    f"round(quantile_cont(CAST(user_product_purchase_count AS DOUBLE), {p}), {O.R}) AS value "
+    f"FROM labelled GROUP BY target"
+    for name, p in (("min", 0.0), ("q1", 0.25), ("median", 0.5), ("q3", 0.75), ("max", 1.0)))))
+def purchase_count_box(spark, sf_dir):
+    return round_doubles(PD.box_stats(ST.labelled(spark, sf_dir), "user_product_purchase_count",
+                                      "target"))

@@ -59,3 +59,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(configured)
     return configured
+
+
+_CODE_FP: str | None = None
+
+
+def code_fingerprint() -> str:
+    """md5 over the library's source files: stage tables written by other code
+    versions are never reused."""
+    global _CODE_FP
+    if _CODE_FP is None:
+        import hashlib
+        import pathlib
+
+        root = pathlib.Path(__file__).resolve().parent
+        h = hashlib.md5()
+        for f in sorted(root.rglob("*.py")):
+            h.update(f.relative_to(root).as_posix().encode())
+            h.update(f.read_bytes())
+        _CODE_FP = h.hexdigest()[:12]
+    return _CODE_FP

@@ -178,12 +178,12 @@ def load_basket(spark: SparkSession, sf_dir: str, grain: str = "part") -> Basket
     """
     import hashlib
 
-    from cartwise.session import checkpoint_dir
+    from cartwise.session import checkpoint_dir, code_fingerprint
 
     if grain not in GRAINS:
         raise ValueError(f"grain must be one of {GRAINS}")
     fp = _input_fingerprint(spark, sf_dir)
-    key = hashlib.md5(f"{fp}|{grain}|v1".encode()).hexdigest()[:16]
+    key = hashlib.md5(f"{fp}|{grain}|{code_fingerprint()}".encode()).hexdigest()[:16]
     memo = (id(spark), key)
     if memo in _LOADED:
         return _LOADED[memo]
