@@ -2,9 +2,11 @@
 
 Randomness is a seeded md5 order key over (user_id, product_id): the same
 digest in Spark and DuckDB, independent of partitioning, stable on re-runs and
-retries. Exact per-class sizes come from a rank within the class computed by
-:func:`sequence_within` (range-partitioned), never from a window partitioned by
-the class alone (that would put 94 % of the rows into one task).
+retries. Exact per-class sizes come from exact order statistics of that key
+(:func:`kth_tuples`: sketch, count, small bracket — no sort or shuffle of the
+rows); folds, which need every row's rank, use the range-partitioned
+:func:`sequence_within`. Never a window partitioned by the class alone (that
+would put 94 % of the rows into one task).
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.columns import hash_order_key, require_columns
+from cartwise.functions.select import kth_tuples, tuple_le
 from cartwise.functions.sequence import sequence_within
 from cartwise.sources.schemas import TARGET_COLUMN
 
@@ -74,24 +77,47 @@ def largest_remainder(counts: dict, k: int) -> dict:
 
 
 def _ranked(df: DataFrame, target: str, seed: int, salt: str, keys=PAIR) -> DataFrame:
-    """Rank (1..n_class) of every row within its class by the seeded hash order."""
+    """Rank (1..n_class) of every row within its class by the seeded hash order
+    (a range-partitioned sequence; used where every row needs its rank)."""
     seed_text = f"{seed}{salt}"
     h = F.md5(F.concat_ws("-", *[F.col(c).cast("string") for c in keys], F.lit(seed_text)))
     return sequence_within(df.withColumn("_h", h), [target], ["_h", *keys], rn_col="_rank")
 
 
-def _quota_col(target: str, quotas: dict) -> F.Column:
-    expr = F.lit(0)
+def _with_order(df: DataFrame, seed: int, salt: str, keys) -> tuple[DataFrame, list[str]]:
+    """Seeded order key: md5 hex of ``key-...-seed`` plus its first 60 bits as a
+    number (same order as the hex text; the number feeds the quantile sketch)."""
+    h = F.md5(F.concat_ws("-", *[F.col(c).cast("string") for c in keys], F.lit(f"{seed}{salt}")))
+    d = (df.withColumn("_h", h)
+         .withColumn("_h60", F.conv(F.substring("_h", 1, 15), 16, 10).cast("long")))
+    return d, ["_h60", "_h", *keys]
+
+
+def first_per_class(df: DataFrame, quotas: dict, counts: dict, target: str = TARGET_COLUMN,
+                    seed: int = SEED, salt: str = "", keys=PAIR) -> tuple[DataFrame, F.Column]:
+    """Flag expression selecting the first ``quotas[c]`` rows of each class in
+    seeded hash order — found by exact order statistics (no sort, no shuffle of
+    the rows; see :mod:`cartwise.functions.select`)."""
+    d, order = _with_order(df, seed, salt, keys)
+    targets = {c: (counts[c], [q]) for c, q in quotas.items()
+               if 0 < q < counts.get(c, 0)}
+    kth = kth_tuples(d, order, targets, group=target) if targets else {}
+    flag = F.lit(False)
     for c, q in quotas.items():
-        expr = F.when(F.col(target) == F.lit(c), F.lit(int(q))).otherwise(expr)
-    return expr
+        n = counts.get(c, 0)
+        if q <= 0 or n == 0:
+            continue
+        cond = F.lit(True) if q >= n else tuple_le(order, kth[(c, q)])
+        flag = flag | ((F.col(target) == F.lit(c)) & cond)
+    return d, flag
 
 
 def take_per_class(df: DataFrame, quotas: dict, target: str = TARGET_COLUMN, seed: int = SEED,
-                   salt: str = "", keys=PAIR) -> DataFrame:
+                   salt: str = "", keys=PAIR, counts: dict | None = None) -> DataFrame:
     """The first ``quotas[c]`` rows of each class in seeded hash order."""
-    r = _ranked(df, target, seed, salt, keys)
-    return r.filter(F.col("_rank") <= _quota_col(target, quotas)).drop("_h", "_rank")
+    counts = counts if counts is not None else class_counts(df, target)
+    d, flag = first_per_class(df, quotas, counts, target, seed, salt, keys)
+    return d.filter(flag).drop("_h", "_h60")
 
 
 # ----------------------------------------------------------------------------- splits
@@ -104,9 +130,8 @@ def split_flag(df: DataFrame, test_size: float = 0.2, target: str = TARGET_COLUM
     counts = class_counts(df, target)
     k = math.ceil(test_size * sum(counts.values()))
     quotas = largest_remainder(counts, k)
-    r = _ranked(df, target, seed, "", keys)
-    return (r.withColumn("is_test", F.col("_rank") <= _quota_col(target, quotas))
-            .drop("_h", "_rank"))
+    d, flag = first_per_class(df, quotas, counts, target, seed, "", keys)
+    return d.withColumn("is_test", flag).drop("_h", "_h60")
 
 
 def train_test_split(df: DataFrame, test_size: float = 0.2, target: str = TARGET_COLUMN,
@@ -122,7 +147,7 @@ def balance_undersample(train: DataFrame, target: str = TARGET_COLUMN, seed: int
     counts = class_counts(train, target)
     n_pos = counts.get(1, 0)
     negatives = take_per_class(train.filter(F.col(target) == 0), {0: n_pos}, target, seed,
-                               ":balance", keys)
+                               ":balance", keys, counts={0: counts.get(0, 0)})
     return train.filter(F.col(target) == 1).unionByName(negatives)
 
 
@@ -133,7 +158,8 @@ def stratified_sample(df: DataFrame, size: int, target: str = TARGET_COLUMN, see
     n = sum(counts.values())
     if size >= n:
         return df
-    return take_per_class(df, largest_remainder(counts, size), target, seed, ":sample", keys)
+    return take_per_class(df, largest_remainder(counts, size), target, seed, ":sample", keys,
+                          counts=counts)
 
 
 def cv_sample(df: DataFrame, size: int = 150_000, target: str = TARGET_COLUMN,
@@ -144,7 +170,7 @@ def cv_sample(df: DataFrame, size: int = 150_000, target: str = TARGET_COLUMN,
     if size >= n:
         return df
     pos = int(size * counts.get(1, 0) / n)
-    return take_per_class(df, {1: pos, 0: size - pos}, target, seed, ":cv", keys)
+    return take_per_class(df, {1: pos, 0: size - pos}, target, seed, ":cv", keys, counts=counts)
 
 
 def stratified_folds(df: DataFrame, k: int = 3, target: str = TARGET_COLUMN, seed: int = SEED,

@@ -1,7 +1,7 @@
 """Data-quality reports: one aggregation pass, a long (check, column, value) table.
 
-Exact quartiles for the profile come from a range-partitioned rank over an
-unpivoted (column, value) table — no single-task percentile buffer.
+Exact quartiles for the profile come from exact order statistics over an
+unpivoted (column, value) table — no sort and no single-task percentile buffer.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwise.functions.columns import ratio
-from cartwise.functions.sequence import sequence_within
+from cartwise.functions.select import kth_tuples
 from cartwise.sources.schemas import COUNT_FEATURES, ID_COLUMNS, RATE_FEATURES
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
@@ -111,34 +111,38 @@ def class_rate(df: DataFrame, target: str = "target") -> DataFrame:
     return df.agg(F.avg(F.col(target).cast("double")).alias("positive_rate"))
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75),
-                    num_partitions: int | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75)) -> DataFrame:
     """Linear-interpolated quantiles (pandas ``describe`` / SQL ``quantile_cont``)
-    of several columns: (column, p, value). Nulls are skipped.
+    of several columns: (column, p, value). Nulls and NaN are skipped.
 
-    One unpivot, one range-partitioned rank over (column, value); only the two
-    ranks around each quantile position per column are kept.
+    The columns are unpivoted (a narrow step) and the two order statistics
+    around each quantile position are found exactly by :func:`kth_tuples`
+    (sketch + count + small bracket): no sort, no shuffle of the rows, no
+    single-task buffer of a column's values.
     """
+    import math
+
     long = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
             .unpivot([], cols, "column", "value")
             .filter(F.col("value").isNotNull() & ~F.isnan("value")))
-    n = long.groupBy("column").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = sequence_within(long, ["column"], ["value"], rn_col="_rn",
-                             num_partitions=num_partitions)
-    probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-    targets = (n.select("column", "_n", F.explode(probs_arr).alias("p"))
-               .withColumn("_pos", F.col("p") * (F.col("_n") - 1))
-               .withColumn("_lo", F.floor("_pos") + 1)
-               .withColumn("_hi", F.ceil("_pos") + 1)
-               .withColumn("_frac", F.col("_pos") - F.floor("_pos")))
-    hit = targets.join(ranked, (targets["column"] == ranked["column"]) &
-                       ((ranked["_rn"] == targets["_lo"]) | (ranked["_rn"] == targets["_hi"])))
-    return (hit.groupBy(targets["column"], "p").agg(
-        F.max(F.when(F.col("_rn") == F.col("_lo"), F.col("value"))).alias("_vlo"),
-        F.max(F.when(F.col("_rn") == F.col("_hi"), F.col("value"))).alias("_vhi"),
-        F.first("_frac").alias("_frac"))
-        .select(F.col("column"), "p",
-                (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("value")))
+    counts = {r[0]: r[1] for r in long.groupBy("column").count().collect()}
+    targets, plan = {}, []
+    for c in cols:
+        n = counts.get(c, 0)
+        if n == 0:
+            continue
+        for p in probs:
+            pos = p * (n - 1)
+            lo, hi = math.floor(pos) + 1, math.ceil(pos) + 1
+            targets.setdefault(c, (n, set()))[1].update((lo, hi))
+            plan.append((c, float(p), lo, hi, pos - math.floor(pos)))
+    kth = kth_tuples(long, ["value"], {c: (n, sorted(ks)) for c, (n, ks) in targets.items()},
+                     group="column")
+    rows = []
+    for c, p, lo, hi, frac in plan:
+        vlo, vhi = kth[(c, lo)][0], kth[(c, hi)][0]
+        rows.append((c, p, vlo + (vhi - vlo) * frac))
+    return df.sparkSession.createDataFrame(rows, "column string, p double, value double")
 
 
 def profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

@@ -190,12 +190,7 @@ def load_basket(spark: SparkSession, sf_dir: str, grain: str = "part") -> Basket
     root = f"{checkpoint_dir(spark)}/basket-{grain}-{key}"
     fs, done = _fs(spark, f"{root}/_BASKET_DONE")
     if not fs.exists(done):
-        t = read_tables(spark, sf_dir, "orders", "lineitem", "part")
-        basket_orders(t["orders"]).write.mode("overwrite").parquet(f"{root}/orders")
-        orders_b = spark.read.parquet(f"{root}/orders")
-        (basket_lines(t["lineitem"], orders_b, t["part"], grain)
-         .write.mode("overwrite").partitionBy("eval_set").parquet(f"{root}/lines"))
-        basket_products(t["part"], grain).write.mode("overwrite").parquet(f"{root}/products")
+        write_basket(spark, sf_dir, grain, root)
         fs.create(done, True).close()
     orders_b = spark.read.parquet(f"{root}/orders")
     lines = spark.read.parquet(f"{root}/lines")
@@ -203,3 +198,20 @@ def load_basket(spark: SparkSession, sf_dir: str, grain: str = "part") -> Basket
     b = _basket(orders_b, lines, products)
     _LOADED[memo] = b
     return b
+
+
+def write_basket(spark: SparkSession, sf_dir: str, grain: str, root: str) -> None:
+    """The adapter ETL: orders (sequenced per customer), lines (sequenced per
+    order, joined to their order, reorder flag; partitioned by eval_set) and
+    products, written as Parquet under ``root``."""
+    t = read_tables(spark, sf_dir, "orders", "lineitem", "part")
+    basket_orders(t["orders"]).write.mode("overwrite").parquet(f"{root}/orders")
+    orders_b = spark.read.parquet(f"{root}/orders")
+    (basket_lines(t["lineitem"], orders_b, t["part"], grain)
+     .write.mode("overwrite").partitionBy("eval_set").parquet(f"{root}/lines"))
+    basket_products(t["part"], grain).write.mode("overwrite").parquet(f"{root}/products")
+
+
+def read_basket(spark: SparkSession, root: str) -> Basket:
+    return _basket(spark.read.parquet(f"{root}/orders"), spark.read.parquet(f"{root}/lines"),
+                   spark.read.parquet(f"{root}/products"))
