@@ -8,7 +8,7 @@ aggregation, so a huge or skewed group costs no more than a small one:
    two values ``lo`` and ``hi`` of a numeric leading key;
 2. one pass counts the rows below ``lo`` and collects the *distinct* sort
    tuples inside ``[lo, hi]`` with their multiplicities — about
-   ``4·n/accuracy`` of them, a small bounded set;
+   ``6·n/accuracy`` of them, a small bounded set;
 3. a cumulative count over that small set locates the k-th tuple exactly.
 
 If a bracket misses (the sketch's error bound is probabilistic in practice),
@@ -20,7 +20,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 100_000
+ACCURACY = 10_000
+
+
+def _accuracy(n: int, base: int) -> int:
+    """Sketch accuracy: ``base`` for small inputs, growing with n so that a
+    bracket (about 6·n/accuracy rows) stays near a million at most; capped at
+    10^6, where the sketch itself is still a few MB per column."""
+    return int(min(1_000_000, max(base, n // 1_000_000)))
 
 
 def _bracket(df: DataFrame, group: str | None, lead: str, targets: dict, accuracy: int,
@@ -66,8 +73,7 @@ def kth_tuples(df: DataFrame, order: list[str], targets: dict, group: str | None
     lead = order[0]
     df = df.filter(F.col(lead).isNotNull())
     gcols = [group]
-    biggest = max([n for n, _ in targets.values()] or [0])
-    accuracy = int(min(10_000_000, max(accuracy, biggest // 100_000)))
+    accuracy = _accuracy(max([n for n, _ in targets.values()] or [0]), accuracy)
     pending = {(g, k) for g, (n, ks) in targets.items() for k in ks if 1 <= k <= n}
     result = {}
     width = 3.0 / accuracy
@@ -117,3 +123,94 @@ def tuple_le(order: list[str], values: tuple) -> Column:
     for c, v in zip(reversed(order[:-1]), reversed(values[:-1])):
         expr = (F.col(c) < F.lit(v)) | ((F.col(c) == F.lit(v)) & expr)
     return expr
+
+
+def column_order_stats(df: DataFrame, targets: dict, accuracy: int = ACCURACY) -> dict:
+    """Exact k-th smallest values of several numeric columns of one table.
+
+    targets: {column: (non-null count, [k1, k2, ...])}. Works on the wide
+    table: one sketch aggregation, one aggregation of ``count_if`` for the
+    rows below every bracket, and one pass emitting only the values inside a
+    bracket (then a cumulative count over those few distinct values). Nulls
+    and NaN are ignored. Returns {(column, k): value}.
+    """
+    spark = df.sparkSession
+    accuracy = _accuracy(max([n for n, _ in targets.values()] or [0]), accuracy)
+
+    def val(c):
+        x = F.col(c).cast("double")
+        return F.when(~F.isnan(x), x)
+
+    pending = {(c, k) for c, (n, ks) in targets.items() for k in ks if 1 <= k <= n}
+    result: dict = {}
+    width = 3.0 / accuracy
+    while pending:
+        cols = sorted({c for c, _ in pending})
+        br: dict = {}
+        if width < 1.0:
+            probs = {c: sorted({max(0.0, (k - 0.5) / targets[c][0] - width) for cc, k in pending if cc == c}
+                               | {min(1.0, (k - 0.5) / targets[c][0] + width) for cc, k in pending if cc == c})
+                     for c in cols}
+            aggs = []
+            for i, c in enumerate(cols):
+                aggs += [F.percentile_approx(val(c), F.array(*[F.lit(p) for p in probs[c]]), accuracy)
+                         .alias(f"q{i}"), F.min(val(c)).alias(f"mn{i}"), F.max(val(c)).alias(f"mx{i}")]
+            row = df.agg(*aggs).first()
+            for i, c in enumerate(cols):
+                q = dict(zip(probs[c], row[f"q{i}"]))
+                for cc, k in pending:
+                    if cc != c:
+                        continue
+                    p = (k - 0.5) / targets[c][0]
+                    plo, phi = max(0.0, p - width), min(1.0, p + width)
+                    br[(c, k)] = (row[f"mn{i}"] if plo <= 0.0 else q[plo],
+                                  row[f"mx{i}"] if phi >= 1.0 else q[phi])
+        else:
+            br = {key: (None, None) for key in pending}
+        # merge overlapping brackets of a column into disjoint intervals
+        intervals = []                      # (column, lo, hi, [targets])
+        for c in cols:
+            items = sorted(((lo, hi, (cc, k)) for (cc, k), (lo, hi) in br.items() if cc == c),
+                           key=lambda t: (t[0] is not None, t[0]))
+            for lo, hi, key in items:
+                last = intervals[-1] if intervals and intervals[-1][0] == c else None
+                if last is not None and (last[1] is None or lo is None or lo <= last[2]):
+                    intervals[-1] = (c, None if (last[1] is None or lo is None) else last[1],
+                                     None if (last[2] is None or hi is None) else max(last[2], hi),
+                                     last[3] + [key])
+                else:
+                    intervals.append((c, lo, hi, [key]))
+        # rows below each interval (one aggregation, one row back)
+        brow = df.agg(*[(F.count_if(val(c) < F.lit(lo)) if lo is not None else F.lit(0))
+                        .alias(f"b{j}") for j, (c, lo, hi, _) in enumerate(intervals)]).first()
+        need_rows = []
+        for j, (c, lo, hi, keys) in enumerate(intervals):
+            for key in keys:
+                need_rows.append((j, len(need_rows), key[1] - brow[f"b{j}"]))
+        tkeys = [key for (_, _, _, keys) in intervals for key in keys]
+        need = spark.createDataFrame(need_rows, "_t int, _tid int, _need long")
+        # per column at most one (interval, value) per row, only inside an interval
+        emit = []
+        for c in cols:
+            x = val(c)
+            e = None
+            for j, (cc, lo, hi, _) in enumerate(intervals):
+                if cc != c:
+                    continue
+                cond = x.isNotNull()
+                if lo is not None:
+                    cond = cond & (x >= F.lit(lo)) & (x <= F.lit(hi))
+                item = F.struct(F.lit(j).alias("_t"), x.alias("_v"))
+                e = F.when(cond, item) if e is None else e.when(cond, item)
+            emit.append(e)
+        cand = (df.select(F.explode(F.filter(F.array(*emit), lambda s: s.isNotNull())).alias("s"))
+                .select("s._t", "s._v").groupBy("_t", "_v").agg(F.count(F.lit(1)).alias("_m")))
+        w = Window.partitionBy("_t").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+        hits = (cand.withColumn("_cum", F.sum("_m").over(w)).join(F.broadcast(need), "_t")
+                .filter((F.col("_need") >= 1) & (F.col("_cum") >= F.col("_need"))
+                        & (F.col("_cum") - F.col("_m") < F.col("_need"))))
+        for r in hits.collect():  # at most one row per target
+            result[tkeys[r["_tid"]]] = r["_v"]
+        pending = {key for key in pending if key not in result}
+        width *= 10
+    return result

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwise.functions.columns import ratio
-from cartwise.functions.select import kth_tuples
+from cartwise.functions.select import column_order_stats
 from cartwise.sources.schemas import COUNT_FEATURES, ID_COLUMNS, RATE_FEATURES
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
@@ -115,20 +115,21 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75)) ->
     """Linear-interpolated quantiles (pandas ``describe`` / SQL ``quantile_cont``)
     of several columns: (column, p, value). Nulls and NaN are skipped.
 
-    The columns are unpivoted (a narrow step) and the two order statistics
-    around each quantile position are found exactly by :func:`kth_tuples`
-    (sketch + count + small bracket): no sort, no shuffle of the rows, no
-    single-task buffer of a column's values.
+    The two order statistics around each quantile position are found exactly
+    by :func:`column_order_stats` on the wide table (sketch + count + small
+    bracket): no sort, no unpivot, no shuffle of the rows, no single-task
+    buffer of a column's values.
     """
     import math
 
-    long = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-            .unpivot([], cols, "column", "value")
-            .filter(F.col("value").isNotNull() & ~F.isnan("value")))
-    counts = {r[0]: r[1] for r in long.groupBy("column").count().collect()}
+    def val(c):
+        x = F.col(c).cast("double")
+        return F.when(~F.isnan(x), x)
+
+    cnt = df.agg(*[F.count(val(c)).alias(c) for c in cols]).first()
     targets, plan = {}, []
     for c in cols:
-        n = counts.get(c, 0)
+        n = cnt[c]
         if n == 0:
             continue
         for p in probs:
@@ -136,11 +137,10 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75)) ->
             lo, hi = math.floor(pos) + 1, math.ceil(pos) + 1
             targets.setdefault(c, (n, set()))[1].update((lo, hi))
             plan.append((c, float(p), lo, hi, pos - math.floor(pos)))
-    kth = kth_tuples(long, ["value"], {c: (n, sorted(ks)) for c, (n, ks) in targets.items()},
-                     group="column")
+    kth = column_order_stats(df, {c: (n, sorted(ks)) for c, (n, ks) in targets.items()})
     rows = []
     for c, p, lo, hi, frac in plan:
-        vlo, vhi = kth[(c, lo)][0], kth[(c, hi)][0]
+        vlo, vhi = kth[(c, lo)], kth[(c, hi)]
         rows.append((c, p, vlo + (vhi - vlo) * frac))
     return df.sparkSession.createDataFrame(rows, "column string, p double, value double")
 
