@@ -394,3 +394,101 @@ def request_validation(spark, sf_dir):
 def purchase_count_box(spark, sf_dir):
     return round_doubles(PD.box_stats(ST.labelled(spark, sf_dir), "user_product_purchase_count",
                                       "target"))
+
+
+# ---------------------------------------------------------------- models (no SQL form)
+
+from cartwise.plans import models as MD  # noqa: E402
+from cartwise.plans import validation as VA  # noqa: E402
+
+_METRIC_SCHEMA = ("model string, accuracy double, precision double, recall double, "
+                  "f1_score double, roc_auc double, inference_ms_per_row double, "
+                  "model_size_mb double")
+
+
+def _test_metrics(spark, sf_dir, kind, rule="threshold"):
+    model, path = ST.trained_model(spark, sf_dir, kind)
+    r = VA.evaluate(model, ST.test(spark, sf_dir), kind, rule, model_path=path)
+    return spark.createDataFrame([(kind, r["accuracy"], r["precision"], r["recall"], r["f1_score"],
+                                   r["roc_auc"], r["inference_ms_per_row"], r["model_size_mb"])],
+                                 _METRIC_SCHEMA)
+
+
+@register("logistic_baseline_test_metrics", None)
+def logistic_baseline_test_metrics(spark, sf_dir):
+    """M1 + T1–T3: scaled + one-hot logistic regression, evaluated on the test split."""
+    return _test_metrics(spark, sf_dir, "logistic_regression")
+
+
+@register("decision_tree_test_metrics", None)
+def decision_tree_test_metrics(spark, sf_dir):
+    """M2 with the reference parameters (depth 12, leaf 10)."""
+    return _test_metrics(spark, sf_dir, "decision_tree", rule="argmax")
+
+
+@register("random_forest_test_metrics", None)
+def random_forest_test_metrics(spark, sf_dir):
+    """M3: 100 trees, depth 15, leaf 5, sqrt features."""
+    return _test_metrics(spark, sf_dir, "random_forest", rule="argmax")
+
+
+@register("gradient_boosting_test_metrics", None)
+def gradient_boosting_test_metrics(spark, sf_dir):
+    """M4: 100 rounds, step 0.1, depth 5."""
+    return _test_metrics(spark, sf_dir, "gradient_boosting", rule="argmax")
+
+
+@register("soft_voting_test_metrics", None)
+def soft_voting_test_metrics(spark, sf_dir):
+    """M6: mean P(1) of the three tree models, p >= 0.5."""
+    members = {k: ST.trained_model(spark, sf_dir, k)[0]
+               for k in ("decision_tree", "random_forest", "gradient_boosting")}
+    scored = MD.soft_vote(members, ST.test(spark, sf_dir))
+    return MT.binary_metrics(scored, tiebreak=["user_id", "product_id"]).select(
+        F.lit("soft_voting").alias("model"), "*")
+
+
+@register("cross_validation_folds", None)
+def cross_validation_folds(spark, sf_dir):
+    """M9: 3-fold stratified CV of the three tree models (fresh fit per fold)."""
+    return ST.cv_folds(spark, sf_dir)
+
+
+@register("randomized_search_results", None)
+def randomized_search_results(spark, sf_dir):
+    """8 seeded draws of the forest search space, 2-fold CV on ROC-AUC."""
+    _, res, _ = VA.randomized_search(ST.balanced(spark, sf_dir), impute="mean")
+    return res
+
+
+@register("model_selection", None)
+def model_selection(spark, sf_dir):
+    """A17 + E8 + E9 + W2: CV summary joined with test metrics, gaps, stability,
+    validation rank; ``selected`` marks the model chosen by the four priorities."""
+    folds = ST.cv_folds(spark, sf_dir)
+    tests = None
+    for kind in ("decision_tree", "random_forest", "gradient_boosting"):
+        t = _test_metrics(spark, sf_dir, kind, rule="argmax").drop("inference_ms_per_row")
+        tests = t if tests is None else tests.unionByName(t)
+    cmp = MT.model_comparison(MT.cv_summary(folds), tests)
+    best = MT.select_final_model(cmp).first()["model"]
+    return cmp.withColumn("selected", F.col("model") == F.lit(best))
+
+
+@register("scored_test_requests", None)
+def scored_test_requests(spark, sf_dir):
+    """V1–V4: the test rows as scoring requests — validated, then scored by the
+    boosted-tree model (accepted rows) or returned with reasons (rejected rows)."""
+    model, _ = ST.trained_model(spark, sf_dir, "gradient_boosting")
+    req = ST.test(spark, sf_dir).select("user_id", "product_id", *MODEL_FEATURES)
+    ok, bad = SC.score_requests(model, req)
+    return (ok.select("user_id", "product_id", "prediction", "prediction_label",
+                      "probability_future_purchase", "model", "feature_count",
+                      F.lit(None).cast("string").alias("violations"))
+            .unionByName(bad.select("user_id", "product_id",
+                                    F.lit(None).cast("int").alias("prediction"),
+                                    F.lit(None).cast("string").alias("prediction_label"),
+                                    F.lit(None).cast("double").alias("probability_future_purchase"),
+                                    F.lit(None).cast("string").alias("model"),
+                                    F.lit(None).cast("int").alias("feature_count"),
+                                    F.array_join("violations", ",").alias("violations"))))

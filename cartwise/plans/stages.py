@@ -69,3 +69,34 @@ def balanced(spark: SparkSession, sf_dir: str, grain: str = "brand_type") -> Dat
     """Undersampled training rows (the file the model scripts read)."""
     return stage(spark, sf_dir, f"balanced-{grain}",
                  lambda: LB.balance_undersample(train(spark, sf_dir, grain)))
+
+
+def trained_model(spark: SparkSession, sf_dir: str, kind: str, grain: str = "brand_type",
+                  impute: str = "mean", **params):
+    """A model fitted on the balanced training rows, saved once under the
+    checkpoint folder (keyed like the other stages) and loaded back."""
+    from pyspark.ml import PipelineModel
+
+    from cartwise.plans import models as M
+
+    tag = ",".join(f"{k}={v}" for k, v in sorted(params.items()))
+    key = hashlib.md5(f"{_input_fingerprint(spark, sf_dir)}|{kind}|{grain}|{impute}|{tag}|"
+                      f"{code_fingerprint()}".encode()).hexdigest()[:16]
+    path = f"{checkpoint_dir(spark)}/model-{kind}-{key}"
+    fs, done = _fs(spark, f"{path}/metadata/_SUCCESS")
+    if not fs.exists(done):
+        bal = balanced(spark, sf_dir, grain)
+        if kind == "logistic_regression":
+            pipe = M.logistic_pipeline(bal.count(), impute=impute, **params)
+        else:
+            pipe = M.tree_pipeline(kind, impute=impute, **params)
+        M.fit(pipe, bal).write().overwrite().save(path)
+    return PipelineModel.load(path), path
+
+
+def cv_folds(spark: SparkSession, sf_dir: str, grain: str = "brand_type", k: int = 3) -> DataFrame:
+    """Per-fold metrics of the three tree models (written once, a tiny table)."""
+    from cartwise.plans import validation as V
+
+    return stage(spark, sf_dir, f"cvfolds-{grain}-{k}",
+                 lambda: V.cross_validate(V.default_pipelines("mean"), balanced(spark, sf_dir, grain), k))
