@@ -492,3 +492,89 @@ def scored_test_requests(spark, sf_dir):
                                     F.lit(None).cast("string").alias("model"),
                                     F.lit(None).cast("int").alias("feature_count"),
                                     F.array_join("violations", ",").alias("violations"))))
+
+
+# ---------------------------------------------------------------- more plot data, summaries, IO
+
+@register("purchase_count_histogram", _sql(*_LBL, body=f"""
+, h_mm AS (SELECT CAST(min(user_product_purchase_count) AS DOUBLE) AS lo,
+                  CAST(max(user_product_purchase_count) AS DOUBLE) AS hi FROM labelled),
+h_w AS (SELECT lo, CASE WHEN hi > lo THEN (hi - lo) / 40 ELSE 1.0 END AS w FROM h_mm),
+h_b AS (SELECT l.target, CAST(least(floor((CAST(l.user_product_purchase_count AS DOUBLE) - h.lo) / h.w), 39)
+                                AS INTEGER) AS bin, h.lo, h.w
+        FROM labelled l CROSS JOIN h_w h)
+SELECT target, bin, count(*) AS count, round(lo + bin * w, {O.R}) AS lower,
+       round(lo + (bin + 1) * w, {O.R}) AS upper
+FROM h_b GROUP BY target, bin, lo, w"""))
+def purchase_count_histogram(spark, sf_dir):
+    """V6: 40-bin histogram of purchase counts by class."""
+    return round_doubles(PD.histogram(ST.labelled(spark, sf_dir), "user_product_purchase_count",
+                                      40, by="target"))
+
+
+@register("labelled_summary", _sql(*_LBL, body=f"""
+SELECT count(DISTINCT user_id) AS user_id_distinct, count(DISTINCT product_id) AS product_id_distinct,
+       round(avg(CAST(target AS DOUBLE)), {O.R}) AS positive_rate FROM labelled"""))
+def labelled_summary(spark, sf_dir):
+    """A15 + A16: distinct users and products, positive class rate."""
+    lab = ST.labelled(spark, sf_dir)
+    parts = [QC.distinct_count(lab, "user_id"), QC.distinct_count(lab, "product_id"),
+             QC.class_rate(lab)]
+    out = parts[0]
+    for p in parts[1:]:
+        # single-row frames side by side
+        out = out.withColumn("_k", F.lit(1)).join(F.broadcast(p.withColumn("_k", F.lit(1))), "_k").drop("_k")
+    return round_doubles(out)
+
+
+@register("warehouse_load_checks", _sql(_B, _F, body="""
+SELECT count(*) AS row_count,
+       count(DISTINCT CAST(user_id AS VARCHAR) || '-' || CAST(product_id AS VARCHAR))
+         AS unique_customer_product_pairs,
+       count_if(user_id IS NULL) AS null_user_ids, count_if(product_id IS NULL) AS null_product_ids,
+       count_if(user_product_purchase_count < 0) AS negative_purchase_counts,
+       count_if(user_product_reorder_count < 0) AS negative_reorder_counts,
+       count_if(user_product_reorder_rate < 0 OR user_product_reorder_rate > 1) AS invalid_reorder_rates,
+       count_if(user_department_purchase_share < 0 OR user_department_purchase_share > 1)
+         AS invalid_department_shares,
+       count_if(user_aisle_purchase_share < 0 OR user_aisle_purchase_share > 1) AS invalid_aisle_shares,
+       count_if(product_reorder_rate < 0 OR product_reorder_rate > 1) AS invalid_product_reorder_rates
+FROM features"""))
+def warehouse_load_checks(spark, sf_dir):
+    """S6 + S7 + S8 + S9 + S10 + A7: the feature table written as headered gzip
+    CSV parts, loaded with FAILFAST into a typed catalog table, then checked."""
+    import uuid
+
+    from cartwise.session import checkpoint_dir
+    from cartwise.sources import sinks as SK
+
+    root = f"{checkpoint_dir(spark)}/warehouse-{uuid.uuid4().hex[:12]}"
+    SK.write_parts(ST.features(spark, sf_dir, "part"), f"{root}/csv")
+    table = f"features_{uuid.uuid4().hex[:8]}"
+    name = SK.create_feature_table(spark, "customer_demand", table, f"{root}/table")
+    SK.bulk_load(spark, f"{root}/csv", name)
+    if table not in SK.list_tables(spark, "customer_demand"):
+        raise RuntimeError("table not in catalog")
+    return QC.warehouse_checks(spark.table(name))
+
+
+@register("experiment_run_summary", None)
+def experiment_run_summary(spark, sf_dir):
+    """One run per tree model appended to a run table (params, metrics,
+    tags, artifacts), read back and summarised per metric; ``best`` marks the
+    run with the highest ROC-AUC."""
+    import uuid
+
+    from cartwise.plans import runs as RU
+    from cartwise.session import checkpoint_dir
+
+    path = f"{checkpoint_dir(spark)}/runs-{uuid.uuid4().hex[:12]}"
+    for kind in ("decision_tree", "random_forest", "gradient_boosting"):
+        model, mpath = ST.trained_model(spark, sf_dir, kind)
+        m = VA.evaluate(model, ST.test(spark, sf_dir), kind, "argmax", model_path=mpath)
+        RU.log_run(spark, path, "basket_models", kind, RU.model_params(model), m,
+                   {"grain": "brand_type"}, [mpath])
+    runs = RU.read_runs(spark, path)
+    best = RU.best_run(runs).select(F.col("run_id").alias("_best"))
+    return (RU.run_summary(runs).join(F.broadcast(best), F.col("run_id") == F.col("_best"), "left")
+            .withColumn("best", F.col("_best").isNotNull()).drop("_best", "run_id"))
