@@ -10,7 +10,8 @@ groups spread over many tasks:
    several contiguous partitions of similar size.
 2. One vectorised pass per partition (``mapInPandas``) numbers rows within
    each key *locally*, takes local lags and flags the local last row, carrying
-   state across Arrow batches of the same partition.
+   state across Arrow batches of the same partition. Its output is persisted,
+   so the pass runs once for both of its consumers.
 3. Only the first key of a partition can have begun in an earlier partition,
    and only its last key can continue in a later one. The per-partition head
    and tail rows (at most 2·n rows, n = partition count) give the missing
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -134,7 +136,11 @@ def sequence_within(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
     ] + lag_fields)
     seq = ranged.mapInPandas(_make_numberer(keys, lag_names, integral), schema)
 
-    # Boundary rows: at most one head and one tail per partition (<= 2n rows).
+    # The numbered rows feed two consumers (the output and the boundary rows).
+    # They are persisted so the pandas pass runs once and both consumers see
+    # the very same partitions; a lost block is recomputed from the same range
+    # exchange. Boundary rows: one head and one tail per partition (<= 2n rows).
+    seq = seq.persist(StorageLevel.MEMORY_AND_DISK)
     edges = seq.filter(F.col("_seq_head") | F.col("_seq_tail")).select(
         "_seq_pid", "_seq_head", "_seq_tail", "_seq_rn",
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],

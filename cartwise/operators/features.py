@@ -119,17 +119,32 @@ def user_category_affinity(pairs_cat: DataFrame, level: str) -> DataFrame:
 
 
 def customer_product_features(orders: DataFrame, lines: DataFrame,
-                              products: DataFrame) -> DataFrame:
+                              products: DataFrame, reuse: str = "checkpoint") -> DataFrame:
     """The 21-column feature table.
 
     ``lines`` are the prior purchase lines joined to their order
     (order_id, user_id, product_id, order_number, add_to_cart_order, reordered),
     e.g. :func:`prior_lines` of the basket tables.
+
+    The pair table feeds five branches (product, department, aisle and user
+    aggregates, and the output). ``reuse='checkpoint'`` (default) writes it
+    once to the shared checkpoint folder, so the line table is scanned and
+    shuffled once and a lost executor does not replay the pair aggregation;
+    'persist' caches it on the executors instead; None leaves it to exchange
+    reuse, which column pruning usually defeats.
     """
     pairs = pair_stats(lines)
     users = user_order_features(orders)
     dims = sized_broadcast(dedup_products(products))
     pc = pairs.join(dims, "product_id", "left")
+    if reuse == "checkpoint":
+        pc = pc.checkpoint(eager=True)
+    elif reuse == "persist":
+        from pyspark import StorageLevel
+
+        pc = pc.persist(StorageLevel.MEMORY_AND_DISK)
+    elif reuse is not None:
+        raise ValueError("reuse must be 'checkpoint', 'persist' or None")
 
     prod = pc.groupBy("product_id").agg(
         F.sum("user_product_purchase_count").cast("long").alias("product_total_purchases"),
@@ -151,10 +166,12 @@ def customer_product_features(orders: DataFrame, lines: DataFrame,
         F.sum(F.when(known_aisle, n)).alias("_aisle_total"))
     u = users.join(ut, "user_id", "left")
 
-    out = (pc.join(prod, "product_id", "left")
+    # user-keyed joins first: with co-partitioning on a subset of the join keys
+    # allowed, one shuffle of the pair rows by user_id serves all three
+    out = (pc.join(u, "user_id", "left")
            .join(ud, ["user_id", "department_id"], "left")
            .join(ua, ["user_id", "aisle_id"], "left")
-           .join(u, "user_id", "left"))
+           .join(sized_broadcast(prod), "product_id", "left"))
     dcount = F.coalesce(F.col("user_department_purchase_count"), F.lit(0).cast("long"))
     acount = F.coalesce(F.col("user_aisle_purchase_count"), F.lit(0).cast("long"))
     cols = {
@@ -175,7 +192,7 @@ def customer_product_features(orders: DataFrame, lines: DataFrame,
     ])
 
 
-def build_features(basket) -> DataFrame:
+def build_features(basket, reuse: str = "checkpoint") -> DataFrame:
     """Feature table from a :class:`~cartwise.sources.adapter.Basket` (or any object
     with ``orders``, ``order_products_prior`` and ``products``)."""
     lines = getattr(basket, "lines", None)
@@ -183,7 +200,7 @@ def build_features(basket) -> DataFrame:
         lines = lines.filter(F.col("eval_set") == "prior")
     else:
         lines = prior_lines(basket.orders, basket.order_products_prior)
-    return customer_product_features(basket.orders, lines, basket.products)
+    return customer_product_features(basket.orders, lines, basket.products, reuse)
 
 
 __all__ = [

@@ -112,20 +112,28 @@ def basket_lines(lineitem: DataFrame, orders_b: DataFrame, part: DataFrame,
                  grain: str = "part") -> DataFrame:
     """lineitem → lines with order_id, user_id, eval_set, order_number, product_id,
     add_to_cart_order, reordered."""
-    li = lineitem.select("l_orderkey", *LINE_ORDER)
-    li = sequence_within(li, ["l_orderkey"], LINE_ORDER, rn_col="add_to_cart_order")
     if grain == "part":
-        li = li.withColumn("product_id", F.col("l_partkey"))
+        pmap = None
     else:
-        li = li.join(sized_broadcast(part_to_product(part, grain)),
-                     li["l_partkey"] == F.col("p_partkey"), "left")
-    li = li.select(F.col("l_orderkey").alias("order_id"), "product_id",
-                   F.col("add_to_cart_order").cast("int").alias("add_to_cart_order"))
-    lines = li.join(orders_b.select("order_id", "user_id", "eval_set", "order_number"),
-                    "order_id", "inner")
-    # first order of each (user, product): partial aggregation, then a join that
-    # AQE can split when one pair is hot
-    first = lines.groupBy("user_id", "product_id").agg(F.min("order_number").alias("_first"))
+        pmap = sized_broadcast(part_to_product(part, grain))
+
+    def with_product(df):
+        if pmap is None:
+            return df.withColumn("product_id", F.col("l_partkey"))
+        return df.join(pmap, df["l_partkey"] == F.col("p_partkey"), "left")
+
+    o = orders_b.select("order_id", "user_id", "eval_set", "order_number")
+    li = sequence_within(lineitem.select("l_orderkey", *LINE_ORDER), ["l_orderkey"], LINE_ORDER,
+                         rn_col="add_to_cart_order")
+    li = with_product(li).select(F.col("l_orderkey").alias("order_id"), "product_id",
+                                 F.col("add_to_cart_order").cast("int").alias("add_to_cart_order"))
+    lines = li.join(o, "order_id", "inner")
+    # first order of each (user, product), from the plain lines (no sequencing):
+    # partial aggregation, then a join that AQE can split when one pair is hot
+    plain = with_product(lineitem.select("l_orderkey", "l_partkey")).select(
+        F.col("l_orderkey").alias("order_id"), "product_id")
+    first = (plain.join(o.select("order_id", "user_id", "order_number"), "order_id", "inner")
+             .groupBy("user_id", "product_id").agg(F.min("order_number").alias("_first")))
     return (lines.join(first, ["user_id", "product_id"], "inner")
             .withColumn("reordered", (F.col("order_number") > F.col("_first")).cast("int"))
             .drop("_first"))
