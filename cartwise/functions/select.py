@@ -20,14 +20,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 10_000
+ACCURACY = 2_000
 
 
 def _accuracy(n: int, base: int) -> int:
     """Sketch accuracy: ``base`` for small inputs, growing with n so that a
-    bracket (about 6·n/accuracy rows) stays near a million at most; capped at
+    bracket (about 6·n/accuracy rows) stays near 600 000 at most; capped at
     10^6, where the sketch itself is still a few MB per column."""
-    return int(min(1_000_000, max(base, n // 1_000_000)))
+    return int(min(1_000_000, max(base, n // 100_000)))
 
 
 def _bracket(df: DataFrame, group: str | None, lead: str, targets: dict, accuracy: int,
@@ -125,14 +125,17 @@ def tuple_le(order: list[str], values: tuple) -> Column:
     return expr
 
 
-def column_order_stats(df: DataFrame, targets: dict, accuracy: int = ACCURACY) -> dict:
+def column_order_stats(df: DataFrame, targets: dict, accuracy: int = ACCURACY,
+                       initial: dict | None = None) -> dict:
     """Exact k-th smallest values of several numeric columns of one table.
 
     targets: {column: (non-null count, [k1, k2, ...])}. Works on the wide
     table: one sketch aggregation, one aggregation of ``count_if`` for the
     rows below every bracket, and one pass emitting only the values inside a
     bracket (then a cumulative count over those few distinct values). Nulls
-    and NaN are ignored. Returns {(column, k): value}.
+    and NaN are ignored. Returns {(column, k): value}. ``initial`` may hold
+    brackets {(column, k): (lo, hi)} from an earlier sketch; they are verified
+    like any other and widened on a miss.
     """
     spark = df.sparkSession
     accuracy = _accuracy(max([n for n, _ in targets.values()] or [0]), accuracy)
@@ -147,7 +150,14 @@ def column_order_stats(df: DataFrame, targets: dict, accuracy: int = ACCURACY) -
     while pending:
         cols = sorted({c for c, _ in pending})
         br: dict = {}
-        if width < 1.0:
+        if initial:
+            br = {key: initial[key] for key in pending if key in initial}
+            initial = None
+            if len(br) < len(pending):
+                br = {}
+        if br:
+            pass
+        elif width < 1.0:
             probs = {c: sorted({max(0.0, (k - 0.5) / targets[c][0] - width) for cc, k in pending if cc == c}
                                | {min(1.0, (k - 0.5) / targets[c][0] + width) for cc, k in pending if cc == c})
                      for c in cols}
@@ -214,3 +224,57 @@ def column_order_stats(df: DataFrame, targets: dict, accuracy: int = ACCURACY) -
         pending = {key for key in pending if key not in result}
         width *= 10
     return result
+
+
+def column_quantiles(df: DataFrame, cols: list[str], probs, accuracy: int = ACCURACY) -> dict:
+    """Exact linear-interpolated quantiles of several columns:
+    {(column, p): value} (None for an all-null column).
+
+    The first aggregation takes the non-null counts, min/max and a sketch at
+    p ± a margin together, so the brackets need no separate counting pass;
+    :func:`column_order_stats` then verifies them and resolves the exact
+    order statistics around each position ``p·(n-1)``.
+    """
+    import math
+
+    def val(c):
+        x = F.col(c).cast("double")
+        return F.when(~F.isnan(x), x)
+
+    acc = int(accuracy)
+    margin = 6.0 / acc
+    grid = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-margin, margin)})
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs += [F.count(val(c)).alias(f"n{i}"), F.min(val(c)).alias(f"mn{i}"),
+                 F.max(val(c)).alias(f"mx{i}"),
+                 F.percentile_approx(val(c), F.array(*[F.lit(g) for g in grid]), acc).alias(f"q{i}")]
+    row = df.agg(*aggs).first()
+    targets, initial, plan = {}, {}, []
+    for i, c in enumerate(cols):
+        n = row[f"n{i}"]
+        if not n:
+            plan += [(c, p, None, None, 0.0) for p in probs]
+            continue
+        q = dict(zip(grid, row[f"q{i}"] or []))
+        for p in probs:
+            pos = p * (n - 1)
+            lo_k, hi_k = math.floor(pos) + 1, math.ceil(pos) + 1
+            targets.setdefault(c, (n, set()))[1].update((lo_k, hi_k))
+            plo, phi = min(1.0, max(0.0, p - margin)), min(1.0, max(0.0, p + margin))
+            br = (row[f"mn{i}"] if plo <= 0.0 else q.get(plo),
+                  row[f"mx{i}"] if phi >= 1.0 else q.get(phi))
+            if None not in br:
+                initial[(c, lo_k)] = br
+                initial[(c, hi_k)] = br
+            plan.append((c, p, lo_k, hi_k, pos - math.floor(pos)))
+    kth = column_order_stats(df, {c: (n, sorted(ks)) for c, (n, ks) in targets.items()},
+                             accuracy, initial=initial)
+    out = {}
+    for c, p, lo_k, hi_k, frac in plan:
+        if lo_k is None:
+            out[(c, p)] = None
+            continue
+        vlo, vhi = kth[(c, lo_k)], kth[(c, hi_k)]
+        out[(c, p)] = vlo + (vhi - vlo) * frac
+    return out

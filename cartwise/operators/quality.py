@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwise.functions.columns import ratio
-from cartwise.functions.select import column_order_stats
+from cartwise.functions.select import column_quantiles
 from cartwise.sources.schemas import COUNT_FEATURES, ID_COLUMNS, RATE_FEATURES
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
@@ -116,32 +116,12 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75)) ->
     of several columns: (column, p, value). Nulls and NaN are skipped.
 
     The two order statistics around each quantile position are found exactly
-    by :func:`column_order_stats` on the wide table (sketch + count + small
-    bracket): no sort, no unpivot, no shuffle of the rows, no single-task
-    buffer of a column's values.
+    by :func:`column_quantiles` on the wide table (one sketch-and-count pass,
+    one pass over the rows below / inside the brackets): no sort, no unpivot,
+    no shuffle of the rows, no single-task buffer of a column's values.
     """
-    import math
-
-    def val(c):
-        x = F.col(c).cast("double")
-        return F.when(~F.isnan(x), x)
-
-    cnt = df.agg(*[F.count(val(c)).alias(c) for c in cols]).first()
-    targets, plan = {}, []
-    for c in cols:
-        n = cnt[c]
-        if n == 0:
-            continue
-        for p in probs:
-            pos = p * (n - 1)
-            lo, hi = math.floor(pos) + 1, math.ceil(pos) + 1
-            targets.setdefault(c, (n, set()))[1].update((lo, hi))
-            plan.append((c, float(p), lo, hi, pos - math.floor(pos)))
-    kth = column_order_stats(df, {c: (n, sorted(ks)) for c, (n, ks) in targets.items()})
-    rows = []
-    for c, p, lo, hi, frac in plan:
-        vlo, vhi = kth[(c, lo)], kth[(c, hi)]
-        rows.append((c, p, vlo + (vhi - vlo) * frac))
+    res = column_quantiles(df, cols, [float(p) for p in probs])
+    rows = [(c, float(p), res[(c, float(p))]) for c in cols for p in probs]
     return df.sparkSession.createDataFrame(rows, "column string, p double, value double")
 
 
