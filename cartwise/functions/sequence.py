@@ -31,6 +31,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_PERSISTED: list[DataFrame] = []
+
+
+def release_cached() -> None:
+    """Unpersist the numbered rows kept by :func:`sequence_within` (call once
+    the results that depend on them have been written)."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist(blocking=False)
 
 
 def _null_safe_eq(a, b) -> bool:
@@ -141,6 +149,7 @@ def sequence_within(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
     # the very same partitions; a lost block is recomputed from the same range
     # exchange. Boundary rows: one head and one tail per partition (<= 2n rows).
     seq = seq.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(seq)
     edges = seq.filter(F.col("_seq_head") | F.col("_seq_tail")).select(
         "_seq_pid", "_seq_head", "_seq_tail", "_seq_rn",
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwise.functions.joins import sized_broadcast
-from cartwise.functions.sequence import sequence_within
+from cartwise.functions.sequence import release_cached, sequence_within
 
 GRAINS = ("part", "brand_type")
 
@@ -218,6 +218,7 @@ def write_basket(spark: SparkSession, sf_dir: str, grain: str, root: str) -> Non
     (basket_lines(t["lineitem"], orders_b, t["part"], grain)
      .write.mode("overwrite").partitionBy("eval_set").parquet(f"{root}/lines"))
     basket_products(t["part"], grain).write.mode("overwrite").parquet(f"{root}/products")
+    release_cached()
 
 
 def read_basket(spark: SparkSession, root: str) -> Basket:
