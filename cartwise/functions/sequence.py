@@ -26,7 +26,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -144,41 +144,24 @@ def sequence_within(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
     ] + lag_fields)
     seq = ranged.mapInPandas(_make_numberer(keys, lag_names, integral), schema)
 
-    # The numbered rows feed two consumers (the output and the boundary rows).
-    # They are persisted so the pandas pass runs once and both consumers see
-    # the very same partitions; a lost block is recomputed from the same range
-    # exchange. Boundary rows: one head and one tail per partition (<= 2n rows).
+    # The numbered rows feed two consumers (the boundary rows and the output).
+    # They are persisted, and one job both fills the cache and collects the
+    # boundary rows: one head and one tail per non-empty partition, at most 2·n
+    # rows whatever the data size. Started as separate broadcast subqueries,
+    # every consumer would run the pandas pass again before the cache is filled.
+    # A lost block is recomputed from the same range exchange.
     seq = seq.persist(StorageLevel.MEMORY_AND_DISK)
     _PERSISTED.append(seq)
-    edges = seq.filter(F.col("_seq_head") | F.col("_seq_tail")).select(
+    edge_rows = seq.filter(F.col("_seq_head") | F.col("_seq_tail")).select(
         "_seq_pid", "_seq_head", "_seq_tail", "_seq_rn",
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         *[F.col(c).cast("long" if c in integral else "double").alias(f"_v{i}")
-          for i, c in enumerate(lag_names)])
-    tails = edges.filter("_seq_tail").drop("_seq_head", "_seq_tail")
-    heads = edges.filter("_seq_head").select(
-        F.col("_seq_pid").alias("_h_pid"), *[F.col(f"_k{i}").alias(f"_h{i}") for i in range(len(keys))])
-    kcols = [f"_k{i}" for i in range(len(keys))]
-    w_key = (Window.partitionBy(*kcols) if kcols else Window).orderBy("_seq_pid") \
-        .rowsBetween(Window.unboundedPreceding, 0)
-    w_all = Window.orderBy("_seq_pid")  # over <= n tail rows
-    tails = (tails
-             .withColumn("_cum", F.sum("_seq_rn").over(w_key))
-             .withColumn("_next_pid", F.lead("_seq_pid").over(w_all)))
-    tails = tails.join(heads, tails["_next_pid"] == heads["_h_pid"], "left")
-    continues = F.lit(True)
-    for i in range(len(keys)):
-        continues = continues & F.col(f"_k{i}").eqNullSafe(F.col(f"_h{i}"))
-    tails = tails.withColumn("_continues", F.coalesce(continues & F.col("_h_pid").isNotNull(), F.lit(False)))
-    prev = tails.select(F.col("_next_pid").alias("_b_pid"),
-                        *[F.col(f"_k{i}").alias(f"_bp{i}") for i in range(len(keys))],
-                        F.col("_cum").alias("_b_cum"),
-                        *[F.col(f"_v{i}").alias(f"_bv{i}") for i in range(len(lag_names))]
-                        ).filter(F.col("_b_pid").isNotNull())
-    own = tails.select(F.col("_seq_pid").alias("_o_pid"), F.col("_continues").alias("_b_cont"))
-    bounds = (own.join(prev, own["_o_pid"] == prev["_b_pid"], "full")
-              .withColumn("_b_key", F.coalesce("_o_pid", "_b_pid"))
-              .drop("_o_pid", "_b_pid"))
+          for i, c in enumerate(lag_names)]).collect()
+    if len(edge_rows) > 2 * n:
+        raise AssertionError(f"{len(edge_rows)} boundary rows for {n} partitions")
+    bounds = _boundary_offsets(spark, edge_rows, [ranged.schema[k] for k in keys],
+                               [T.LongType() if c in integral else T.DoubleType()
+                                for c in lag_names])
 
     joined = seq.join(F.broadcast(bounds), seq["_seq_pid"] == bounds["_b_key"], "left")
     cont = F.col("_b_cum").isNotNull()
@@ -196,3 +179,37 @@ def sequence_within(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
         out_cols.append(F.when(F.col("_seq_tail") & F.coalesce(F.col("_b_cont"), F.lit(False)),
                                F.lit(False)).otherwise(F.col("_seq_last")).alias(last_col))
     return joined.select(*out_cols)
+
+
+def _boundary_offsets(spark, edge_rows, key_fields, lag_types) -> DataFrame:
+    """Per non-empty partition: the key, running count and lag values carried in
+    from the partitions before it (``_bp*``, ``_b_cum``, ``_bv*``) and whether its
+    last key continues in the next partition (``_b_cont``). Input and output have
+    at most 2·n and n rows (n = partition count)."""
+    nk, nl = len(key_fields), len(lag_types)
+    heads, tails = {}, {}
+    for r in edge_rows:
+        key = tuple(r[f"_k{i}"] for i in range(nk))
+        if r["_seq_head"]:
+            heads[r["_seq_pid"]] = key
+        if r["_seq_tail"]:
+            tails[r["_seq_pid"]] = (key, r["_seq_rn"], tuple(r[f"_v{i}"] for i in range(nl)))
+
+    def same(a, b):
+        return a is not None and b is not None and all(_null_safe_eq(x, y) for x, y in zip(a, b))
+
+    pids = sorted(tails)
+    rows, carry = [], None            # carry: (key, running count, lag values)
+    for j, pid in enumerate(pids):
+        key, local_n, vals = tails[pid]
+        nxt = heads.get(pids[j + 1]) if j + 1 < len(pids) else None
+        ck, cn, cv = carry if carry is not None else ((None,) * nk, None, (None,) * nl)
+        rows.append((pid, *ck, cn, *cv, same(key, nxt)))
+        carry = (key, local_n + (cn if carry is not None and same(ck, key) else 0), vals)
+    schema = T.StructType(
+        [T.StructField("_b_key", T.IntegerType(), False)]
+        + [T.StructField(f"_bp{i}", f.dataType) for i, f in enumerate(key_fields)]
+        + [T.StructField("_b_cum", T.LongType())]
+        + [T.StructField(f"_bv{i}", t) for i, t in enumerate(lag_types)]
+        + [T.StructField("_b_cont", T.BooleanType(), False)])
+    return spark.createDataFrame(rows, schema)
