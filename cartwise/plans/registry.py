@@ -239,6 +239,32 @@ def order_dow_value_counts(spark, sf_dir):
 _LBL = (_BT, _F, _L)
 
 
+@register("feature_head_20", _sql(_B, _F, body=O.rounded_select(O.FEATURE_COLS_TYPES, "features")
+                                   + " ORDER BY user_id, product_id LIMIT 20"))
+def feature_head_20(spark, sf_dir):
+    """O1 + O3: the warehouse preview (first 20 feature rows); ordered by the key
+    so that the preview is deterministic. A top-k: each task keeps its 20 best
+    rows, the driver merges at most 20 per task."""
+    return round_doubles(ST.features(spark, sf_dir, "part").orderBy("user_id", "product_id").limit(20))
+
+
+_PLOT_FEATURES = ["user_product_purchase_count", "user_product_reorder_rate",
+                  "user_product_recency_orders", "product_reorder_rate"]
+_PLOT_TYPES = dict(O.FEATURE_COLS_TYPES)
+
+
+@register("plot_sample_features", _sql(*_LBL, body=O.rounded_select(
+    [("user_id", "bigint"), ("product_id", "bigint"), ("target", "int")]
+    + [(c, _PLOT_TYPES[c]) for c in _PLOT_FEATURES], "balanced")
+    + f" ORDER BY {O._md5_key('')}, user_id, product_id LIMIT 50000"))
+def plot_sample_features(spark, sf_dir):
+    """Seeded sample of min(50 000, n) balanced training rows with the four
+    plotted features (a bounded top-n by the md5 order key)."""
+    bal = ST.balanced(spark, sf_dir)
+    return round_doubles(LB.plot_sample(bal, 50_000).select("user_id", "product_id", "target",
+                                                            *_PLOT_FEATURES))
+
+
 @register("future_pairs", _sql(_BT, body="SELECT DISTINCT user_id, product_id FROM b_lines "
                                          "WHERE eval_set = 'train'"))
 def future_pairs(spark, sf_dir):
@@ -479,6 +505,29 @@ def model_selection(spark, sf_dir):
     return cmp.withColumn("selected", F.col("model") == F.lit(best))
 
 
+@register("architecture_comparison", None)
+def architecture_comparison(spark, sf_dir):
+    """E10 + J14 + O1: the three tree models and the soft-voting ensemble on the
+    test split (p >= 0.5 rule for all four, as the comparison uses), with the
+    training run's fit seconds joined by model (none for the ensemble, which is
+    not trained), ranked by AUC."""
+    test = ST.test(spark, sf_dir)
+    rows = None
+    members = {}
+    for kind in ("decision_tree", "random_forest", "gradient_boosting"):
+        members[kind] = ST.trained_model(spark, sf_dir, kind)[0]
+        t = _test_metrics(spark, sf_dir, kind, rule="threshold")
+        rows = t if rows is None else rows.unionByName(t)
+    vote = MT.binary_metrics(MD.soft_vote(members, test), tiebreak=["user_id", "product_id"])
+    rows = rows.unionByName(vote.select(F.lit("soft_voting").alias("model"), "*"),
+                            allowMissingColumns=True)
+    fit_times = None
+    for kind in members:
+        t = ST.fit_seconds(spark, sf_dir, kind)
+        fit_times = t if fit_times is None else fit_times.unionByName(t)
+    return MT.architecture_table(rows, fit_times)
+
+
 @register("scored_test_requests", None)
 def scored_test_requests(spark, sf_dir):
     """V1–V4: the test rows as scoring requests — validated, then scored by the

@@ -10,6 +10,7 @@ Stage paths are keyed by a fingerprint of the input files.
 from __future__ import annotations
 
 import hashlib
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,16 +85,30 @@ def trained_model(spark: SparkSession, sf_dir: str, kind: str, grain: str = "bra
                       f"{code_fingerprint()}".encode()).hexdigest()[:16]
     path = f"{checkpoint_dir(spark)}/model-{kind}-{key}"
     fs, done = _fs(spark, f"{path}/metadata/_SUCCESS")
-    if not fs.exists(done):
+    _, fit_done = _fs(spark, f"{path}-fit/_SUCCESS")
+    if not (fs.exists(done) and fs.exists(fit_done)):
         bal = balanced(spark, sf_dir, grain)
         if kind == "logistic_regression":
             pipe = M.logistic_pipeline(bal.count(), impute=impute, **params)
         else:
             pipe = M.tree_pipeline(kind, impute=impute, **params)
-        M.fit(pipe, bal).write().overwrite().save(path)
+        t0 = time.perf_counter()
+        model = M.fit(pipe, bal)
+        seconds = time.perf_counter() - t0
+        model.write().overwrite().save(path)
+        # the training run's fit time, kept with the model (a one-row table)
+        spark.createDataFrame([(kind, seconds)], "model string, training_time_seconds double") \
+            .write.mode("overwrite").parquet(f"{path}-fit")
     return PipelineModel.load(path), path
 
 
+def fit_seconds(spark: SparkSession, sf_dir: str, kind: str, grain: str = "brand_type",
+                impute: str = "mean", **params) -> DataFrame:
+    """(model, training_time_seconds) of the training run of :func:`trained_model`."""
+    _, path = trained_model(spark, sf_dir, kind, grain, impute, **params)
+    return spark.read.parquet(f"{path}-fit")
+
+
 def cv_folds(spark: SparkSession, sf_dir: str, grain: str = "brand_type", k: int = 3) -> DataFrame:
     """Per-fold metrics of the three tree models on the D6 CV sample (150 000
     rows of the balanced training set, class rate kept; written once, a tiny
