@@ -158,3 +158,14 @@ def test_samples_exact_sizes(spark):
     assert c[1] == int(200 * 150 / 1000) and c[0] == 200 - c[1]
     assert LB.cv_sample(df, 5000).count() == 1000            # whole set when smaller
     assert LB.plot_sample(df, 10).count() == 10
+
+
+def test_plot_sample_is_first_n_by_md5_order(spark):
+    import hashlib
+
+    rows = [(u, p, u % 2) for u in range(40) for p in range(25)]
+    df = spark.createDataFrame(rows, "user_id long, product_id long, target int")
+    got = {(r.user_id, r.product_id) for r in LB.plot_sample(df, 137).collect()}
+    order = sorted(rows, key=lambda r: (hashlib.md5(f"{r[0]}-{r[1]}-42".encode()).hexdigest(),
+                                        r[0], r[1]))
+    assert got == {(u, p) for u, p, _ in order[:137]}
