@@ -115,10 +115,15 @@ def _make_numberer(key_names: list[str], lag_names: list[str], integral_lags: se
 
 def sequence_within(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
                     rn_col: str | None = "rn", lags: dict[str, str] | None = None,
-                    last_col: str | None = None, num_partitions: int | None = None) -> DataFrame:
+                    last_col: str | None = None, num_partitions: int | None = None,
+                    hold: list | None = None) -> DataFrame:
     """Add ROW_NUMBER (``rn_col``), LAG (``lags``: source column → output name) and an
     is-last-in-group flag (``last_col``) over ``PARTITION BY keys ORDER BY order_by``
     (ascending), with no group pinned to one task. Lag sources must be numeric.
+
+    The numbered rows stay persisted until :func:`release_cached`; a caller that
+    passes a list as ``hold`` gets the persisted frame appended there instead and
+    unpersists it itself once its result is computed.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -151,7 +156,7 @@ def sequence_within(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
     # every consumer would run the pandas pass again before the cache is filled.
     # A lost block is recomputed from the same range exchange.
     seq = seq.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(seq)
+    (hold if hold is not None else _PERSISTED).append(seq)
     edge_rows = seq.filter(F.col("_seq_head") | F.col("_seq_tail")).select(
         "_seq_pid", "_seq_head", "_seq_tail", "_seq_rn",
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],

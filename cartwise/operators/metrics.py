@@ -52,19 +52,24 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score",
     Rows are ranked by (score, tiebreak) with a range-partitioned sort so that a
     score shared by many rows (a tree leaf) is still spread over many tasks; the
     first rank of each distinct score then gives the rows below it. Result: one
-    row ``roc_auc`` (null when a class is absent).
+    row ``roc_auc`` (null when a class is absent). Computed eagerly: the ranked
+    rows are unpersisted as soon as the single value is known.
     """
     cols = [F.col(score).cast("double").alias("_s"), F.col(label).cast("int").alias("_y")]
     base = df.select(*cols, F.xxhash64(*[F.col(c) for c in (tiebreak or df.columns)]).alias("_t"))
-    ranked = sequence_within(base, [], ["_s", "_t"], rn_col="_rn")
+    held: list = []
+    ranked = sequence_within(base, [], ["_s", "_t"], rn_col="_rn", hold=held)
     g = ranked.groupBy("_s").agg(F.min("_rn").alias("_first"), F.count(F.lit(1)).alias("_c"),
                                  F.sum("_y").alias("_p"))
     tot = g.agg(F.sum(F.col("_p") * (F.col("_first") - 1 + (F.col("_c") + 1) / 2.0)).alias("_r"),
                 F.sum("_p").alias("_P"), F.sum("_c").alias("_n"))
     P, N = F.col("_P"), F.col("_n") - F.col("_P")
-    return tot.select(F.when((P == 0) | (N == 0), F.lit(None).cast("double"))
-                      .otherwise((F.col("_r") - P * (P + 1) / 2.0) / (P.cast("double") * N))
-                      .alias("roc_auc"))
+    auc = tot.select(F.when((P == 0) | (N == 0), F.lit(None).cast("double"))
+                     .otherwise((F.col("_r") - P * (P + 1) / 2.0) / (P.cast("double") * N))
+                     .alias("roc_auc")).first()["roc_auc"]
+    for d in held:
+        d.unpersist(blocking=False)
+    return df.sparkSession.createDataFrame([(auc,)], "roc_auc double")
 
 
 def binary_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction",
