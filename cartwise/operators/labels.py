@@ -76,12 +76,14 @@ def largest_remainder(counts: dict, k: int) -> dict:
     return base
 
 
-def _ranked(df: DataFrame, target: str, seed: int, salt: str, keys=PAIR) -> DataFrame:
+def _ranked(df: DataFrame, target: str, seed: int, salt: str, keys=PAIR,
+            hold: list | None = None) -> DataFrame:
     """Rank (1..n_class) of every row within its class by the seeded hash order
     (a range-partitioned sequence; used where every row needs its rank)."""
     seed_text = f"{seed}{salt}"
     h = F.md5(F.concat_ws("-", *[F.col(c).cast("string") for c in keys], F.lit(seed_text)))
-    return sequence_within(df.withColumn("_h", h), [target], ["_h", *keys], rn_col="_rank")
+    return sequence_within(df.withColumn("_h", h), [target], ["_h", *keys], rn_col="_rank",
+                           hold=hold)
 
 
 def _with_order(df: DataFrame, seed: int, salt: str, keys) -> tuple[DataFrame, list[str]]:
@@ -174,10 +176,11 @@ def cv_sample(df: DataFrame, size: int = 150_000, target: str = TARGET_COLUMN,
 
 
 def stratified_folds(df: DataFrame, k: int = 3, target: str = TARGET_COLUMN, seed: int = SEED,
-                     fold_col: str = "fold", keys=PAIR) -> DataFrame:
+                     fold_col: str = "fold", keys=PAIR, hold: list | None = None) -> DataFrame:
     """fold = (rank within class − 1) mod k — every fold holds each class in
-    proportion (sizes differ by at most one per class)."""
-    r = _ranked(df, target, seed, ":folds", keys)
+    proportion (sizes differ by at most one per class). ``hold``: see
+    :func:`sequence_within`."""
+    r = _ranked(df, target, seed, ":folds", keys, hold)
     return r.withColumn(fold_col, ((F.col("_rank") - 1) % k).cast("int")).drop("_h", "_rank")
 
 
