@@ -495,14 +495,28 @@ def randomized_search_results(spark, sf_dir):
 def model_selection(spark, sf_dir):
     """A17 + E8 + E9 + W2: CV summary joined with test metrics, gaps, stability,
     validation rank; ``selected`` marks the model chosen by the four priorities."""
+    cmp = _comparison(spark, sf_dir)
+    best = MT.select_final_model(cmp).first()["model"]
+    return cmp.withColumn("selected", F.col("model") == F.lit(best))
+
+
+def _comparison(spark, sf_dir):
     folds = ST.cv_folds(spark, sf_dir)
     tests = None
     for kind in ("decision_tree", "random_forest", "gradient_boosting"):
         t = _test_metrics(spark, sf_dir, kind, rule="argmax").drop("inference_ms_per_row")
         tests = t if tests is None else tests.unionByName(t)
-    cmp = MT.model_comparison(MT.cv_summary(folds), tests)
-    best = MT.select_final_model(cmp).first()["model"]
-    return cmp.withColumn("selected", F.col("model") == F.lit(best))
+    return MT.model_comparison(MT.cv_summary(folds), tests)
+
+
+@register("model_selection_report", None)
+def model_selection_report(spark, sf_dir):
+    """The selection report (markdown) as one row, formatted on the driver
+    from the one-row-per-model comparison table."""
+    from cartwise.plans import report as RP
+
+    return spark.createDataFrame([(RP.selection_report(_comparison(spark, sf_dir)),)],
+                                 "report string")
 
 
 @register("architecture_comparison", None)

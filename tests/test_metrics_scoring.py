@@ -117,3 +117,28 @@ def test_tie_rules_at_half(spark):
     thr = df.select((F.col("score") >= 0.5).cast("int").alias("p")).collect()
     assert [r.p for r in thr] == [1, 0, 1]      # p >= 0.5: a tie goes to class 1
     assert M.predict.__doc__ and "argmax" in M.predict.__doc__
+
+
+def test_selection_and_architecture_reports(spark):
+    from cartwise.plans import report as RP
+
+    folds = spark.createDataFrame(
+        [(m, f, 0.7 + d, 0.3 + d, 0.6 + d, 0.4 + d, 0.8 + d + f / 100, 1.0 + f)
+         for m, d in (("decision_tree", 0.0), ("gradient_boosting", 0.02)) for f in (1, 2, 3)],
+        "model string, fold int, accuracy double, precision double, recall double, "
+        "f1_score double, roc_auc double, training_time_seconds double")
+    tests = spark.createDataFrame(
+        [("decision_tree", 0.72, 0.15, 0.74, 0.25, 0.80, 0.5),
+         ("gradient_boosting", 0.73, 0.16, 0.75, 0.26, 0.81, 0.4)],
+        "model string, accuracy double, precision double, recall double, f1_score double, "
+        "roc_auc double, model_size_mb double")
+    cmp = MT.model_comparison(MT.cv_summary(folds), tests)
+    text = RP.selection_report(cmp)
+    assert "| Model | CV ROC-AUC | CV F1 | CV Recall | Test ROC-AUC | Test F1 | Test Recall | ROC-AUC Gap |" in text
+    assert "| gradient_boosting | 0.8400 | 0.4200 | 0.6200 | 0.8100 | 0.2600 | 0.7500 | 0.0300 |" in text
+    assert "**gradient_boosting** was selected" in text
+    assert "- Test ROC-AUC: **0.8100**" in text
+    arch = MT.architecture_table(tests)
+    atext = RP.architecture_report(arch)
+    assert atext.splitlines()[4].startswith("| 1 | gradient_boosting | 0.7300")
+    assert "Highest test ROC-AUC: **gradient_boosting** (0.8100)." in atext
