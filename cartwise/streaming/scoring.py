@@ -32,18 +32,25 @@ def request_stream(spark: SparkSession, folder: str, fmt: str = "parquet",
 
 def start_scoring(spark: SparkSession, model: PipelineModel, source: str, scored_sink: str,
                   rejected_sink: str, checkpoint: str, fmt: str = "parquet",
-                  available_now: bool = False, processing_time: str | None = None) -> StreamingQuery:
-    """Start the stream; each micro-batch is validated, scored and appended."""
+                  available_now: bool = False, processing_time: str | None = None,
+                  max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start the stream; each micro-batch is validated, scored and appended.
+    ``max_files_per_trigger`` bounds a micro-batch when a backlog has built up."""
 
     def score_batch(batch: DataFrame, epoch_id: int) -> None:
-        # one folder per micro-batch, overwritten on replay: a batch re-run
-        # after a failure replaces its own output instead of duplicating it
-        ok, bad = SC.split_requests(batch)
-        SC.score(model, ok).write.mode("overwrite").parquet(f"{scored_sink}/batch_id={epoch_id}")
-        bad.write.mode("overwrite").parquet(f"{rejected_sink}/batch_id={epoch_id}")
-
-    w = (request_stream(spark, source, fmt).writeStream.foreachBatch(score_batch)
-         .option("checkpointLocation", checkpoint))
+        # the batch feeds two sinks: read the request files once
+        batch = batch.persist()
+        try:
+            # one folder per micro-batch, overwritten on replay: a batch re-run
+            # after a failure replaces its own output instead of duplicating it
+            ok, bad = SC.split_requests(batch)
+            SC.score(model, ok).write.mode("overwrite").parquet(f"{scored_sink}/batch_id={epoch_id}")
+            bad.write.mode("overwrite").parquet(f"{rejected_sink}/batch_id={epoch_id}")
+        finally:
+            batch.unpersist()
+
+    w = (request_stream(spark, source, fmt, max_files_per_trigger).writeStream
+         .foreachBatch(score_batch).option("checkpointLocation", checkpoint))
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
