@@ -509,6 +509,13 @@ def _comparison(spark, sf_dir):
     return MT.model_comparison(MT.cv_summary(folds), tests)
 
 
+@register("cv_metric_error_bars", None)
+def cv_metric_error_bars(spark, sf_dir):
+    """V6: plot data of the CV comparison — mean and sample std per model and
+    metric (bars with error bars)."""
+    return PD.metric_error_long(MT.cv_summary(ST.cv_folds(spark, sf_dir)))
+
+
 @register("model_selection_report", None)
 def model_selection_report(spark, sf_dir):
     """The selection report (markdown) as one row, formatted on the driver

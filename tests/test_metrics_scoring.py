@@ -142,3 +142,23 @@ def test_selection_and_architecture_reports(spark):
     atext = RP.architecture_report(arch)
     assert atext.splitlines()[4].startswith("| 1 | gradient_boosting | 0.7300")
     assert "Highest test ROC-AUC: **gradient_boosting** (0.8100)." in atext
+
+
+def test_plot_tables_long_bars_and_error_bars(spark):
+    from cartwise.operators import plotdata as PD
+
+    res = spark.createDataFrame([("a", 0.7, 0.8), ("b", 0.9, 0.6)],
+                                "model string, accuracy double, roc_auc double")
+    long = {(r.model, r.metric): r.value
+            for r in PD.metric_long(res, ("accuracy", "roc_auc")).collect()}
+    assert long == {("a", "accuracy"): 0.7, ("a", "roc_auc"): 0.8,
+                    ("b", "accuracy"): 0.9, ("b", "roc_auc"): 0.6}
+    bars = PD.ranked_bars(res, "roc_auc").collect()
+    assert [(r.model, r.value) for r in bars] == [("a", 0.8), ("b", 0.6)]
+    folds = spark.createDataFrame([("a", 1, 0.6), ("a", 2, 0.8), ("b", 1, 0.5), ("b", 2, 0.5)],
+                                  "model string, fold int, roc_auc double")
+    summ = folds.groupBy("model").agg(F.avg("roc_auc").alias("roc_auc_mean"),
+                                      F.stddev_samp("roc_auc").alias("roc_auc_std"))
+    eb = {r.model: (r.metric, round(r.value, 9), round(r.error, 9))
+          for r in PD.metric_error_long(summ, ("roc_auc",)).collect()}
+    assert eb == {"a": ("roc_auc", 0.7, round(math.sqrt(0.02), 9)), "b": ("roc_auc", 0.5, 0.0)}
