@@ -195,32 +195,47 @@ def load_basket(spark: SparkSession, sf_dir: str, grain: str = "part") -> Basket
     memo = (id(spark), key)
     if memo in _LOADED:
         return _LOADED[memo]
+    # orders do not depend on the product grain: sequenced and written once
+    okey = hashlib.md5(f"{fp}|orders|{code_fingerprint()}".encode()).hexdigest()[:16]
+    orders_path = f"{checkpoint_dir(spark)}/basket-orders-{okey}"
+    fs, odone = _fs(spark, f"{orders_path}/_SUCCESS")
+    if not fs.exists(odone):
+        write_orders(spark, sf_dir, orders_path)
     root = f"{checkpoint_dir(spark)}/basket-{grain}-{key}"
-    fs, done = _fs(spark, f"{root}/_BASKET_DONE")
+    _, done = _fs(spark, f"{root}/_BASKET_DONE")
     if not fs.exists(done):
-        write_basket(spark, sf_dir, grain, root)
+        write_basket(spark, sf_dir, grain, root, orders_path)
         fs.create(done, True).close()
-    orders_b = spark.read.parquet(f"{root}/orders")
-    lines = spark.read.parquet(f"{root}/lines")
-    products = spark.read.parquet(f"{root}/products")
-    b = _basket(orders_b, lines, products)
+    b = read_basket(spark, root, orders_path)
     _LOADED[memo] = b
     return b
 
 
-def write_basket(spark: SparkSession, sf_dir: str, grain: str, root: str) -> None:
-    """The adapter ETL: orders (sequenced per customer), lines (sequenced per
+def write_orders(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """ORDERS (sequenced per customer) written as Parquet at ``path``; shared by
+    every product grain."""
+    basket_orders(read_tables(spark, sf_dir, "orders")["orders"]) \
+        .write.mode("overwrite").parquet(path)
+    release_cached()
+
+
+def write_basket(spark: SparkSession, sf_dir: str, grain: str, root: str,
+                 orders_path: str | None = None) -> None:
+    """The adapter ETL: orders (sequenced per customer; written under ``root``
+    unless an already written ``orders_path`` is given), lines (sequenced per
     order, joined to their order, reorder flag; partitioned by eval_set) and
     products, written as Parquet under ``root``."""
-    t = read_tables(spark, sf_dir, "orders", "lineitem", "part")
-    basket_orders(t["orders"]).write.mode("overwrite").parquet(f"{root}/orders")
-    orders_b = spark.read.parquet(f"{root}/orders")
+    if orders_path is None:
+        orders_path = f"{root}/orders"
+        write_orders(spark, sf_dir, orders_path)
+    t = read_tables(spark, sf_dir, "lineitem", "part")
+    orders_b = spark.read.parquet(orders_path)
     (basket_lines(t["lineitem"], orders_b, t["part"], grain)
      .write.mode("overwrite").partitionBy("eval_set").parquet(f"{root}/lines"))
     basket_products(t["part"], grain).write.mode("overwrite").parquet(f"{root}/products")
     release_cached()
 
 
-def read_basket(spark: SparkSession, root: str) -> Basket:
-    return _basket(spark.read.parquet(f"{root}/orders"), spark.read.parquet(f"{root}/lines"),
-                   spark.read.parquet(f"{root}/products"))
+def read_basket(spark: SparkSession, root: str, orders_path: str | None = None) -> Basket:
+    return _basket(spark.read.parquet(orders_path or f"{root}/orders"),
+                   spark.read.parquet(f"{root}/lines"), spark.read.parquet(f"{root}/products"))
