@@ -108,10 +108,20 @@ def basket_orders(orders: DataFrame) -> DataFrame:
     )
 
 
+def cart_positions(lineitem: DataFrame) -> DataFrame:
+    """lineitem → (l_orderkey, l_partkey, add_to_cart_order): the row number
+    within each order by the line sort tuple. Independent of the product grain."""
+    li = sequence_within(lineitem.select("l_orderkey", *LINE_ORDER), ["l_orderkey"], LINE_ORDER,
+                         rn_col="add_to_cart_order")
+    return li.select("l_orderkey", "l_partkey",
+                     F.col("add_to_cart_order").cast("int").alias("add_to_cart_order"))
+
+
 def basket_lines(lineitem: DataFrame, orders_b: DataFrame, part: DataFrame,
-                 grain: str = "part") -> DataFrame:
+                 grain: str = "part", positions: DataFrame | None = None) -> DataFrame:
     """lineitem → lines with order_id, user_id, eval_set, order_number, product_id,
-    add_to_cart_order, reordered."""
+    add_to_cart_order, reordered. ``positions``: an already computed (e.g.
+    written) :func:`cart_positions` of the same lineitem."""
     if grain == "part":
         pmap = None
     else:
@@ -123,10 +133,9 @@ def basket_lines(lineitem: DataFrame, orders_b: DataFrame, part: DataFrame,
         return df.join(pmap, df["l_partkey"] == F.col("p_partkey"), "left")
 
     o = orders_b.select("order_id", "user_id", "eval_set", "order_number")
-    li = sequence_within(lineitem.select("l_orderkey", *LINE_ORDER), ["l_orderkey"], LINE_ORDER,
-                         rn_col="add_to_cart_order")
+    li = positions if positions is not None else cart_positions(lineitem)
     li = with_product(li).select(F.col("l_orderkey").alias("order_id"), "product_id",
-                                 F.col("add_to_cart_order").cast("int").alias("add_to_cart_order"))
+                                 "add_to_cart_order")
     lines = li.join(o, "order_id", "inner")
     # first order of each (user, product), from the plain lines (no sequencing):
     # partial aggregation, then a join that AQE can split when one pair is hot
@@ -195,16 +204,21 @@ def load_basket(spark: SparkSession, sf_dir: str, grain: str = "part") -> Basket
     memo = (id(spark), key)
     if memo in _LOADED:
         return _LOADED[memo]
-    # orders do not depend on the product grain: sequenced and written once
-    okey = hashlib.md5(f"{fp}|orders|{code_fingerprint()}".encode()).hexdigest()[:16]
+    # orders and cart positions do not depend on the product grain: sequenced
+    # and written once per input
+    okey = hashlib.md5(f"{fp}|shared|{code_fingerprint()}".encode()).hexdigest()[:16]
     orders_path = f"{checkpoint_dir(spark)}/basket-orders-{okey}"
+    positions_path = f"{checkpoint_dir(spark)}/basket-cartpos-{okey}"
     fs, odone = _fs(spark, f"{orders_path}/_SUCCESS")
     if not fs.exists(odone):
         write_orders(spark, sf_dir, orders_path)
+    _, pdone = _fs(spark, f"{positions_path}/_SUCCESS")
+    if not fs.exists(pdone):
+        write_cart_positions(spark, sf_dir, positions_path)
     root = f"{checkpoint_dir(spark)}/basket-{grain}-{key}"
     _, done = _fs(spark, f"{root}/_BASKET_DONE")
     if not fs.exists(done):
-        write_basket(spark, sf_dir, grain, root, orders_path)
+        write_basket(spark, sf_dir, grain, root, orders_path, positions_path)
         fs.create(done, True).close()
     b = read_basket(spark, root, orders_path)
     _LOADED[memo] = b
@@ -219,18 +233,28 @@ def write_orders(spark: SparkSession, sf_dir: str, path: str) -> None:
     release_cached()
 
 
+def write_cart_positions(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """:func:`cart_positions` written as Parquet at ``path``; shared by every
+    product grain."""
+    cart_positions(read_tables(spark, sf_dir, "lineitem")["lineitem"]) \
+        .write.mode("overwrite").parquet(path)
+    release_cached()
+
+
 def write_basket(spark: SparkSession, sf_dir: str, grain: str, root: str,
-                 orders_path: str | None = None) -> None:
+                 orders_path: str | None = None, positions_path: str | None = None) -> None:
     """The adapter ETL: orders (sequenced per customer; written under ``root``
-    unless an already written ``orders_path`` is given), lines (sequenced per
-    order, joined to their order, reorder flag; partitioned by eval_set) and
-    products, written as Parquet under ``root``."""
+    unless an already written ``orders_path`` is given), lines (cart positions
+    — from ``positions_path`` when given — mapped to the grain's product, joined
+    to their order, reorder flag; partitioned by eval_set) and products, written
+    as Parquet under ``root``."""
     if orders_path is None:
         orders_path = f"{root}/orders"
         write_orders(spark, sf_dir, orders_path)
     t = read_tables(spark, sf_dir, "lineitem", "part")
     orders_b = spark.read.parquet(orders_path)
-    (basket_lines(t["lineitem"], orders_b, t["part"], grain)
+    positions = spark.read.parquet(positions_path) if positions_path else None
+    (basket_lines(t["lineitem"], orders_b, t["part"], grain, positions)
      .write.mode("overwrite").partitionBy("eval_set").parquet(f"{root}/lines"))
     basket_products(t["part"], grain).write.mode("overwrite").parquet(f"{root}/products")
     release_cached()
