@@ -162,3 +162,13 @@ def test_plot_tables_long_bars_and_error_bars(spark):
     eb = {r.model: (r.metric, round(r.value, 9), round(r.error, 9))
           for r in PD.metric_error_long(summ, ("roc_auc",)).collect()}
     assert eb == {"a": ("roc_auc", 0.7, round(math.sqrt(0.02), 9)), "b": ("roc_auc", 0.5, 0.0)}
+
+
+def test_write_report_round_trip(spark, tmp_path):
+    from cartwise.plans import report as RP
+
+    text = "# Title\n\n| a | b |\n|---|---:|\n| x | 1.0000 |\n"
+    path = str(tmp_path / "report")
+    RP.write_report(spark, text, path)
+    back = "\n".join(r.value for r in spark.read.text(path).collect()) + "\n"
+    assert back == text
