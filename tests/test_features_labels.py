@@ -169,3 +169,15 @@ def test_plot_sample_is_first_n_by_md5_order(spark):
     order = sorted(rows, key=lambda r: (hashlib.md5(f"{r[0]}-{r[1]}-42".encode()).hexdigest(),
                                         r[0], r[1]))
     assert got == {(u, p) for u, p, _ in order[:137]}
+
+
+def test_grains_share_orders_and_cart_positions(spark, sf001):
+    from cartwise.sources.adapter import load_basket
+
+    part, bt = load_basket(spark, sf001, "part"), load_basket(spark, sf001, "brand_type")
+    assert part.orders.inputFiles() == bt.orders.inputFiles()
+    assert all("/basket-orders-" in f for f in part.orders.inputFiles())
+    # same order rows and cart positions at both grains; only product ids differ
+    cols = ["order_id", "add_to_cart_order"]
+    assert (part.lines.select(*cols).exceptAll(bt.lines.select(*cols)).count() == 0
+            and part.lines.count() == bt.lines.count())
