@@ -19,17 +19,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def written(df: DataFrame, tag: str, scratch: list[str] | None = None) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/llm-{tag}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    if scratch is not None:
+        scratch.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def staged(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+    """A step's hand-off: :func:`written`, and deleted by the next :func:`release`.
 
     Cuts lineage: a lost executor recomputes at most the step that reads the
     table, and row ids made before the write keep their values.
     """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/llm-{tag}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
-    _SCRATCH.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written(df, tag, _SCRATCH)
 
 
 def release(spark: SparkSession) -> None:

@@ -7,18 +7,51 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cartwise.llm import decontam, simhash, urls
+from cartwise.llm import chat, decontam, html, packing, quality, simhash, token_counts, topk, toxicity, urls
 from cartwise.llm.common import table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer_path() -> str:
+    """The public vocabulary the packing and counting queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def register(fn):
     QUERIES[fn.__name__] = fn
     return fn
 
 
+@register
+def op1_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@register
+def op2_html_extraction(spark, sf_dir):
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+@register
+def op3_exact_top_k(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), 5, F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op3_exact_top_k"] = r"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+      FROM v a, v b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5"""
+
+
 @register
 def op4_benchmark_decontamination(spark, sf_dir):
     out = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -48,6 +81,53 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)"""
 
 
+@register
+def op5_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
+
+
+@register
+def op6_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+#: The contract's added conversation, which holds a template's control strings.
+ADDED = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+@register
+def op7_chat_formatting(spark, sf_dir):
+    added = spark.createDataFrame(ADDED, "conv_id bigint, turn bigint, role string, text string")
+    talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    back = chat.read_back(chat.chat_windows(talks))
+    return back.select("conv_id", "n_turns", F.sha2("turns", 256).alias("turns_sha256"),
+                       F.length("targets").cast("bigint").alias("loss_chars"),
+                       F.sha2("targets", 256).alias("loss_sha256"), "formatted_chars")
+
+
+ORACLES["op7_chat_formatting"] = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM (
+             SELECT conv_id, turn, role, text FROM conversations UNION ALL
+             SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')))),
+n AS (SELECT *, CAST(ceil(length(text) / 4.0) AS BIGINT) + 4 AS n,
+             15 + length(replace(role, '~', '~0')) + length(replace(text, '~', '~0')) - 3 AS chars,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS idx FROM c),
+b AS (SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY idx) - n AS before,
+             coalesce(max(CASE WHEN idx = 1 AND role = 'system' THEN n END) OVER (PARTITION BY conv_id), 0) AS sys FROM n),
+s AS (SELECT *, greatest(1024 - sys - 192, 256) AS room FROM b),
+k AS (SELECT *, before // room AS k, CASE WHEN before // room <> (before + n - 1) // room THEN idx ELSE 0 END AS i FROM s),
+h AS (SELECT conv_id, k, i, min(idx) AS win, min(before) AS at FROM k GROUP BY ALL),
+p AS (SELECT k.conv_id, sum(k.chars) AS chars FROM k JOIN h ON k.conv_id = h.conv_id AND (
+        (k.k = h.k AND k.i = h.i) OR (k.idx < h.win AND ((k.idx = 1 AND k.sys > 0) OR k.before >= h.at - 192)))
+      GROUP BY k.conv_id)
+SELECT k.conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY idx)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY idx) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(any_value(p.chars) AS BIGINT) AS formatted_chars
+FROM k JOIN p ON k.conv_id = p.conv_id GROUP BY k.conv_id"""
+
+
 @register
 def op8_url_filters(spark, sf_dir):
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
@@ -74,3 +154,9 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM s LE
 def op10_simhash_near_dedup(spark, sf_dir):
     out = simhash.simhash_components(table(spark, sf_dir, "documents"), shingle_words=3, max_distance=3)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@register
+def op9_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_documents(docs, quality.fit(docs, table(spark, sf_dir, "labels")))

@@ -8,7 +8,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwise.llm import common, decontam, simhash
+from cartwise.llm import common, decontam, packing, quality, simhash, toxicity
+from cartwise.llm.queries import tokenizer_path
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    model = quality.fit(docs, common.table(spark, sf_dir, "labels"))
+    return quality.drop_poor(docs, model)
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier rejects go."""
+    model = toxicity.fit(docs, common.table(spark, sf_dir, "labels"))
+    return toxicity.drop_toxic(docs, model)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,17 +31,27 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a ten-word window of a benchmark item go."""
+    common.release(spark)  # what the stage before has written between its steps
     return decontam.drop_contaminated(docs, common.table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("near_dedup", near_dedup), ("decontamination", decontamination)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 4096 tokens: one row per piece."""
+    common.release(spark)
+    return packing.pack(docs, tokenizer_path(), with_ids=False)
+
+
+STAGES = [("quality", quality_filter), ("toxicity", toxicity_filter), ("near_dedup", near_dedup),
+          ("decontamination", decontamination), ("packing", pack)]
 
 #: The filters learn their models, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after the other over ``documents``; each reads what the one
+    before has written to the shared folder."""
     docs = common.table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = common.staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = common.written(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
