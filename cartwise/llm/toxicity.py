@@ -39,18 +39,40 @@ GRAMS = (3, 4, 5, 6)
 #: The training sample's bounds: rows without and with the label, characters a row.
 SAMPLE = {0: 4000, 1: 2000}
 MAX_CHARS = 20_000
-EPOCHS, BATCH, RATE, GAIN, SEED = 4, 64, 0.3, 20.0, 7
+STEPS, BATCH, RATE, GAIN, SEED = 400, 64, 0.3, 20.0, 7
 FOLDS, HELD_OUT = 5, 0
 CACHE, LONGEST = 400_000, 64
 
 
-def buckets_of(word: str, size: int = BUCKETS) -> list[int]:
-    """Buckets of a word and of its character n-grams (over UTF-8 bytes)."""
-    marked = f"<{word[:LONGEST]}>".encode()
-    out = [zlib.crc32(f"<{word}>".encode()) % size]
-    for n in GRAMS:
-        out += [zlib.crc32(marked[i:i + n]) % size for i in range(len(marked) - n + 1)]
-    return out
+def word_grams(words: list[str], size: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, word number) of every word itself and of its n-grams over UTF-8
+    bytes, hashed by a polynomial in 32-bit arithmetic, all words at once."""
+    marked = [f"<{w}>".encode() for w in words]
+    raw = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint32)
+    length = np.array([len(m) for m in marked], np.int64)
+    end = np.repeat(np.cumsum(length), length)
+    owner = np.repeat(np.arange(len(words)), length)
+    place = np.arange(len(raw))
+
+    def mixed(h, n):
+        h = (h ^ np.uint32(n * 0x9E3779B1 & 0xFFFFFFFF)) * np.uint32(0x85EBCA6B)
+        h = (h ^ (h >> np.uint32(15))) * np.uint32(0xC2B2AE35)
+        return ((h ^ (h >> np.uint32(13))) % np.uint32(size)).astype(np.int32)
+
+    # the word itself: its bytes' sum weighted by powers of the base
+    power = np.cumprod(np.full(int(length.max(initial=1)), 31, np.uint32), dtype=np.uint32)
+    whole = np.zeros(len(words), np.uint32)
+    np.add.at(whole, owner, raw * power[(end - 1 - place)])
+    buckets, owners = [mixed(whole, 1)], [np.arange(len(words))]
+    h = np.zeros(len(raw), np.uint32)
+    for n in range(1, max(GRAMS) + 1):
+        # h at i: hash of the n bytes from i on (garbage past a word's end, masked below)
+        h[:len(raw) - n + 1] = h[:len(raw) - n + 1] * np.uint32(31) + raw[n - 1:]
+        if n in GRAMS:
+            inside = place + n <= end
+            buckets.append(mixed(h[inside], n))
+            owners.append(owner[inside])
+    return np.concatenate(buckets), np.concatenate(owners)
 
 
 class Model:
@@ -61,23 +83,29 @@ class Model:
         self.weights, self.intercept = weights, intercept
         self.cache: dict[str, float] = {}
 
-    def word(self, word: str) -> float:
-        found = self.cache.get(word)
-        if found is None:
-            found = float(self.weights[buckets_of(word, len(self.weights))].mean())
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
-            if len(word) <= LONGEST:
-                self.cache[word] = found
-        return found
-
-    def score(self, text: str | None) -> float:
-        words = set(WORDS((text or "").lower()))
-        z = self.intercept + (math.fsum(map(self.word, words)) / len(words) if words else 0.0)
-        return 1 / (1 + math.exp(-z)) if z > -700 else 0.0
-
-
-def train(sample: list[tuple[int, str]], buckets: int = BUCKETS, dim: int = DIM, epochs: int = EPOCHS) -> Model:
+    def _learn(self, words: list[str]) -> dict[str, float]:
+        bucket, owner = word_grams(words, len(self.weights))
+        total = np.bincount(owner, self.weights[bucket], len(words))
+        return dict(zip(words, (total / np.bincount(owner, minlength=len(words))).tolist(), strict=True))
+
+    def scores(self, texts: list[str | None]) -> list[float]:
+        """Scores of many texts; words seen lately are taken from the cache."""
+        bags = [set(WORDS((t or "").lower())) for t in texts]
+        known = self.cache
+        new = sorted(set().union(*bags) - known.keys())
+        fresh = self._learn(new) if new else {}
+        if len(known) + len(fresh) > CACHE:
+            known = self.cache = {}
+            fresh = self._learn(sorted(set().union(*bags)))
+        known.update(fresh)
+        out = []
+        for bag in bags:
+            z = self.intercept + (math.fsum([known[w] for w in bag]) / len(bag) if bag else 0.0)
+            out.append(1 / (1 + math.exp(-z)) if z > -700 else 0.0)
+        return out
+
+
+def train(sample: list[tuple[int, str]], buckets: int = BUCKETS, dim: int = DIM, steps: int = STEPS) -> Model:
     """Embeddings and class weights fitted jointly on (label, text) rows."""
     y = np.array([label for label, _ in sample], dtype=np.float64)
     if not len(y) or y.min() == y.max():
@@ -85,12 +113,8 @@ def train(sample: list[tuple[int, str]], buckets: int = BUCKETS, dim: int = DIM,
         return Model(np.zeros(buckets, np.float32), math.log((share + 1e-9) / (1 - share + 1e-9)))
     vocabulary: dict[str, int] = {}
     docs = [np.array(sorted({vocabulary.setdefault(w, len(vocabulary)) for w in WORDS(t.lower())}), np.int64) for _, t in sample]
-    lengths, flat = np.empty(len(vocabulary), np.int64), []
-    for word, i in vocabulary.items():
-        b = buckets_of(word, buckets)
-        lengths[i] = len(b)
-        flat.append(np.array(b, np.int32))
-    flat = np.concatenate(flat)
+    flat, owner = word_grams(list(vocabulary), buckets)
+    flat, lengths = flat[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(vocabulary))
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     del vocabulary
 
@@ -98,34 +122,32 @@ def train(sample: list[tuple[int, str]], buckets: int = BUCKETS, dim: int = DIM,
     emb = (rng.random((buckets, dim), dtype=np.float32) - 0.5) * 0.1
     out, bias = rng.normal(0, 1, dim), 0.0
     emb_sq, out_sq, bias_sq = np.full((buckets, dim), 1e-8, np.float32), np.full(dim, 1e-8), 1e-8
-    for _ in range(epochs):
-        order = rng.permutation(len(docs))
-        for at in range(0, len(order), BATCH):
-            batch = [i for i in order[at:at + BATCH] if len(docs[i])]
-            if not batch:
-                continue
-            words, of_word = np.unique(np.concatenate([docs[i] for i in batch]), return_inverse=True)
-            n = np.array([len(docs[i]) for i in batch])
-            of_doc, share = np.repeat(np.arange(len(batch)), n), np.repeat(GAIN / n, n)
-            size = lengths[words]
-            first = np.concatenate([[0], np.cumsum(size)[:-1]])
-            grams = flat[np.repeat(starts[words] - first, size) + np.arange(size.sum())]
-            owner = np.repeat(np.arange(len(words)), size)
-            vec = np.add.reduceat(emb[grams], first, axis=0) / size[:, None]
-            hidden = np.stack([np.bincount(of_doc, share * vec[of_word, j], len(batch)) for j in range(dim)], 1)
-            p = 1 / (1 + np.exp(-np.clip(hidden @ out + bias, -30, 30)))
-            r = (p - y[batch]) / len(batch)
-            back = r[:, None] * out
-            g_vec = np.stack([np.bincount(of_word, share * back[of_doc, j], len(words)) for j in range(dim)], 1) / size[:, None]
-            hit, of_hit = np.unique(grams, return_inverse=True)
-            g_emb = np.stack([np.bincount(of_hit, g_vec[owner, j], len(hit)) for j in range(dim)], 1)
-            emb_sq[hit] += g_emb**2
-            emb[hit] -= RATE * g_emb / np.sqrt(emb_sq[hit])
-            g_out, g_bias = hidden.T @ r, r.sum()
-            out_sq += g_out**2
-            out -= RATE * g_out / np.sqrt(out_sq)
-            bias_sq += g_bias**2
-            bias -= RATE * g_bias / math.sqrt(bias_sq)
+    full = np.array([i for i in range(len(docs)) if len(docs[i])], np.int64)
+    order = np.concatenate([rng.permutation(full) for _ in range(-(-steps * BATCH // max(1, len(full))))]) if len(full) else full
+    for at in range(0, min(steps * BATCH, len(order)), BATCH):
+        batch = order[at:at + BATCH]
+        words, of_word = np.unique(np.concatenate([docs[i] for i in batch]), return_inverse=True)
+        n = np.array([len(docs[i]) for i in batch])
+        of_doc, share = np.repeat(np.arange(len(batch)), n), np.repeat(GAIN / n, n)
+        size = lengths[words]
+        first = np.concatenate([[0], np.cumsum(size)[:-1]])
+        grams = flat[np.repeat(starts[words] - first, size) + np.arange(size.sum())]
+        owner = np.repeat(np.arange(len(words)), size)
+        vec = np.add.reduceat(emb[grams], first, axis=0) / size[:, None]
+        hidden = np.stack([np.bincount(of_doc, share * vec[of_word, j], len(batch)) for j in range(dim)], 1)
+        p = 1 / (1 + np.exp(-np.clip(hidden @ out + bias, -30, 30)))
+        r = (p - y[batch]) / len(batch)
+        back = r[:, None] * out
+        g_vec = np.stack([np.bincount(of_word, share * back[of_doc, j], len(words)) for j in range(dim)], 1) / size[:, None]
+        hit, of_hit = np.unique(grams, return_inverse=True)
+        g_emb = np.stack([np.bincount(of_hit, g_vec[owner, j], len(hit)) for j in range(dim)], 1)
+        emb_sq[hit] += g_emb**2
+        emb[hit] -= RATE * g_emb / np.sqrt(emb_sq[hit])
+        g_out, g_bias = hidden.T @ r, r.sum()
+        out_sq += g_out**2
+        out -= RATE * g_out / np.sqrt(out_sq)
+        bias_sq += g_bias**2
+        bias -= RATE * g_bias / math.sqrt(bias_sq)
     return Model((emb @ out * GAIN).astype(np.float32), float(bias))
 
 
@@ -142,7 +164,9 @@ def scorer(spark, model: Model):
     @F.pandas_udf("double")
     def score(text: pd.Series) -> pd.Series:
         m = _worker_model(key, shared)
-        return pd.Series([m.score(t) for t in text], dtype="float64")
+        texts = list(text)
+        # a slice of texts at a time bounds what is held besides the cache
+        return pd.Series([x for at in range(0, len(texts), 256) for x in m.scores(texts[at:at + 256])], dtype="float64")
 
     return score
 
