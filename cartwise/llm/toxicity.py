@@ -4,7 +4,8 @@ A word is the bag of its character n-grams (3 to 6, with word-end marks) and of
 itself, hashed to a fixed number of buckets; its vector is the mean of their
 embeddings, a document's vector the mean over its distinct words, and a linear
 softmax over two classes gives the score. Embeddings and softmax are trained
-jointly by AdaGrad in numpy on a bounded sample of labelled rows, so a
+jointly by AdaGrad in numpy on a bounded sample of labelled rows; buckets whose
+document shares don't differ between the classes stay at zero. So a
 misspelling that no training text holds shares n-grams with the words it is
 made from. (With two classes the softmax is a logistic function of the
 difference of the class weights, which is what is stored.)
@@ -41,14 +42,16 @@ SAMPLE = {0: 4000, 1: 2000}
 MAX_CHARS = 20_000
 STEPS, BATCH, RATE, GAIN, SEED = 400, 64, 0.3, 20.0, 7
 FOLDS, HELD_OUT = 5, 0
+BASE = 0x01000193
+CHI2 = 15.0
 CACHE, LONGEST = 400_000, 64
 
 
 def word_grams(words: list[str], size: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket, word number) of every word itself and of its n-grams over UTF-8
-    bytes, hashed by a polynomial in 32-bit arithmetic, all words at once."""
-    marked = [f"<{w}>".encode() for w in words]
-    raw = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint32)
+    """(bucket, word number) of every word itself and of its n-grams over its
+    characters, hashed by a polynomial in 32-bit arithmetic, all words at once."""
+    marked = [f"<{w}>" for w in words]
+    raw = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32)
     length = np.array([len(m) for m in marked], np.int64)
     end = np.repeat(np.cumsum(length), length)
     owner = np.repeat(np.arange(len(words)), length)
@@ -59,15 +62,15 @@ def word_grams(words: list[str], size: int = BUCKETS) -> tuple[np.ndarray, np.nd
         h = (h ^ (h >> np.uint32(15))) * np.uint32(0xC2B2AE35)
         return ((h ^ (h >> np.uint32(13))) % np.uint32(size)).astype(np.int32)
 
-    # the word itself: its bytes' sum weighted by powers of the base
-    power = np.cumprod(np.full(int(length.max(initial=1)), 31, np.uint32), dtype=np.uint32)
+    # the word itself: its characters' sum weighted by powers of the base
+    power = np.cumprod(np.full(int(length.max(initial=1)), BASE, np.uint32), dtype=np.uint32)
     whole = np.zeros(len(words), np.uint32)
     np.add.at(whole, owner, raw * power[(end - 1 - place)])
     buckets, owners = [mixed(whole, 1)], [np.arange(len(words))]
     h = np.zeros(len(raw), np.uint32)
     for n in range(1, max(GRAMS) + 1):
-        # h at i: hash of the n bytes from i on (garbage past a word's end, masked below)
-        h[:len(raw) - n + 1] = h[:len(raw) - n + 1] * np.uint32(31) + raw[n - 1:]
+        # h at i: hash of the n characters from i on (garbage past a word's end, masked below)
+        h[:len(raw) - n + 1] = h[:len(raw) - n + 1] * np.uint32(BASE) + raw[n - 1:]
         if n in GRAMS:
             inside = place + n <= end
             buckets.append(mixed(h[inside], n))
@@ -105,6 +108,23 @@ class Model:
         return out
 
 
+def informative(docs, y, flat, starts, lengths, buckets: int) -> np.ndarray:
+    """Buckets whose share of documents differs between the classes beyond chance
+    (chi-square of at least CHI2): the others would only learn single texts by heart."""
+    seen = np.zeros((2, buckets))
+    for words, label in zip(docs, y.astype(int), strict=True):
+        mark = np.zeros(buckets, bool)
+        size = lengths[words]
+        at = np.repeat(starts[words] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum()) if len(words) else words
+        mark[flat[at]] = True
+        seen[label] += mark
+    n = np.array([(y == 0).sum(), (y == 1).sum()], np.float64)[:, None]
+    total, all_n = seen.sum(axis=0), n.sum()
+    expected = np.maximum(total * (all_n - total), 1e-9)
+    chi2 = all_n * (seen[1] * (n[0] - seen[0]) - seen[0] * (n[1] - seen[1])) ** 2 / (n[0] * n[1] * expected)
+    return chi2 >= CHI2
+
+
 def train(sample: list[tuple[int, str]], buckets: int = BUCKETS, dim: int = DIM, steps: int = STEPS) -> Model:
     """Embeddings and class weights fitted jointly on (label, text) rows."""
     y = np.array([label for label, _ in sample], dtype=np.float64)
@@ -116,6 +136,10 @@ def train(sample: list[tuple[int, str]], buckets: int = BUCKETS, dim: int = DIM,
     flat, owner = word_grams(list(vocabulary), buckets)
     flat, lengths = flat[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(vocabulary))
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    live = informative(docs, y, flat, starts, lengths, buckets)
+    # only what can carry an embedding is trained; a word's mean stays over all its buckets
+    lengths_live = np.add.reduceat(live[flat].astype(np.int64), starts)
+    flat, starts_live = flat[live[flat]], np.concatenate([[0], np.cumsum(lengths_live)[:-1]])
     del vocabulary
 
     rng = np.random.default_rng(SEED)
@@ -129,16 +153,16 @@ def train(sample: list[tuple[int, str]], buckets: int = BUCKETS, dim: int = DIM,
         words, of_word = np.unique(np.concatenate([docs[i] for i in batch]), return_inverse=True)
         n = np.array([len(docs[i]) for i in batch])
         of_doc, share = np.repeat(np.arange(len(batch)), n), np.repeat(GAIN / n, n)
-        size = lengths[words]
+        size, all_size = lengths_live[words], lengths[words][:, None]
         first = np.concatenate([[0], np.cumsum(size)[:-1]])
-        grams = flat[np.repeat(starts[words] - first, size) + np.arange(size.sum())]
+        grams = flat[np.repeat(starts_live[words] - first, size) + np.arange(size.sum())]
         owner = np.repeat(np.arange(len(words)), size)
-        vec = np.add.reduceat(emb[grams], first, axis=0) / size[:, None]
+        vec = np.stack([np.bincount(owner, emb[grams, j], len(words)) for j in range(dim)], 1) / all_size
         hidden = np.stack([np.bincount(of_doc, share * vec[of_word, j], len(batch)) for j in range(dim)], 1)
         p = 1 / (1 + np.exp(-np.clip(hidden @ out + bias, -30, 30)))
         r = (p - y[batch]) / len(batch)
         back = r[:, None] * out
-        g_vec = np.stack([np.bincount(of_word, share * back[of_doc, j], len(words)) for j in range(dim)], 1) / size[:, None]
+        g_vec = np.stack([np.bincount(of_word, share * back[of_doc, j], len(words)) for j in range(dim)], 1) / all_size
         hit, of_hit = np.unique(grams, return_inverse=True)
         g_emb = np.stack([np.bincount(of_hit, g_vec[owner, j], len(hit)) for j in range(dim)], 1)
         emb_sq[hit] += g_emb**2
@@ -148,6 +172,7 @@ def train(sample: list[tuple[int, str]], buckets: int = BUCKETS, dim: int = DIM,
         out -= RATE * g_out / np.sqrt(out_sq)
         bias_sq += g_bias**2
         bias -= RATE * g_bias / math.sqrt(bias_sq)
+    emb[~live] = 0
     return Model((emb @ out * GAIN).astype(np.float32), float(bias))
 
 
