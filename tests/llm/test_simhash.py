@@ -1,0 +1,135 @@
+import random
+
+import numpy as np
+import xxhash
+
+from cartwise.llm import simhash as S
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def docs_frame(spark, texts):
+    """(doc_id, text) rows with the other columns of documents."""
+    return spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in texts], DOCS)
+
+
+def brute_fingerprint(text):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    shingles = [b" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def brute_components(fps, k=3):
+    """{fp: smallest fp reachable by links of at most k bits}"""
+    u = np.array(sorted(set(fps)), dtype=np.uint64)
+    parent = list(range(len(u)))
+
+    def find(a):
+        while parent[a] != a:
+            parent[a] = parent[parent[a]]
+            a = parent[a]
+        return a
+
+    for i in range(len(u)):
+        for j in np.nonzero(np.bitwise_count(u ^ u[i]) <= k)[0]:
+            a, b = find(i), find(int(j))
+            parent[max(a, b)] = min(a, b)
+    return {int(x): find(i) for i, x in enumerate(u)}
+
+
+def texts_with_copies():
+    rng = random.Random(5)
+    base = [" ".join(rng.choice("abcdefghij") + rng.choice("klmnop") + str(rng.randrange(30)) for _ in range(rng.randrange(4, 90)))
+            for _ in range(25)]
+    out = list(base)
+    for t in base[:12]:
+        w = t.split()
+        for _ in range(4):
+            v = list(w)
+            v[rng.randrange(len(v))] = "changed"
+            out.append("  ".join(v).upper())
+    return out + [None, "", " \t\n", "one", "One", "two words", base[0], "É é É"]
+
+
+def test_fingerprints_equal_brute_force(spark):
+    texts = list(enumerate(texts_with_copies()))
+    got = {r.doc_id: r.fp for r in S.fingerprints(docs_frame(spark, texts)).collect()}
+    assert {i: v % (1 << 64) for i, v in got.items()} == {i: brute_fingerprint(t) for i, t in texts}
+
+
+def test_long_text_is_counted_in_chunks(monkeypatch):
+    text = " ".join(f"w{i * 7 % 113}" for i in range(1000))
+    whole = S.text_fingerprint(text)
+    monkeypatch.setattr(S, "CHUNK", 64)
+    assert S.text_fingerprint(text) == whole
+
+
+def test_components_equal_brute_force(spark):
+    texts = list(enumerate(texts_with_copies()))
+    fps = {i: brute_fingerprint(t) for i, t in texts}
+    root = brute_components(fps.values())
+    smallest = {}
+    for i, f in fps.items():
+        smallest[root[f]] = min(smallest.get(root[f], i), i)
+    got = {r.doc_id: r.component_id for r in S.simhash_components(docs_frame(spark, texts)).collect()}
+    assert got == {i: smallest[root[f]] for i, f in fps.items()}
+
+
+def test_crowds_of_neighbouring_fingerprints_lose_no_link(spark):
+    """A dense cube of fingerprints, a thin one and random ones: the components of
+    growing radii equal those of all links of at most three bits."""
+    rng = random.Random(3)
+    a, b = rng.getrandbits(64), rng.getrandbits(64)
+    spread = rng.sample(range(64), 14)
+    dense = [a ^ sum(1 << x for x in spread[:8] if rng.random() < 0.5) for _ in range(150)]
+    thin = [b ^ sum(1 << x for x in spread if rng.random() < 0.4) for _ in range(60)]
+    fps = sorted({f - (1 << 64) if f >> 63 else f for f in dense + thin + [rng.getrandbits(64) for _ in range(100)]})
+    nodes = spark.createDataFrame([(f, f) for f in fps], "fp bigint, comp bigint")
+    for d in (1, 2, 3):
+        roots = S.connected_components(S.grid_links(nodes, d))
+        nodes = nodes.join(roots, nodes.comp == roots.node, "left").selectExpr("fp", "coalesce(root, comp) as comp")
+        nodes = S.staged(nodes, "test")
+    got = {r.fp % (1 << 64): r.comp for r in nodes.collect()}
+    want = brute_components([f % (1 << 64) for f in fps])
+    groups = lambda m: sorted(sorted(k for k in m if m[k] == v) for v in set(m.values()))
+    assert groups(got) == groups(want)
+
+
+def test_pairs_inside_a_component_are_not_emitted(spark):
+    nodes = spark.createDataFrame([(f, 0) for f in (0, 1, 2, 3, 7)], "fp bigint, comp bigint")
+    assert S.grid_links(nodes, 3).count() == 0
+
+
+def test_manhattan_distance_of_the_embedding_is_a_lower_bound(spark):
+    rng = random.Random(1)
+    rows = [(rng.getrandbits(63), rng.getrandbits(63) * rng.choice((1, -1))) for _ in range(50)]
+    df = spark.createDataFrame(rows, "x bigint, y bigint")
+    for r in df.selectExpr(f"bit_count({S.unary('x')} ^ {S.unary('y')}) as l1", "bit_count(x ^ y) as h", "x", "y").collect():
+        count = lambda v: [(v >> 2 * i & 1) + (v >> 2 * i + 1 & 1) for i in range(32)]
+        assert r.l1 == sum(abs(p - q) for p, q in zip(count(r.x), count(r.y), strict=True)) <= r.h
+
+
+def test_keep_one_per_component(spark):
+    t = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    rows = [(5, t), (3, t.upper()), (3, t.upper()), (9, "something else entirely here now"), (None, t), (11, None), (12, "")]
+    kept = S.keep_one(docs_frame(spark, rows))
+    assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(3, t.upper()), (9, "something else entirely here now"), (11, None)]
+
+
+def test_empty_table_and_clashing_columns(spark):
+    empty = docs_frame(spark, [])
+    assert S.simhash_components(empty).count() == 0
+    assert S.keep_one(empty).count() == 0
+    odd = spark.createDataFrame([(1, "a b c d", 0, 0, 0), (2, "a b c d", 1, 1, 1)], "doc_id bigint, text string, fp int, comp int, cell int")
+    assert {r.doc_id: r.component_id for r in S.simhash_components(odd).collect()} == {1: 1, 2: 1}
+    assert S.keep_one(odd).collect()[0].cell == 0
+
+
+def test_null_ids_only(spark):
+    rows = [(None, "a b c"), (None, "a b c")]
+    assert [r.component_id for r in S.simhash_components(docs_frame(spark, rows)).collect()] == [None, None]
+    assert S.keep_one(docs_frame(spark, rows)).count() == 1
