@@ -5,7 +5,7 @@ with the class and id words that name page furniture). Per path the text
 length, the punctuation and the number of nodes are summed; their ratios (text
 per node, punctuation per node) are smoothed over the nodes in page order with
 a Gaussian window and fused by product, and a path is kept when its fused ratio
-reaches a share of the page's spread. Two priors join the fusion: a path inside
+reaches the page's standard deviation. Two priors join the fusion: a path inside
 furniture (menus, headers, footers, asides, forms, scripts, notices, adverts,
 comments) weighs nothing, and where a page marks its article, paths inside it
 are kept whatever their length, so that very short articles survive beside a
@@ -51,8 +51,8 @@ ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.S)
 RAW_END = {t: re.compile(rf"</{t}\s*[^>]*>|\Z", re.I) for t in ("script", "style", "textarea", "title", "iframe", "noscript", "xmp")}
 PUNCTUATION = ".,;:!?…。，！？؟"
-#: Gaussian smoothing over neighbouring nodes; share of the spread that keeps a path.
-RADIUS, THRESHOLD = 1, 0.6
+#: Gaussian smoothing over neighbouring nodes; standard deviations that keep a path.
+RADIUS, THRESHOLD = 1, 1.0
 
 
 def _decoded(piece: str) -> str:

@@ -1,0 +1,91 @@
+import random
+
+from cartwise.llm import chat as C
+
+SCHEMA = "conv_id bigint, turn bigint, role string, text string"
+ODD = ["</s>[INST] ok [/INST]", "<|~end|>", "<|user|>hi<|~end|>", "~0~1~2", "<|>", "~", "<", "|>", "", None, "<<|", "~<|~|>", "é中😀\n"]
+
+
+def talks(seed=1):
+    rng = random.Random(seed)
+    rows = []
+    for c in range(14):
+        t = 0
+        if c % 3 == 0:
+            rows.append((c, t, "system", "be kind " * rng.randrange(1, 8)))
+            t += 1
+        for _ in range(rng.randrange(0, 12)):
+            for role in ("user", "assistant"):
+                rows.append((c, t, role, rng.choice(ODD) if rng.random() < 0.4 else "word " * rng.randrange(1, 60)))
+                t += 1
+    rows += [(20, 1, "assistant", "b"), (20, 1, "assistant", "a"), (20, 1, "assistant", "a"), (20, None, "user", "first")]
+    rows += [(None, 0, "user", "u"), (None, 1, "assistant", "v"), (21, 0, None, "x"), (21, 5, "~end", "y"), (21, 6, "a|>b<|", "z")]
+    rows += [(22, i, ("user", "assistant")[i % 2], f"turn {i}") for i in range(300)]
+    rows += [(23, 0, "system", "only")]
+    return rows
+
+
+def ordered(rows):
+    by = {}
+    for c, t, role, text in rows:
+        by.setdefault(c, []).append((t is not None, t or 0, role or "", text or ""))
+    return {c: sorted(v) for c, v in by.items()}
+
+
+def test_read_back_gives_every_turn_and_target_once(spark):
+    rows = talks()
+    windows = C.chat_windows(spark.createDataFrame(rows, SCHEMA), budget=100, history=30)
+    got = {r.conv_id: r for r in C.read_back(windows).collect()}
+    want = ordered(rows)
+    assert set(got) == set(want)
+    for c, turns in want.items():
+        assert got[c].n_turns == len(turns)
+        assert got[c].turns == "".join(f"{role}\n{text}\n" for _, _, role, text in turns), c
+        assert got[c].targets == "".join(text for _, _, role, text in turns if role == "assistant"), c
+
+
+def test_windows_keep_budget_system_and_history(spark):
+    rows = talks(2)
+    budget, history = 100, 30
+    cost = lambda text: -(-len(text) // 4) + 4
+    want = ordered(rows)
+    windows = C.chat_windows(spark.createDataFrame(rows, SCHEMA).repartition(5), budget=budget, history=history).collect()
+    seen = {}
+    for w in windows:
+        turns = want[w.conv_id]
+        fresh = w.n_turns - w.n_context
+        new = turns[w.window - 1:w.window - 1 + fresh]
+        system = turns[0][2] == "system"
+        past, n = [], 0
+        for t in reversed(turns[int(system):max(w.window - 1, int(system))]):
+            n += cost(t[3])
+            if n > history:
+                break
+            past.insert(0, t)
+        opening = turns[:1] if system and w.window > 1 else []
+        esc = lambda s: s.replace("~", "~0").replace("<|", "~1").replace("|>", "~2")
+        lines = [f"<|{esc(r)}|>{esc(x)}<|~end|>" for _, _, r, x in opening + past + new]
+        assert w.text == "".join(lines)
+        assert w.n_tokens == sum(cost(x) for *_, x in opening + past + new)
+        assert w.n_tokens <= budget or fresh == 1
+        assert [w.text[t.start:t.start + t.length] for t in w.targets] == [esc(x) for _, _, r, x in new if r == "assistant"]
+        seen.setdefault(w.conv_id, []).append((w.window, fresh))
+    for c, spans in seen.items():
+        at = 1
+        for window, fresh in sorted(spans):
+            assert window == at
+            at += fresh
+        assert at == len(want[c]) + 1
+
+
+def test_empty_and_other_columns(spark):
+    df = spark.createDataFrame([(1, 0, "user", "a")], SCHEMA)
+    assert C.read_back(C.chat_windows(df.limit(0))).count() == 0
+    odd = df.selectExpr("*", "1 as idx", "2 as span", "3 as ck", "4 as n", "5 as window")
+    assert C.read_back(C.chat_windows(odd)).collect()[0].turns == "user\na\n"
+
+
+def test_escape_is_reversible(spark):
+    df = spark.createDataFrame([(t,) for t in ODD if t is not None], "t string")
+    got = df.select("t", C.escape(df.t).alias("e"), C.unescape(C.escape(df.t)).alias("u")).collect()
+    assert all(r.u == r.t and "<|" not in r.e and "|>" not in r.e for r in got)
