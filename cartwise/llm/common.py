@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,39 +13,55 @@ from cartwise.session import checkpoint_dir
 # A side is hinted for broadcast only when its measured size is at most this.
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 
-_SCRATCH: list[str] = []
+#: Innermost list that :func:`staged` notes its folders in.
+_NOTED: list[list[str]] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, tag: str, scratch: list[str] | None = None) -> DataFrame:
+def written(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back."""
+    return _kept(df, tag)[0]
+
+
+def _kept(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/llm-{tag}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
-    if scratch is not None:
-        scratch.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def staged(df: DataFrame, tag: str) -> DataFrame:
-    """A step's hand-off: :func:`written`, and deleted by the next :func:`release`.
+    """A step's hand-off, written and read back like :func:`written`.
 
     Cuts lineage: a lost executor recomputes at most the step that reads the
-    table, and row ids made before the write keep their values.
+    table, and row ids made before the write keep their values. Inside
+    :func:`noting` the folder is noted for a later :func:`release`.
     """
-    return written(df, tag, _SCRATCH)
+    out, path = _kept(df, tag)
+    if _NOTED:
+        _NOTED[-1].append(path)
+    return out
+
+
+@contextlib.contextmanager
+def noting(folders: list[str]):
+    """Note the folders staged inside the block in ``folders``."""
+    _NOTED.append(folders)
+    try:
+        yield
+    finally:
+        _NOTED.pop()
 
 
-def release(spark: SparkSession) -> None:
-    """Delete every table :func:`staged` has written in this process. Call it
-    once the results built on them have been written."""
+def release(spark: SparkSession, folders: list[str]) -> None:
+    """Delete noted folders; call it once what is built on them has been written."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _SCRATCH:
-        p = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+    while folders:
+        p = jvm.org.apache.hadoop.fs.Path(folders.pop())
         p.getFileSystem(conf).delete(p, True)
 
 

@@ -68,9 +68,10 @@ def word_grams(words: list[str], size: int = BUCKETS) -> tuple[np.ndarray, np.nd
     np.add.at(whole, owner, raw * power[(end - 1 - place)])
     buckets, owners = [mixed(whole, 1)], [np.arange(len(words))]
     h = np.zeros(len(raw), np.uint32)
-    for n in range(1, max(GRAMS) + 1):
+    for n in range(1, min(max(GRAMS), len(raw)) + 1):
         # h at i: hash of the n characters from i on (garbage past a word's end, masked below)
-        h[:len(raw) - n + 1] = h[:len(raw) - n + 1] * np.uint32(BASE) + raw[n - 1:]
+        m = len(raw) - n + 1
+        h[:m] = h[:m] * np.uint32(BASE) + raw[n - 1:]
         if n in GRAMS:
             inside = place + n <= end
             buckets.append(mixed(h[inside], n))
@@ -133,6 +134,8 @@ def train(sample: list[tuple[int, str]], buckets: int = BUCKETS, dim: int = DIM,
         return Model(np.zeros(buckets, np.float32), math.log((share + 1e-9) / (1 - share + 1e-9)))
     vocabulary: dict[str, int] = {}
     docs = [np.array(sorted({vocabulary.setdefault(w, len(vocabulary)) for w in WORDS(t.lower())}), np.int64) for _, t in sample]
+    if not vocabulary:
+        return Model(np.zeros(buckets, np.float32), math.log(y.mean() / (1 - y.mean())))
     flat, owner = word_grams(list(vocabulary), buckets)
     flat, lengths = flat[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(vocabulary))
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])

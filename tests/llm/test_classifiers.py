@@ -1,0 +1,157 @@
+import math
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cartwise.llm import quality as Q
+from cartwise.llm import toxicity as X
+from cartwise.llm.labelled import training_sample
+
+DOCS = "doc_id bigint, text string, score string, y int"
+LABELS = "doc_id bigint, quality int, toxic int"
+
+
+def prose(rng, n):
+    return " ".join("".join(rng.choice(["an", "the", "on", "er", "ing", "st", "ou"]) for _ in range(rng.randrange(1, 4))) for _ in range(n))
+
+
+def corpus(n=420, seed=3):
+    """(doc_id, text, toxic, quality): toxic texts hold misspelt forms of a few stems; poor ones are all signs or repeats."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        words = prose(rng, rng.randrange(20, 120)).split()
+        toxic = i % 3 == 0
+        if toxic:
+            for _ in range(max(2, len(words) // 25)):
+                words.insert(rng.randrange(len(words)), rng.choice(["moron", "idiot"]) + rng.choice(["", "s", "ing", "zq", "xx", "ou", "er"]))
+        poor = i % 5 == 0
+        if poor:
+            words = [w + "***" for w in words] if i % 2 else words[:6] * 9
+        rows.append((i, " ".join(words), int(toxic), int(not poor)))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    rows = corpus()
+    docs = spark.createDataFrame([(i, t, "odd", 1) for i, t, _, _ in rows] + [(9000, None, "", 2), (9001, "", "", 2), (None, "a b", "", 2)], DOCS)
+    labels = spark.createDataFrame([(i, q, x) for i, _, x, q in rows] + [(None, 1, 1), (7000, 1, 1)], LABELS)
+    return rows, docs.repartition(3), labels
+
+
+def test_toxicity_held_out_accuracy_and_unseen_misspellings(tables):
+    rows, docs, labels = tables
+    model = X.fit(docs, labels)
+    out = {r.doc_id: r for r in X.score_documents(docs, model).collect()}
+    truth = {i: t for i, _, t, _ in rows}
+    held = [i for i in truth if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert all(out[i].held_out == (i in set(held)) for i in truth)
+    assert np.mean([out[i].predicted == truth[i] for i in held]) >= 0.9
+    clean, wrong = prose(random.Random(1), 40), prose(random.Random(1), 40)
+    assert model.scores([wrong + " idiotzz moronqu idiiot moronn"])[0] > model.scores([clean])[0] + 0.3
+    for i in (9000, 9001):
+        assert 0 <= out[i].score <= 1 and out[i].predicted == (out[i].score >= 0.5)
+    assert out[None].held_out is False
+
+
+def test_training_never_sees_the_held_out_fold(tables):
+    _, docs, labels = tables
+    base = X.fit(docs, labels)
+    flipped = labels.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    other = X.fit(docs, flipped)
+    assert np.array_equal(base.weights, other.weights) and base.intercept == other.intercept
+    q = Q.fit(docs, labels)
+    turned = labels.withColumn("quality", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, 1 - F.col("quality")).otherwise(F.col("quality")))
+    r = Q.fit(docs, turned)
+    assert np.array_equal(q.weights, r.weights) and q.threshold == r.threshold
+
+
+def test_samples_are_bounded_and_repeatable(tables):
+    _, docs, labels = tables
+    a = training_sample(docs, labels, "toxic", 5, 0, {0: 30, 1: 20}, 10_000, 1)
+    b = training_sample(docs.repartition(7), labels.repartition(2), "toxic", 5, 0, {0: 30, 1: 20}, 10_000, 1)
+    assert a == b and sum(y for y, _ in a) == 20 and len(a) == 50
+    assert all(len(t) <= 200 for _, t in training_sample(docs, labels, "toxic", 5, 0, {0: 30, 1: 20}, 200, 1))
+
+
+def test_vectorised_hashes_equal_one_by_one():
+    words = ["a", "ab", "idiot", "été", "straße", "x" * 70, "中文"]
+    bucket, owner = X.word_grams(words, 1 << 16)
+    for i, w in enumerate(words):
+        alone, _ = X.word_grams([w], 1 << 16)
+        assert sorted(bucket[owner == i]) == sorted(alone)
+        marked = f"<{w}>"
+        assert len(alone) == 1 + sum(max(0, len(marked) - n + 1) for n in X.GRAMS)
+
+
+def test_word_cache_starts_anew_within_its_bound(monkeypatch):
+    rng = np.random.default_rng(1)
+    model = X.Model(rng.normal(size=1 << 12).astype(np.float32), 0.1)
+    texts = [prose(random.Random(i), 50) for i in range(30)]
+    whole = model.scores(texts)
+    monkeypatch.setattr(X, "CACHE", 40)
+    small = X.Model(model.weights, 0.1)
+    assert np.allclose([small.scores([t])[0] for t in texts], whole)
+
+
+def test_single_class_and_empty_samples():
+    assert X.train([]).scores(["any"])[0] < 1e-6
+    assert X.train([(1, "a"), (1, "b")]).scores(["c"])[0] > 0.99
+    assert X.train([(0, ""), (1, "")]).scores([""])[0] >= 0
+    assert Q.train([]).scores(["any", None]).tolist() == [1.0, 1.0]
+    assert (Q.train([(0, "a")]).scores(["b"]) < 0.7).all()
+
+
+def test_quality_held_out_accuracy_and_threshold(tables):
+    rows, docs, labels = tables
+    model = Q.fit(docs, labels)
+    out = {r.doc_id: r for r in Q.score_documents(docs, model).collect()}
+    truth = {i: q for i, _, _, q in rows}
+    held = [i for i in truth if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert all(out[i].held_out == (i in set(held)) for i in truth)
+    assert np.mean([out[i].predicted == truth[i] for i in held]) >= 0.97
+    assert all(r.predicted == (r.score >= 0.7) and 0 <= r.score <= 1 for r in out.values())
+
+
+def test_quality_threshold_is_the_quantile_of_the_worse_share():
+    rng = random.Random(5)
+    sample = [(1, prose(rng, 60)) for _ in range(40)] + [(0, "*** " * 30 + prose(rng, 5)) for _ in range(10)]
+    model = Q.train(sample)
+    scores = model.scores([t for _, t in sample])
+    assert sum(s < 0.7 for s in scores) == 10
+    ranked = np.sort([np.dot(Q.describe(t), model.weights) for _, t in sample])
+    assert math.isclose(model.threshold, (ranked[9] + ranked[10]) / 2, rel_tol=1e-9)
+
+
+def test_description_of_odd_texts():
+    size = len(Q.describe("x"))
+    for t in (None, "", " \n\t", "!", "|", "\n\n", "a" * 100_000, "é ç", "*"):
+        d = Q.describe(t)
+        assert len(d) == size and all(math.isfinite(v) for v in d)
+
+
+def test_filters_keep_rows_and_columns(tables):
+    _, docs, labels = tables
+    for kept, scored, limit in ((X.drop_toxic(docs, X.fit(docs, labels)), X.score_documents(docs, X.fit(docs, labels)), 0),
+                                (Q.drop_poor(docs, Q.fit(docs, labels)), Q.score_documents(docs, Q.fit(docs, labels)), 1)):
+        assert kept.columns == docs.columns
+        want = sorted(str(r.doc_id) for r in scored.collect() if r.predicted == limit)
+        assert sorted(str(r.doc_id) for r in kept.collect()) == want
+
+
+def test_empty_tables(spark, tables):
+    _, docs, labels = tables
+    assert X.score_documents(docs.limit(0), X.fit(docs, labels.limit(0))).count() == 0
+    assert Q.score_documents(docs.limit(0), Q.fit(docs.limit(0), labels)).count() == 0
+
+
+def test_fixture_tables_held_out(spark, sf01):
+    docs, labels = (spark.read.parquet(f"{sf01}/{t}.parquet") for t in ("documents", "labels"))
+    got = Q.score_documents(docs, Q.fit(docs, labels)).join(labels, "doc_id").filter("held_out")
+    assert got.filter("predicted <> quality").count() <= 0.03 * got.count()
+    got = X.score_documents(docs, X.fit(docs, labels)).join(labels, "doc_id").filter("held_out")
+    assert got.filter("predicted <> toxic").count() <= 0.08 * got.count()
