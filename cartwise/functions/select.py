@@ -1,119 +1,128 @@
-"""Exact order statistics without sorting or shuffling the table.
-
-Finding the k-th row of a group (for a split threshold or a quantile) does not
-need a global sort. Three aggregations do it, each with map-side partial
-aggregation, so a huge or skewed group costs no more than a small one:
-
-1. ``percentile_approx`` (a mergeable sketch) brackets the target rank between
-   two values ``lo`` and ``hi`` of a numeric leading key;
-2. one pass counts the rows below ``lo`` and collects the *distinct* sort
-   tuples inside ``[lo, hi]`` with their multiplicities — about
-   ``6·n/accuracy`` of them, a small bounded set;
-3. a cumulative count over that small set locates the k-th tuple exactly.
-
-If a bracket misses (the sketch's error bound is probabilistic in practice),
-it is widened and the step repeats.
+"""Exact order statistics by rounds of bucket counts.
+
+The k-th row of a group (a split threshold, a quantile) is located without
+sorting or shuffling the table. A target starts with the whole value range of
+its group; each round cuts the range into ``BUCKETS`` equal parts, counts the
+rows of every part (one ``groupBy`` with map-side counts, whose result has at
+most targets × BUCKETS rows whatever the data size) and goes on in the part
+that holds the k-th row, shrunk to the smallest and largest value found there.
+It ends when that part holds a single value: for n spread-out values after
+about log(n) / log(BUCKETS) rounds, for a value shared by a third of the rows
+as soon as it stands alone.
+
+No sketch, no sort, no window over data; nothing depends on how values are
+distributed or on how large a group is.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+import math
 
-ACCURACY = 2_000
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+BUCKETS = 1024
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
-def _accuracy(n: int, base: int) -> int:
-    """Sketch accuracy: ``base`` for small inputs, growing with n so that a
-    bracket (about 6·n/accuracy rows) stays near 600 000 at most; capped at
-    10^6, where the sketch itself is still a few MB per column."""
-    return int(min(1_000_000, max(base, n // 100_000)))
 
+def _bucket(x: Column, lo, hi, integral: bool) -> Column:
+    """Part number of ``x`` in [lo, hi]: monotone in x, and different for lo and hi."""
+    if integral:
+        width = -(-(hi - lo) // BUCKETS)
+        # both halves of a wide range are taken from the nearer end, so nothing overflows
+        mid = (lo + hi) // 2
+        up = F.lit(-(-(hi - mid) // width)).cast("long")
+        below = up - F.call_function("div", F.lit(mid).cast("long") - x, F.lit(width).cast("long")) - 1
+        above = up + F.call_function("div", x - F.lit(mid).cast("long") - 1, F.lit(width).cast("long"))
+        return F.when(x <= F.lit(mid), below).otherwise(above)
+    # halved where the range of two huge values would not be finite
+    half = 2.0 if math.isinf(hi - lo) else 1.0
+    span = hi / half - lo / half
+    return F.floor((x / half - F.lit(lo / half)) / F.lit(span) * F.lit(BUCKETS))
 
-def _bracket(df: DataFrame, group: str | None, lead: str, targets: dict, accuracy: int,
-             width: float) -> dict:
-    """{(g, k): (lo, hi)} for target ranks k (1-based) of each group."""
-    out = {}
-    gcol = [F.col(group)]
-    rows = []
-    for g, (n, ks) in targets.items():
-        for k in ks:
-            p = (k - 0.5) / n
-            rows.append((g, k, max(0.0, p - width), min(1.0, p + width)))
-    if not rows:
-        return out
-    probs = sorted({r[2] for r in rows} | {r[3] for r in rows})
-    agg = df.groupBy(*gcol).agg(
-        F.percentile_approx(F.col(lead), F.array(*[F.lit(p) for p in probs]), accuracy).alias("q"),
-        F.min(lead).alias("mn"), F.max(lead).alias("mx"))
-    got = {}
-    for r in agg.collect():  # one row per group
-        g = r[group]
-        got[g] = dict(zip(probs, r["q"])), r["mn"], r["mx"]
-    for g, k, plo, phi in rows:
-        q, mn, mx = got[g]
-        lo = mn if plo <= 0.0 else q[plo]
-        hi = mx if phi >= 1.0 else q[phi]
-        out[(g, k)] = (lo, hi)
-    return out
 
+def _locate(df: DataFrame, values: dict, targets: dict) -> dict:
+    """{(name, k): (value, rows of that name below the value)}.
 
-def kth_tuples(df: DataFrame, order: list[str], targets: dict, group: str | None = None,
-               accuracy: int = ACCURACY) -> dict:
+    ``values``: {name: numeric column, null where the row doesn't belong to the
+    name}; ``targets``: {name: ks}, each k between 1 and the name's row count.
+    """
+    names = [n for n in targets if targets[n]]
+    if not names:
+        return {}
+    integral = {n: isinstance(df.select(values[n].alias("x")).schema["x"].dataType, _INTEGRAL) for n in names}
+    edges = df.agg(*[f(values[n]).alias(f"{s}{i}") for i, n in enumerate(names) for s, f in (("a", F.min), ("b", F.max))]).first()
+    # open parts: (name, lo, hi) -> [(k, rows below lo)]
+    parts = {(n, edges[f"a{i}"], edges[f"b{i}"]): [(k, 0) for k in sorted(set(targets[n]))] for i, n in enumerate(names)}
+    found: dict = {}
+    while True:
+        for (n, lo, hi), ks in list(parts.items()):
+            if lo == hi:
+                found.update({(n, k): (lo, below) for k, below in ks})
+                del parts[(n, lo, hi)]
+        if not parts:
+            return found
+        # a row lies in at most one part of a name: one (part, bucket, value) each
+        of_name: dict = {}
+        for j, (n, lo, hi) in enumerate(parts):
+            x = values[n]
+            item = F.struct(F.lit(j).alias("part"), _bucket(x, lo, hi, integral[n]).cast("int").alias("bucket"),
+                            x.cast("double").alias("x"), (x.cast("long") if integral[n] else F.lit(None).cast("long")).alias("w"))
+            here = (x >= F.lit(lo)) & (x <= F.lit(hi))
+            of_name[n] = F.when(here, item) if n not in of_name else of_name[n].when(here, item)
+        rows = (df.select(F.explode(F.array(*of_name.values())).alias("r")).filter("r is not null")
+                .groupBy("r.part", "r.bucket")
+                .agg(F.count(F.lit(1)).alias("n"), F.min("r.x").alias("x0"), F.max("r.x").alias("x1"),
+                     F.min("r.w").alias("w0"), F.max("r.w").alias("w1")).collect())
+        counted: dict = {}
+        for r in sorted(rows, key=lambda r: (r["part"], r["bucket"])):
+            counted.setdefault(r["part"], []).append(r)
+        nxt: dict = {}
+        for j, ((n, _, _), ks) in enumerate(parts.items()):
+            for k, below in ks:
+                for r in counted[j]:
+                    if k <= below + r["n"]:
+                        lo, hi = (r["w0"], r["w1"]) if integral[n] else (r["x0"], r["x1"])
+                        nxt.setdefault((n, lo, hi), []).append((k, below))
+                        break
+                    below += r["n"]
+        parts = nxt
+
+
+def kth_tuples(df: DataFrame, order: list[str], targets: dict, group: str | None = None) -> dict:
     """Exact k-th rows in ascending ``order`` (first column numeric, nulls excluded).
 
     targets: {group value: (group row count, [k1, k2, ...])}
-    Returns {(group value, k): Row of the ``order`` columns}.
+    Returns {(group value, k): tuple of the ``order`` columns}.
+
+    Rows that share the k-th leading value are told apart by the other columns:
+    their distinct tuples are counted and read, so the leading column should be
+    (nearly) distinct, as the leading bits of a hash are.
     """
-    if group is None:
-        # one constant group: keeps every join below an equi-join
-        df = df.withColumn("_grp_all", F.lit(0))
-        res = kth_tuples(df, order, {0: v for v in targets.values()}, "_grp_all", accuracy)
-        return {(None, k): v for (_, k), v in res.items()}
     lead = order[0]
     df = df.filter(F.col(lead).isNotNull())
-    gcols = [group]
-    accuracy = _accuracy(max([n for n, _ in targets.values()] or [0]), accuracy)
-    pending = {(g, k) for g, (n, ks) in targets.items() for k in ks if 1 <= k <= n}
+    belongs = {g: F.lit(True) if group is None else F.col(group) == F.lit(g) for g in targets}
+    values = {g: F.when(belongs[g], F.col(lead)) for g in targets}
+    found = _locate(df, values, {g: [k for k in ks if 1 <= k <= n] for g, (n, ks) in targets.items()})
+    if not found:
+        return {}
+    at = {(g, v) for (g, _), (v, _) in found.items()}
+    where = None
+    for g, v in at:
+        here = belongs[g] & (F.col(lead) == F.lit(v))
+        where = here if where is None else where | here
+    keys = ([F.col(group).alias("_g")] if group is not None else [F.lit(None).alias("_g")]) + [F.col(c) for c in order]
+    tied = df.filter(where).select(*keys).groupBy("_g", *order).agg(F.count(F.lit(1)).alias("_m")).collect()
     result = {}
-    width = 3.0 / accuracy
-    tuple_cols = [F.col(c) for c in order]
-    while pending:
-        tg = {}
-        for g, k in pending:
-            tg.setdefault(g, (targets[g][0], []))[1].append(k)
-        if width >= 1.0:
-            br = {key: (None, None) for key in pending}      # whole range
-        else:
-            br = _bracket(df, group, lead, tg, accuracy, width)
-        # one pass: rows below each bracket, distinct tuples inside each bracket
-        spark = df.sparkSession
-        brows = [(g, k, lo, hi) for (g, k), (lo, hi) in br.items()]
-        btype = df.schema[lead].dataType.simpleString()
-        gtype = df.schema[group].dataType.simpleString()
-        bdf = spark.createDataFrame(brows, f"_g {gtype}, _k long, _lo {btype}, _hi {btype}")
-        # the bracket table has one row per target: broadcast, joined on the group
-        j = df.select(*gcols, *tuple_cols).join(F.broadcast(bdf), F.col(group) == F.col("_g"),
-                                                 "inner")
-        below = F.when(F.col("_lo").isNotNull(), F.col(lead) < F.col("_lo")).otherwise(F.lit(False))
-        inside = ((F.col("_lo").isNull() | (F.col(lead) >= F.col("_lo")))
-                  & (F.col("_hi").isNull() | (F.col(lead) <= F.col("_hi"))))
-        counts = {(r["_g"], r["_k"]): r["below"] for r in
-                  j.groupBy("_g", "_k").agg(F.count_if(below).alias("below")).collect()}
-        need = spark.createDataFrame(
-            [(g, k, k - counts.get((g, k), 0)) for (g, k) in br],
-            f"_g {gtype}, _k long, _need long")
-        cand = j.filter(inside).groupBy("_g", "_k", *order).agg(F.count(F.lit(1)).alias("_m"))
-        # cumulative count over the distinct tuples of each bracket (a small set)
-        w = Window.partitionBy("_g", "_k").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        hits = (cand.withColumn("_cum", F.sum("_m").over(w))
-                .join(F.broadcast(need), ["_g", "_k"])
-                .filter((F.col("_need") >= 1) & (F.col("_cum") >= F.col("_need"))
-                        & (F.col("_cum") - F.col("_m") < F.col("_need"))))
-        for r in hits.collect():  # at most one row per target
-            result[(r["_g"], r["_k"])] = tuple(r[c] for c in order)
-        pending = {key for key in pending if key not in result}
-        width *= 10
+    for (g, k), (v, below) in found.items():
+        mine = sorted((tuple(r[c] for c in order), r["_m"]) for r in tied
+                      if r[lead] == v and (group is None or r["_g"] == g))
+        for t, m in mine:
+            below += m
+            if k <= below:
+                result[(g, k)] = t
+                break
     return result
 
 
@@ -125,156 +134,40 @@ def tuple_le(order: list[str], values: tuple) -> Column:
     return expr
 
 
-def column_order_stats(df: DataFrame, targets: dict, accuracy: int = ACCURACY,
-                       initial: dict | None = None) -> dict:
-    """Exact k-th smallest values of several numeric columns of one table.
-
-    targets: {column: (non-null count, [k1, k2, ...])}. Works on the wide
-    table: one sketch aggregation, one aggregation of ``count_if`` for the
-    rows below every bracket, and one pass emitting only the values inside a
-    bracket (then a cumulative count over those few distinct values). Nulls
-    and NaN are ignored. Returns {(column, k): value}. ``initial`` may hold
-    brackets {(column, k): (lo, hi)} from an earlier sketch; they are verified
-    like any other and widened on a miss.
-    """
-    spark = df.sparkSession
-    accuracy = _accuracy(max([n for n, _ in targets.values()] or [0]), accuracy)
+def _number(c: str) -> Column:
+    """A column as double; NaN counts as missing."""
+    x = F.col(c).cast("double")
+    return F.when(~F.isnan(x), x)
 
-    def val(c):
-        x = F.col(c).cast("double")
-        return F.when(~F.isnan(x), x)
 
-    pending = {(c, k) for c, (n, ks) in targets.items() for k in ks if 1 <= k <= n}
-    result: dict = {}
-    width = 3.0 / accuracy
-    while pending:
-        cols = sorted({c for c, _ in pending})
-        br: dict = {}
-        if initial:
-            br = {key: initial[key] for key in pending if key in initial}
-            initial = None
-            if len(br) < len(pending):
-                br = {}
-        if br:
-            pass
-        elif width < 1.0:
-            probs = {c: sorted({max(0.0, (k - 0.5) / targets[c][0] - width) for cc, k in pending if cc == c}
-                               | {min(1.0, (k - 0.5) / targets[c][0] + width) for cc, k in pending if cc == c})
-                     for c in cols}
-            aggs = []
-            for i, c in enumerate(cols):
-                aggs += [F.percentile_approx(val(c), F.array(*[F.lit(p) for p in probs[c]]), accuracy)
-                         .alias(f"q{i}"), F.min(val(c)).alias(f"mn{i}"), F.max(val(c)).alias(f"mx{i}")]
-            row = df.agg(*aggs).first()
-            for i, c in enumerate(cols):
-                q = dict(zip(probs[c], row[f"q{i}"]))
-                for cc, k in pending:
-                    if cc != c:
-                        continue
-                    p = (k - 0.5) / targets[c][0]
-                    plo, phi = max(0.0, p - width), min(1.0, p + width)
-                    br[(c, k)] = (row[f"mn{i}"] if plo <= 0.0 else q[plo],
-                                  row[f"mx{i}"] if phi >= 1.0 else q[phi])
-        else:
-            br = {key: (None, None) for key in pending}
-        # merge overlapping brackets of a column into disjoint intervals
-        intervals = []                      # (column, lo, hi, [targets])
-        for c in cols:
-            items = sorted(((lo, hi, (cc, k)) for (cc, k), (lo, hi) in br.items() if cc == c),
-                           key=lambda t: (t[0] is not None, t[0]))
-            for lo, hi, key in items:
-                last = intervals[-1] if intervals and intervals[-1][0] == c else None
-                if last is not None and (last[1] is None or lo is None or lo <= last[2]):
-                    intervals[-1] = (c, None if (last[1] is None or lo is None) else last[1],
-                                     None if (last[2] is None or hi is None) else max(last[2], hi),
-                                     last[3] + [key])
-                else:
-                    intervals.append((c, lo, hi, [key]))
-        # rows below each interval (one aggregation, one row back)
-        brow = df.agg(*[(F.count_if(val(c) < F.lit(lo)) if lo is not None else F.lit(0))
-                        .alias(f"b{j}") for j, (c, lo, hi, _) in enumerate(intervals)]).first()
-        need_rows = []
-        for j, (c, lo, hi, keys) in enumerate(intervals):
-            for key in keys:
-                need_rows.append((j, len(need_rows), key[1] - brow[f"b{j}"]))
-        tkeys = [key for (_, _, _, keys) in intervals for key in keys]
-        need = spark.createDataFrame(need_rows, "_t int, _tid int, _need long")
-        # per column at most one (interval, value) per row, only inside an interval
-        emit = []
-        for c in cols:
-            x = val(c)
-            e = None
-            for j, (cc, lo, hi, _) in enumerate(intervals):
-                if cc != c:
-                    continue
-                cond = x.isNotNull()
-                if lo is not None:
-                    cond = cond & (x >= F.lit(lo)) & (x <= F.lit(hi))
-                item = F.struct(F.lit(j).alias("_t"), x.alias("_v"))
-                e = F.when(cond, item) if e is None else e.when(cond, item)
-            emit.append(e)
-        cand = (df.select(F.explode(F.filter(F.array(*emit), lambda s: s.isNotNull())).alias("s"))
-                .select("s._t", "s._v").groupBy("_t", "_v").agg(F.count(F.lit(1)).alias("_m")))
-        w = Window.partitionBy("_t").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-        hits = (cand.withColumn("_cum", F.sum("_m").over(w)).join(F.broadcast(need), "_t")
-                .filter((F.col("_need") >= 1) & (F.col("_cum") >= F.col("_need"))
-                        & (F.col("_cum") - F.col("_m") < F.col("_need"))))
-        for r in hits.collect():  # at most one row per target
-            result[tkeys[r["_tid"]]] = r["_v"]
-        pending = {key for key in pending if key not in result}
-        width *= 10
-    return result
+def column_order_stats(df: DataFrame, targets: dict) -> dict:
+    """Exact k-th smallest values of several numeric columns of one table:
+    {(column, k): value}. targets: {column: (non-null count, [k1, k2, ...])}.
+    Nulls and NaN are ignored. All columns share each round's single pass."""
+    found = _locate(df, {c: _number(c) for c in targets},
+                    {c: [k for k in ks if 1 <= k <= n] for c, (n, ks) in targets.items()})
+    return {key: v for key, (v, _) in found.items()}
 
 
-def column_quantiles(df: DataFrame, cols: list[str], probs, accuracy: int = ACCURACY) -> dict:
+def column_quantiles(df: DataFrame, cols: list[str], probs) -> dict:
     """Exact linear-interpolated quantiles of several columns:
-    {(column, p): value} (None for an all-null column).
-
-    The first aggregation takes the non-null counts, min/max and a sketch at
-    p ± a margin together, so the brackets need no separate counting pass;
-    :func:`column_order_stats` then verifies them and resolves the exact
-    order statistics around each position ``p·(n-1)``.
-    """
-    import math
-
-    def val(c):
-        x = F.col(c).cast("double")
-        return F.when(~F.isnan(x), x)
-
-    acc = int(accuracy)
-    margin = 6.0 / acc
-    grid = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-margin, margin)})
-    aggs = []
-    for i, c in enumerate(cols):
-        aggs += [F.count(val(c)).alias(f"n{i}"), F.min(val(c)).alias(f"mn{i}"),
-                 F.max(val(c)).alias(f"mx{i}"),
-                 F.percentile_approx(val(c), F.array(*[F.lit(g) for g in grid]), acc).alias(f"q{i}")]
-    row = df.agg(*aggs).first()
-    targets, initial, plan = {}, {}, []
+    {(column, p): value} (None for an all-null column): the two order statistics
+    around each position ``p·(n-1)``."""
+    counts = df.agg(*[F.count(_number(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    targets, plan = {}, []
     for i, c in enumerate(cols):
-        n = row[f"n{i}"]
-        if not n:
-            plan += [(c, p, None, None, 0.0) for p in probs]
-            continue
-        q = dict(zip(grid, row[f"q{i}"] or []))
+        n = counts[f"n{i}"]
         for p in probs:
-            pos = p * (n - 1)
-            lo_k, hi_k = math.floor(pos) + 1, math.ceil(pos) + 1
-            targets.setdefault(c, (n, set()))[1].update((lo_k, hi_k))
-            plo, phi = min(1.0, max(0.0, p - margin)), min(1.0, max(0.0, p + margin))
-            br = (row[f"mn{i}"] if plo <= 0.0 else q.get(plo),
-                  row[f"mx{i}"] if phi >= 1.0 else q.get(phi))
-            if None not in br:
-                initial[(c, lo_k)] = br
-                initial[(c, hi_k)] = br
-            plan.append((c, p, lo_k, hi_k, pos - math.floor(pos)))
-    kth = column_order_stats(df, {c: (n, sorted(ks)) for c, (n, ks) in targets.items()},
-                             accuracy, initial=initial)
+            at = p * (n - 1)
+            if n:
+                targets.setdefault(c, (n, set()))[1].update((math.floor(at) + 1, math.ceil(at) + 1))
+            plan.append((c, p, n, at))
+    kth = column_order_stats(df, {c: (n, sorted(ks)) for c, (n, ks) in targets.items()})
     out = {}
-    for c, p, lo_k, hi_k, frac in plan:
-        if lo_k is None:
+    for c, p, n, at in plan:
+        if not n:
             out[(c, p)] = None
             continue
-        vlo, vhi = kth[(c, lo_k)], kth[(c, hi_k)]
-        out[(c, p)] = vlo + (vhi - vlo) * frac
+        lo, hi = kth[(c, math.floor(at) + 1)], kth[(c, math.ceil(at) + 1)]
+        out[(c, p)] = lo + (hi - lo) * (at - math.floor(at))
     return out

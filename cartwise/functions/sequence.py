@@ -7,11 +7,13 @@ groups spread over many tasks:
 
 1. ``repartitionByRange(n, key..., order...)`` + ``sortWithinPartitions``: range
    bounds are sampled over the full sort tuple, so a hot key is cut into
-   several contiguous partitions of similar size.
-2. One vectorised pass per partition (``mapInPandas``) numbers rows within
-   each key *locally*, takes local lags and flags the local last row, carrying
-   state across Arrow batches of the same partition. Its output is persisted,
-   so the pass runs once for both of its consumers.
+   several contiguous partitions of similar size; n grows with the input.
+2. One vectorised pass per partition (``mapInArrow``) numbers rows within each
+   key *locally*, takes local lags and flags the local last row, carrying state
+   across the batches of the partition. Columns stay Arrow arrays throughout:
+   64-bit integers beside nulls keep every digit. The numbered rows are written
+   to the shared folder, so the pass runs once for both of its readers and a
+   lost executor doesn't repeat it.
 3. Only the first key of a partition can have begun in an earlier partition,
    and only its last key can continue in a later one. The per-partition head
    and tail rows (at most 2·n rows, n = partition count) give the missing
@@ -25,94 +27,102 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartwise.functions.handoff import remove, written
+from cartwise.functions.joins import estimated_size_bytes
+
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-_PERSISTED: list[DataFrame] = []
+#: Input bytes (as the plan estimates them) for one range partition.
+PARTITION_BYTES = 64 * 1024 * 1024
+_WRITTEN: list[tuple[SparkSession, str]] = []
 
 
 def release_cached() -> None:
-    """Unpersist the numbered rows kept by :func:`sequence_within` (call once
-    the results that depend on them have been written)."""
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist(blocking=False)
-
+    """Delete the numbered rows kept by :func:`sequence_within` (call once the
+    results that depend on them have been written)."""
+    while _WRITTEN:
+        remove(*_WRITTEN.pop())
 
-def _null_safe_eq(a, b) -> bool:
-    import pandas as pd
 
-    if a is None or (not isinstance(a, str) and pd.isna(a)):
-        return b is None or (not isinstance(b, str) and pd.isna(b))
-    if b is None or (not isinstance(b, str) and pd.isna(b)):
-        return False
-    return a == b
+def release_held(hold: list) -> None:
+    """Delete the numbered rows noted in a caller's ``hold`` list."""
+    while hold:
+        remove(*hold.pop())
 
 
 def _make_numberer(key_names: list[str], lag_names: list[str], integral_lags: set[str]):
     def number(batches):
         import numpy as np
-        import pandas as pd
-        prev_key = None          # key tuple of the last row already seen
-        prev_run = 0             # its local row number
-        prev_vals = None         # lag-source values of that row
-        held = None              # batch waiting for the next one (last flag)
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def follows(a, b):
+            """Element-wise: b equals a, nulls equal to nulls."""
+            both = pc.and_(pc.is_null(a), pc.is_null(b))
+            return pc.or_(pc.fill_null(pc.equal(a, b), False), both).to_numpy(zero_copy_only=False)
+
+        prev_keys = prev_lags = None   # one-row arrays of the last row seen
+        prev_run = 0                   # its local row number
+        held = None                    # batch waiting for the next one (last flag)
         first = True
-        for pdf in batches:
-            if len(pdf) == 0:
+
+        def finish(batch, flags, ends_key, is_tail):
+            rn, head, last, lags = flags
+            last[-1] = ends_key
+            tail = np.zeros(len(rn), dtype=bool)
+            tail[-1] = is_tail
+            return pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(rn), pa.array(head), pa.array(tail), pa.array(last), *lags],
+                names=[*batch.schema.names, "_seq_rn", "_seq_head", "_seq_tail", "_seq_last",
+                       *[f"_seq_lag_{i}" for i in range(len(lags))]])
+
+        for batch in batches:
+            m = batch.num_rows
+            if m == 0:
                 continue
-            pdf = pdf.reset_index(drop=True)
-            m = len(pdf)
+            keys = [batch.column(batch.schema.get_field_index(k)) for k in key_names]
+            sources = [batch.column(batch.schema.get_field_index(c)).cast(pa.int64() if c in integral_lags else pa.float64())
+                       for c in lag_names]
             same = np.ones(m, dtype=bool)
-            for k in key_names:
-                s = pdf[k]
-                sh = s.shift()
-                same &= ((s == sh) | (s.isna() & sh.isna())).to_numpy()
-            row0 = tuple(pdf[k].iloc[0] for k in key_names)
-            same[0] = prev_key is not None and all(
-                _null_safe_eq(a, b) for a, b in zip(row0, prev_key))
+            for k in keys:
+                same[1:] &= follows(k.slice(0, m - 1), k.slice(1))
+            same[0] = prev_keys is not None and all(
+                bool(follows(a, k.slice(0, 1))[0]) for a, k in zip(prev_keys, keys))
             if held is not None:
                 # the held batch's last row ends its key unless this row continues it
-                held.loc[held.index[-1], "_seq_last"] = not bool(same[0])
-                yield held
-            grp = np.cumsum(~same)
-            rn = pdf.groupby(grp).cumcount().to_numpy().astype("int64") + 1
+                yield finish(*held, not same[0], False)
+            start = np.where(~same, np.arange(m), 0)
+            rn = np.arange(m) - np.maximum.accumulate(start) + 1
             if same[0]:
-                rn[grp == grp[0]] += prev_run
+                other = np.nonzero(~same)[0]
+                rn[:other[0] if len(other) else m] += prev_run
             last = np.ones(m, dtype=bool)
             last[:-1] = ~same[1:]
-            out = pdf.copy()
-            out["_seq_rn"] = rn
             head = np.zeros(m, dtype=bool)
-            if first:
-                head[0] = True
-            out["_seq_head"] = head
-            out["_seq_tail"] = np.zeros(m, dtype=bool)
-            out["_seq_last"] = last
-            for i, c in enumerate(lag_names):
-                src = pdf[c].astype("Int64") if c in integral_lags else pdf[c].astype("float64")
-                lag = src.shift()
-                if same[0] and prev_vals is not None:
-                    lag.iloc[0] = prev_vals[i]
-                else:
-                    lag.iloc[0] = pd.NA if c in integral_lags else np.nan
-                lag[~same] = pd.NA if c in integral_lags else np.nan
-                out[f"_seq_lag_{i}"] = lag
-            prev_key = tuple(pdf[k].iloc[-1] for k in key_names)
+            head[0] = first
+            lags = []
+            for i, src in enumerate(sources):
+                before = prev_lags[i] if prev_lags is not None else pa.nulls(1, src.type)
+                shifted = pa.concat_arrays([before, src.slice(0, m - 1)])
+                lags.append(pc.if_else(pa.array(same), shifted, pa.scalar(None, src.type)))
+            prev_keys = [k.slice(m - 1, 1) for k in keys]
+            prev_lags = [c.slice(m - 1, 1) for c in sources]
             prev_run = int(rn[-1])
-            prev_vals = tuple(pdf[c].iloc[-1] for c in lag_names)
-            held = out
+            held = batch, (rn.astype("int64"), head, last, lags)
             first = False
         if held is not None:
-            held.loc[held.index[-1], "_seq_tail"] = True
-            held.loc[held.index[-1], "_seq_last"] = True
-            yield held
+            yield finish(*held, True, True)
 
     return number
 
 
+def _null_safe_eq(a, b) -> bool:
+    return a == b if a is not None and b is not None else a is b
+
+
 def sequence_within(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
                     rn_col: str | None = "rn", lags: dict[str, str] | None = None,
                     last_col: str | None = None, num_partitions: int | None = None,
@@ -121,12 +131,13 @@ def sequence_within(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
     is-last-in-group flag (``last_col``) over ``PARTITION BY keys ORDER BY order_by``
     (ascending), with no group pinned to one task. Lag sources must be numeric.
 
-    The numbered rows stay persisted until :func:`release_cached`; a caller that
-    passes a list as ``hold`` gets the persisted frame appended there instead and
-    unpersists it itself once its result is computed.
+    The numbered rows stay written until :func:`release_cached`; a caller that
+    passes a list as ``hold`` gets them noted there instead and deletes them with
+    :func:`release_held` once its result is computed.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                              -(-(estimated_size_bytes(df) or 0) // PARTITION_BYTES))
     keys, order_by = list(keys), list(order_by)
     lags = dict(lags or {})
     lag_names = list(lags)
@@ -147,16 +158,12 @@ def sequence_within(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
         T.StructField("_seq_tail", T.BooleanType()),
         T.StructField("_seq_last", T.BooleanType()),
     ] + lag_fields)
-    seq = ranged.mapInPandas(_make_numberer(keys, lag_names, integral), schema)
-
-    # The numbered rows feed two consumers (the boundary rows and the output).
-    # They are persisted, and one job both fills the cache and collects the
-    # boundary rows: one head and one tail per non-empty partition, at most 2·n
-    # rows whatever the data size. Started as separate broadcast subqueries,
-    # every consumer would run the pandas pass again before the cache is filled.
-    # A lost block is recomputed from the same range exchange.
-    seq = seq.persist(StorageLevel.MEMORY_AND_DISK)
-    (hold if hold is not None else _PERSISTED).append(seq)
+    seq = ranged.mapInArrow(_make_numberer(keys, lag_names, integral), schema)
+
+    # one write serves both readers: the boundary rows (one head and one tail per
+    # non-empty partition, at most 2·n rows whatever the data size) and the output
+    seq, path = written(seq, "sequence")
+    (hold if hold is not None else _WRITTEN).append((spark, path))
     edge_rows = seq.filter(F.col("_seq_head") | F.col("_seq_tail")).select(
         "_seq_pid", "_seq_head", "_seq_tail", "_seq_rn",
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.columns import ratio
+from cartwise.functions.handoff import written
 from cartwise.functions.joins import sized_broadcast
 from cartwise.sources.schemas import FEATURE_COLUMNS, FEATURE_SCHEMA
 
@@ -138,7 +139,7 @@ def customer_product_features(orders: DataFrame, lines: DataFrame,
     dims = sized_broadcast(dedup_products(products))
     pc = pairs.join(dims, "product_id", "left")
     if reuse == "checkpoint":
-        pc = pc.checkpoint(eager=True)
+        pc, _ = written(pc, "pairs")
     elif reuse == "persist":
         from pyspark import StorageLevel
 
@@ -166,8 +167,8 @@ def customer_product_features(orders: DataFrame, lines: DataFrame,
         F.sum(F.when(known_aisle, n)).alias("_aisle_total"))
     u = users.join(ut, "user_id", "left")
 
-    # user-keyed joins first: with co-partitioning on a subset of the join keys
-    # allowed, one shuffle of the pair rows by user_id serves all three
+    # every join shuffles on its own keys: AQE may split a user that holds very
+    # many pairs in the first, and the next two spread it by category
     out = (pc.join(u, "user_id", "left")
            .join(ud, ["user_id", "department_id"], "left")
            .join(ua, ["user_id", "aisle_id"], "left")

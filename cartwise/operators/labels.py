@@ -3,8 +3,7 @@
 Randomness is a seeded md5 order key over (user_id, product_id): the same
 digest in Spark and DuckDB, independent of partitioning, stable on re-runs and
 retries. Exact per-class sizes come from exact order statistics of that key
-(:func:`kth_tuples`: sketch, count, small bracket — no sort or shuffle of the
-rows); folds, which need every row's rank, use the range-partitioned
+(:func:`kth_tuples`: rounds of bucket counts — no sort or shuffle of the rows); folds, which need every row's rank, use the range-partitioned
 :func:`sequence_within`. Never a window partitioned by the class alone (that
 would put 94 % of the rows into one task).
 """
@@ -16,7 +15,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.functions.columns import hash_order_key, require_columns
+from cartwise.functions.columns import require_columns
 from cartwise.functions.select import kth_tuples, tuple_le
 from cartwise.functions.sequence import sequence_within
 from cartwise.sources.schemas import TARGET_COLUMN
@@ -88,7 +87,7 @@ def _ranked(df: DataFrame, target: str, seed: int, salt: str, keys=PAIR,
 
 def _with_order(df: DataFrame, seed: int, salt: str, keys) -> tuple[DataFrame, list[str]]:
     """Seeded order key: md5 hex of ``key-...-seed`` plus its first 60 bits as a
-    number (same order as the hex text; the number feeds the quantile sketch)."""
+    number (same order as the hex text; the number is what bucket counts run on)."""
     h = F.md5(F.concat_ws("-", *[F.col(c).cast("string") for c in keys], F.lit(f"{seed}{salt}")))
     d = (df.withColumn("_h", h)
          .withColumn("_h60", F.conv(F.substring("_h", 1, 15), 16, 10).cast("long")))
@@ -185,6 +184,13 @@ def stratified_folds(df: DataFrame, k: int = 3, target: str = TARGET_COLUMN, see
 
 
 def plot_sample(df: DataFrame, n: int = 50_000, seed: int = SEED, keys=PAIR) -> DataFrame:
-    """Seeded sample of min(n, rows) for plotting (a bounded top-n by hash)."""
-    return (df.withColumn("_h", hash_order_key(seed, *keys)).orderBy("_h", *keys).limit(n)
-            .drop("_h"))
+    """Seeded sample of min(n, rows) for plotting: the first n rows in hash
+    order, cut at the exact n-th row (nothing is sorted or sent to one task)."""
+    count = df.count()
+    if n >= count:
+        return df
+    if n <= 0:
+        return df.limit(0)
+    d, order = _with_order(df, seed, "", keys)
+    kth = kth_tuples(d, order, {None: (count, [n])})
+    return d.filter(tuple_le(order, kth[(None, n)])).drop("_h", "_h60")

@@ -1,7 +1,7 @@
 """Classification metrics, exact ROC-AUC, CV summaries and model selection.
 
 Row-level work is one aggregation (confusion counts) or one range-partitioned
-rank (AUC); the result tables are tiny and only those reach the driver.
+count by score (AUC); the result tables are tiny and only those reach the driver.
 """
 
 from __future__ import annotations
@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwise.functions.sequence import sequence_within
+from cartwise.functions.handoff import remove, written
 
+# Names of the metrics in model tables.
 METRICS = ["accuracy", "precision", "recall", "f1_score", "roc_auc"]
 
 
@@ -49,27 +50,34 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score",
             tiebreak: list[str] | None = None) -> DataFrame:
     """Exact ROC-AUC with tied scores at their average rank (Mann–Whitney).
 
-    Rows are ranked by (score, tiebreak) with a range-partitioned sort so that a
-    score shared by many rows (a tree leaf) is still spread over many tasks; the
-    first rank of each distinct score then gives the rows below it. Result: one
-    row ``roc_auc`` (null when a class is absent). Computed eagerly: the ranked
-    rows are unpersisted as soon as the single value is known.
+    Rows are first counted by score, map-side, so a score shared by a third of
+    the rows (a tree leaf) is one row from then on. The distinct scores are
+    range-partitioned; rows below a score are those of the ranges before its own
+    (one total per range) and of the smaller scores inside it. Rows without a
+    label or a score take no part. Result: one row ``roc_auc`` (null when a class
+    is absent). ``tiebreak`` is no longer needed and ignored.
     """
-    cols = [F.col(score).cast("double").alias("_s"), F.col(label).cast("int").alias("_y")]
-    base = df.select(*cols, F.xxhash64(*[F.col(c) for c in (tiebreak or df.columns)]).alias("_t"))
-    held: list = []
-    ranked = sequence_within(base, [], ["_s", "_t"], rn_col="_rn", hold=held)
-    g = ranked.groupBy("_s").agg(F.min("_rn").alias("_first"), F.count(F.lit(1)).alias("_c"),
-                                 F.sum("_y").alias("_p"))
-    tot = g.agg(F.sum(F.col("_p") * (F.col("_first") - 1 + (F.col("_c") + 1) / 2.0)).alias("_r"),
-                F.sum("_p").alias("_P"), F.sum("_c").alias("_n"))
+    spark = df.sparkSession
+    y, s = F.col(label).cast("int"), F.col(score).cast("double")
+    g = (df.select(s.alias("_s"), y.alias("_y")).filter("_s is not null and _y is not null")
+         .groupBy("_s").agg(F.count(F.lit(1)).alias("_c"), F.sum("_y").alias("_p")))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # written, so that both readers below see the same ranges
+    ranged, path = written(g.repartitionByRange(n, "_s").withColumn("_r", F.spark_partition_id()), "auc")
+    totals = ranged.groupBy("_r").agg(F.sum("_c").alias("_t"))          # at most n rows
+    before = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(F.col("_r"), F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_o"))
+    inside = Window.partitionBy("_r").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.col("_o") + F.coalesce(F.sum("_c").over(inside), F.lit(0))
+    ranks = ranged.join(F.broadcast(offsets), "_r").select("_c", "_p", below.alias("_b"))
+    tot = ranks.agg(F.sum(F.col("_p") * (F.col("_b") + (F.col("_c") + 1) / 2.0)).alias("_w"),
+                    F.sum("_p").alias("_P"), F.sum("_c").alias("_n"))
     P, N = F.col("_P"), F.col("_n") - F.col("_P")
     auc = tot.select(F.when((P == 0) | (N == 0), F.lit(None).cast("double"))
-                     .otherwise((F.col("_r") - P * (P + 1) / 2.0) / (P.cast("double") * N))
+                     .otherwise((F.col("_w") - P * (P + 1) / 2.0) / (P.cast("double") * N))
                      .alias("roc_auc")).first()["roc_auc"]
-    for d in held:
-        d.unpersist(blocking=False)
-    return df.sparkSession.createDataFrame([(auc,)], "roc_auc double")
+    remove(spark, path)
+    return spark.createDataFrame([(auc,)], "roc_auc double")
 
 
 def binary_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction",
@@ -114,6 +122,7 @@ def classification_report(df: DataFrame, label: str = "label",
 
 # ----------------------------------------------------------------------------- model tables
 
+# Names of the fold metrics.
 CV_METRICS = ["accuracy", "precision", "recall", "f1_score", "roc_auc", "training_time_seconds"]
 
 

@@ -63,7 +63,8 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 def warehouse_checks(features: DataFrame) -> DataFrame:
     """The load checks of the warehouse script as one row."""
-    pair_text = F.concat_ws("-", F.col("user_id").cast("string"), F.col("product_id").cast("string"))
+    # null where either id is: such rows are no pair
+    pair_text = F.concat(F.col("user_id").cast("string"), F.lit("-"), F.col("product_id").cast("string"))
 
     def bad_rate(c):
         return F.count_if((F.col(c) < 0) | (F.col(c) > 1))
@@ -116,9 +117,9 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75)) ->
     of several columns: (column, p, value). Nulls and NaN are skipped.
 
     The two order statistics around each quantile position are found exactly
-    by :func:`column_quantiles` on the wide table (one sketch-and-count pass,
-    one pass over the rows below / inside the brackets): no sort, no unpivot,
-    no shuffle of the rows, no single-task buffer of a column's values.
+    by :func:`column_quantiles` on the wide table, in rounds of bucket counts
+    that all columns share: no sort, no sketch, no shuffle of the rows, no
+    single-task buffer of a column's values.
     """
     res = column_quantiles(df, cols, [float(p) for p in probs])
     rows = [(c, float(p), res[(c, float(p))]) for c in cols for p in probs]

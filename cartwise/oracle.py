@@ -15,22 +15,23 @@ R = 9  # rounding digits for double columns in registered queries
 def basket_cte(grain: str = "part") -> str:
     """CTEs b_products, b_orders, b_lines (no leading WITH, trailing comma-free)."""
     if grain == "part":
-        product = "p.p_partkey"
+        product, line_product = "c.p_partkey", "l.l_partkey"
     elif grain == "brand_type":
-        product = "CAST(c.aisle_id AS BIGINT) * 100 + c.department_id"
+        product = "CAST(c.aisle_id AS BIGINT) * ((SELECT count(*) FROM b_types) + 1) + c.department_id"
+        line_product = "m.product_id"
     else:
         raise ValueError(grain)
     return f"""
 b_types AS (
   SELECT p_type, CAST(dense_rank() OVER (ORDER BY p_type) AS INTEGER) AS department_id
-  FROM (SELECT DISTINCT p_type FROM part) t),
+  FROM (SELECT DISTINCT p_type FROM part WHERE p_type IS NOT NULL) t),
 b_cats AS (
   SELECT p.p_partkey,
          CAST(regexp_extract(p.p_brand, '(\\d+)$', 1) AS INTEGER) AS aisle_id,
          t.department_id
   FROM part p LEFT JOIN b_types t ON p.p_type = t.p_type),
 b_pmap AS (
-  SELECT c.p_partkey, CAST({product.replace('p.p_partkey', 'c.p_partkey')} AS BIGINT) AS product_id,
+  SELECT c.p_partkey, CAST({product} AS BIGINT) AS product_id,
          c.aisle_id, c.department_id
   FROM b_cats c),
 b_products AS (
@@ -57,11 +58,12 @@ b_l AS (
               l_suppkey, l_shipdate, l_quantity, l_extendedprice) AS INTEGER) AS add_to_cart_order
   FROM lineitem),
 b_lines AS (
-  SELECT l.order_id, m.product_id, l.add_to_cart_order, o.user_id, o.eval_set, o.order_number,
-         CAST(o.order_number > min(o.order_number) OVER (PARTITION BY o.user_id, m.product_id)
+  SELECT l.order_id, {line_product} AS product_id, l.add_to_cart_order, o.user_id, o.eval_set,
+         o.order_number,
+         CAST(o.order_number > min(o.order_number) OVER (PARTITION BY o.user_id, {line_product})
               AS INTEGER) AS reordered
   FROM b_l l
-  JOIN b_pmap m ON l.l_partkey = m.p_partkey
+  LEFT JOIN b_pmap m ON l.l_partkey = m.p_partkey
   JOIN b_orders o ON l.order_id = o.order_id)"""
 
 

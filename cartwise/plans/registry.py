@@ -427,17 +427,8 @@ def purchase_count_box(spark, sf_dir):
 from cartwise.plans import models as MD  # noqa: E402
 from cartwise.plans import validation as VA  # noqa: E402
 
-_METRIC_SCHEMA = ("model string, accuracy double, precision double, recall double, "
-                  "f1_score double, roc_auc double, inference_ms_per_row double, "
-                  "model_size_mb double")
-
-
 def _test_metrics(spark, sf_dir, kind, rule="threshold"):
-    model, path = ST.trained_model(spark, sf_dir, kind)
-    r = VA.evaluate(model, ST.test(spark, sf_dir), kind, rule, model_path=path)
-    return spark.createDataFrame([(kind, r["accuracy"], r["precision"], r["recall"], r["f1_score"],
-                                   r["roc_auc"], r["inference_ms_per_row"], r["model_size_mb"])],
-                                 _METRIC_SCHEMA)
+    return ST.test_metrics(spark, sf_dir, kind, rule)
 
 
 @register("logistic_baseline_test_metrics", None)
@@ -464,14 +455,22 @@ def gradient_boosting_test_metrics(spark, sf_dir):
     return _test_metrics(spark, sf_dir, "gradient_boosting", rule="argmax")
 
 
+@register("tuned_random_forest_test_metrics", None)
+def tuned_random_forest_test_metrics(spark, sf_dir):
+    """M5: the search's best draw, fitted anew on all balanced training rows."""
+    return _test_metrics(spark, sf_dir, ST.TUNED, rule="argmax")
+
+
+@register("tuned_random_forest_validation", None)
+def tuned_random_forest_validation(spark, sf_dir):
+    """M5 + D5: metrics on the search's 20 % part and on the test split (two rows)."""
+    return ST.tuned_metrics(spark, sf_dir)
+
+
 @register("soft_voting_test_metrics", None)
 def soft_voting_test_metrics(spark, sf_dir):
     """M6: mean P(1) of the three tree models, p >= 0.5."""
-    members = {k: ST.trained_model(spark, sf_dir, k)[0]
-               for k in ("decision_tree", "random_forest", "gradient_boosting")}
-    scored = MD.soft_vote(members, ST.test(spark, sf_dir))
-    return MT.binary_metrics(scored, tiebreak=["user_id", "product_id"]).select(
-        F.lit("soft_voting").alias("model"), "*")
+    return _test_metrics(spark, sf_dir, "soft_voting")
 
 
 @register("cross_validation_folds", None)
@@ -483,12 +482,9 @@ def cross_validation_folds(spark, sf_dir):
 @register("randomized_search_results", None)
 def randomized_search_results(spark, sf_dir):
     """8 seeded draws of the forest search space, 2-fold CV on ROC-AUC."""
-    # D4 + D5: the 250 000-row stratified tuning sample of the balanced training
-    # set, then its stratified 80 % part is searched (the 20 % is validation)
-    sample = LB.stratified_sample(ST.balanced(spark, sf_dir), 250_000)
-    tune, _ = LB.train_test_split(sample, 0.2)
-    _, res, _ = VA.randomized_search(tune, impute="mean")
-    return res
+    # D4 + D5: searched on the 80 % part of the tuning sample, the 20 % validates
+    # the best draw (tuned_random_forest_validation)
+    return ST.search_results(spark, sf_dir)
 
 
 @register("model_selection", None)
@@ -501,12 +497,12 @@ def model_selection(spark, sf_dir):
 
 
 def _comparison(spark, sf_dir):
-    folds = ST.cv_folds(spark, sf_dir)
     tests = None
-    for kind in ("decision_tree", "random_forest", "gradient_boosting"):
-        t = _test_metrics(spark, sf_dir, kind, rule="argmax").drop("inference_ms_per_row")
+    for kind in (*ST.TREE_KINDS, ST.TUNED):
+        t = _test_metrics(spark, sf_dir, kind, rule="argmax").drop(
+            "inference_time_ms", "inference_ms_per_row", "evaluation_time_seconds")
         tests = t if tests is None else tests.unionByName(t)
-    return MT.model_comparison(MT.cv_summary(folds), tests)
+    return MT.model_comparison(MT.cv_summary(ST.cv_folds(spark, sf_dir)), tests)
 
 
 @register("cv_metric_error_bars", None)
@@ -518,35 +514,29 @@ def cv_metric_error_bars(spark, sf_dir):
 
 @register("model_selection_report", None)
 def model_selection_report(spark, sf_dir):
-    """The selection report (markdown) as one row, formatted on the driver
-    from the one-row-per-model comparison table."""
+    """The selection report (markdown) as one row."""
     from cartwise.plans import report as RP
 
-    return spark.createDataFrame([(RP.selection_report(_comparison(spark, sf_dir)),)],
-                                 "report string")
+    return RP.selection_report(_comparison(spark, sf_dir))
 
 
 @register("architecture_comparison", None)
 def architecture_comparison(spark, sf_dir):
-    """E10 + J14 + O1: the three tree models and the soft-voting ensemble on the
-    test split (p >= 0.5 rule for all four, as the comparison uses), with the
-    training run's fit seconds joined by model (none for the ensemble, which is
-    not trained), ranked by AUC."""
-    test = ST.test(spark, sf_dir)
-    rows = None
-    members = {}
-    for kind in ("decision_tree", "random_forest", "gradient_boosting"):
-        members[kind] = ST.trained_model(spark, sf_dir, kind)[0]
-        t = _test_metrics(spark, sf_dir, kind, rule="threshold")
+    """E10 + J14 + O1: the three tree models, the tuned forest and the soft-voting
+    ensemble on the test split (p >= 0.5 rule for all, as the comparison uses),
+    with the training run's fit seconds joined by model (the ensemble's: those of
+    its members), ranked by AUC."""
+    rows = fit_times = None
+    for kind in (*ST.TREE_KINDS, ST.TUNED, "soft_voting"):
+        t = _test_metrics(spark, sf_dir, kind, rule="threshold").drop(
+            "test_prediction_time_seconds", "evaluation_time_seconds")
         rows = t if rows is None else rows.unionByName(t)
-    vote = MT.binary_metrics(MD.soft_vote(members, test), tiebreak=["user_id", "product_id"])
-    rows = rows.unionByName(vote.select(F.lit("soft_voting").alias("model"), "*"),
-                            allowMissingColumns=True)
-    fit_times = None
-    for kind in members:
+    for kind in (*ST.TREE_KINDS, ST.TUNED):
         t = ST.fit_seconds(spark, sf_dir, kind)
         fit_times = t if fit_times is None else fit_times.unionByName(t)
-    return MT.architecture_table(rows, fit_times)
+    vote = fit_times.filter(F.col("model").isin(*ST.TREE_KINDS)).agg(
+        F.lit("soft_voting").alias("model"), F.sum("training_time_seconds").alias("training_time_seconds"))
+    return MT.architecture_table(rows, fit_times.unionByName(vote))
 
 
 @register("scored_test_requests", None)
@@ -619,36 +609,44 @@ def warehouse_load_checks(spark, sf_dir):
     CSV parts, loaded with FAILFAST into a typed catalog table, then checked."""
     import uuid
 
+    from cartwise.functions.handoff import remove, written
     from cartwise.session import checkpoint_dir
     from cartwise.sources import sinks as SK
 
     root = f"{checkpoint_dir(spark)}/warehouse-{uuid.uuid4().hex[:12]}"
     SK.write_parts(ST.features(spark, sf_dir, "part"), f"{root}/csv")
     table = f"features_{uuid.uuid4().hex[:8]}"
-    name = SK.create_feature_table(spark, "customer_demand", table, f"{root}/table")
+    name = SK.create_feature_table(spark, "basket_features", table, f"{root}/table")
     SK.bulk_load(spark, f"{root}/csv", name)
-    if table not in SK.list_tables(spark, "customer_demand"):
+    if table not in SK.list_tables(spark, "basket_features"):
         raise RuntimeError("table not in catalog")
-    return QC.warehouse_checks(spark.table(name))
+    # one row; the table and its files are dropped once it is written
+    out, _ = written(QC.warehouse_checks(spark.table(name)), "warehouse-checks")
+    spark.sql(f"DROP TABLE {name}")
+    remove(spark, root)
+    return out
 
 
 @register("experiment_run_summary", None)
 def experiment_run_summary(spark, sf_dir):
-    """One run per tree model appended to a run table (params, metrics,
-    tags, artifacts), read back and summarised per metric; ``best`` marks the
-    run with the highest ROC-AUC."""
+    """One run per model appended to a run table (params, metrics, tags,
+    artifacts), read back and summarised per metric; ``best`` marks the run with
+    the highest ROC-AUC. The table is deleted once the summary is written."""
     import uuid
 
+    from cartwise.functions.handoff import remove, written
     from cartwise.plans import runs as RU
     from cartwise.session import checkpoint_dir
 
     path = f"{checkpoint_dir(spark)}/runs-{uuid.uuid4().hex[:12]}"
-    for kind in ("decision_tree", "random_forest", "gradient_boosting"):
-        model, mpath = ST.trained_model(spark, sf_dir, kind)
-        m = VA.evaluate(model, ST.test(spark, sf_dir), kind, "argmax", model_path=mpath)
-        RU.log_run(spark, path, "basket_models", kind, RU.model_params(model), m,
-                   {"grain": "brand_type"}, [mpath])
+    for kind in (*ST.TREE_KINDS, ST.TUNED):
+        model, mpath = ST.model_of(spark, sf_dir, kind)
+        row = ST.test_metrics(spark, sf_dir, kind, "argmax").first().asDict()
+        RU.log_run(spark, path, "basket_models", kind, RU.model_params(model), row,
+                   {"grain": "brand_type", "model_type": "tuned" if kind == ST.TUNED else "baseline"}, [mpath])
     runs = RU.read_runs(spark, path)
     best = RU.best_run(runs).select(F.col("run_id").alias("_best"))
-    return (RU.run_summary(runs).join(F.broadcast(best), F.col("run_id") == F.col("_best"), "left")
-            .withColumn("best", F.col("_best").isNotNull()).drop("_best", "run_id"))
+    out, _ = written(RU.run_summary(runs).join(F.broadcast(best), F.col("run_id") == F.col("_best"), "left")
+                     .withColumn("best", F.col("_best").isNotNull()).drop("_best", "run_id"), "run-summary")
+    remove(spark, path)
+    return out

@@ -27,7 +27,7 @@ _MEMO: dict[tuple, DataFrame] = {}
 def stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """Write ``build()`` once under the checkpoint folder and return the read-back."""
     key = hashlib.md5(f"{_input_fingerprint(spark, sf_dir)}|{name}|{code_fingerprint()}".encode()).hexdigest()[:16]
-    memo = (id(spark), key)
+    memo = (spark.sparkContext.applicationId, key)
     if memo in _MEMO:
         return _MEMO[memo]
     path = f"{checkpoint_dir(spark)}/stage-{name}-{key}"
@@ -105,16 +105,104 @@ def trained_model(spark: SparkSession, sf_dir: str, kind: str, grain: str = "bra
 def fit_seconds(spark: SparkSession, sf_dir: str, kind: str, grain: str = "brand_type",
                 impute: str = "mean", **params) -> DataFrame:
     """(model, training_time_seconds) of the training run of :func:`trained_model`."""
-    _, path = trained_model(spark, sf_dir, kind, grain, impute, **params)
+    path = (model_of(spark, sf_dir, kind, grain) if kind == TUNED
+            else trained_model(spark, sf_dir, kind, grain, impute, **params))[1]
     return spark.read.parquet(f"{path}-fit")
 
 
+TREE_KINDS = ("decision_tree", "random_forest", "gradient_boosting")
+TUNED = "tuned_random_forest"
+#: Rows of the stratified sample that the search draws from the balanced set.
+TUNING_ROWS = 250_000
+
+
+def tuning_split(spark: SparkSession, sf_dir: str, grain: str = "brand_type") -> tuple[DataFrame, DataFrame]:
+    """D4 + D5: the tuning sample's 80 % to search on and 20 % to validate on."""
+    sample = stage(spark, sf_dir, f"tuning-{grain}", lambda: LB.split_flag(
+        LB.stratified_sample(balanced(spark, sf_dir, grain), TUNING_ROWS)))
+    return (sample.filter(~F.col("is_test")).drop("is_test"), sample.filter(F.col("is_test")).drop("is_test"))
+
+
+def search_results(spark: SparkSession, sf_dir: str, grain: str = "brand_type") -> DataFrame:
+    """The random search's table (M7, M10), written once."""
+    from cartwise.plans import validation as V
+
+    return stage(spark, sf_dir, f"search-{grain}",
+                 lambda: V.randomized_search(tuning_split(spark, sf_dir, grain)[0], impute="mean")[1])
+
+
+def best_draw(spark: SparkSession, sf_dir: str, grain: str = "brand_type") -> dict:
+    """The draw of rank 1 (the first of several)."""
+    from cartwise.plans import validation as V
+
+    top = search_results(spark, sf_dir, grain).orderBy("rank_test_score", "draw").first()["draw"]
+    return V.draw_params()[top]
+
+
+def model_of(spark: SparkSession, sf_dir: str, kind: str, grain: str = "brand_type"):
+    """(model, path) of a trained model by name. M5: the tuned forest is the best
+    draw fitted anew on all balanced training rows."""
+    if kind != TUNED:
+        return trained_model(spark, sf_dir, kind, grain)
+    from cartwise.plans import validation as V
+
+    return trained_model(spark, sf_dir, TUNED, grain, **V.spark_rf_params(best_draw(spark, sf_dir, grain)))
+
+
+METRIC_ROW = ("model string, accuracy double, precision double, recall double, f1_score double, "
+              "roc_auc double, inference_time_ms double, inference_ms_per_row double, "
+              "test_prediction_time_seconds double, model_size_mb double, evaluation_time_seconds double")
+
+
+def _metric_row(spark: SparkSession, r: dict) -> DataFrame:
+    names = [c.split()[0] for c in METRIC_ROW.split(", ")]
+    return spark.createDataFrame([tuple(r[n] for n in names)], METRIC_ROW)
+
+
+def test_metrics(spark: SparkSession, sf_dir: str, kind: str, rule: str, grain: str = "brand_type") -> DataFrame:
+    """One model's row of test metrics, times and size, scored once and written."""
+    from cartwise.plans import validation as V
+
+    def build():
+        rows = test(spark, sf_dir, grain)
+        if kind == "soft_voting":
+            members = {k: model_of(spark, sf_dir, k, grain) for k in TREE_KINDS}
+            return _metric_row(spark, V.evaluate_vote({k: m for k, (m, _) in members.items()}, rows,
+                                                      [p for _, p in members.values()]))
+        model, path = model_of(spark, sf_dir, kind, grain)
+        return _metric_row(spark, V.evaluate(model, rows, kind, rule, model_path=path))
+
+    return stage(spark, sf_dir, f"testmetrics-{kind}-{rule}-{grain}", build)
+
+
+def tuned_metrics(spark: SparkSession, sf_dir: str, grain: str = "brand_type") -> DataFrame:
+    """The tuned forest's two rows: the best draw fitted on the 80 % part and scored
+    on the 20 % (``validation``), and the final model on the test split (``final_test``)."""
+    from cartwise.plans import models as M
+    from cartwise.plans import validation as V
+
+    def build():
+        part, rest = tuning_split(spark, sf_dir, grain)
+        pipe = M.tree_pipeline(TUNED, impute="mean", **V.spark_rf_params(best_draw(spark, sf_dir, grain)))
+        return _metric_row(spark, V.evaluate(M.fit(pipe, part), rest, TUNED, "argmax"))
+
+    validation = stage(spark, sf_dir, f"tuned-validation-{grain}", build)
+    final = test_metrics(spark, sf_dir, TUNED, "argmax", grain)
+    keep = ["model", "accuracy", "precision", "recall", "f1_score", "roc_auc"]
+    return (validation.select(F.lit("validation").alias("evaluated_on"), *keep)
+            .unionByName(final.select(F.lit("final_test").alias("evaluated_on"), *keep)))
+
+
 def cv_folds(spark: SparkSession, sf_dir: str, grain: str = "brand_type", k: int = 3) -> DataFrame:
-    """Per-fold metrics of the three tree models on the D6 CV sample (150 000
-    rows of the balanced training set, class rate kept; written once, a tiny
-    table)."""
+    """Per-fold metrics of the three tree models and the tuned forest on the D6 CV
+    sample (150 000 rows of the balanced training set, class rate kept; written
+    once, a tiny table)."""
+    from cartwise.plans import models as M
     from cartwise.plans import validation as V
 
-    return stage(spark, sf_dir, f"cvfolds-{grain}-{k}",
-                 lambda: V.cross_validate(V.default_pipelines("mean"),
-                                          LB.cv_sample(balanced(spark, sf_dir, grain)), k))
+    def build():
+        pipes = V.default_pipelines("mean")
+        pipes[TUNED] = M.tree_pipeline(TUNED, impute="mean", **V.spark_rf_params(best_draw(spark, sf_dir, grain)))
+        return V.cross_validate(pipes, LB.cv_sample(balanced(spark, sf_dir, grain)), k)
+
+    return stage(spark, sf_dir, f"cvfolds-{grain}-{k}", build)

@@ -13,9 +13,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # a join on (user_id, x) may reuse a partitioning on user_id alone, so the
-    # pair rows are shuffled once for all user-keyed joins
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -27,12 +24,16 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                 app_name: str = "cartwise", extra: dict | None = None) -> SparkSession:
     """Return the active session, or build one with the defaults above.
 
-    On a cluster the session normally exists already (spark-submit); then only
-    missing settings are filled in. ``master`` is only used when building.
+    On a cluster the session normally exists already (spark-submit); then those
+    defaults that a running session takes and that nobody has set are filled in.
+    ``master`` is only used when building.
     """
     active = SparkSession.getActiveSession()
     if active is not None:
         spark = active
+        for k, v in DEFAULT_CONF.items():
+            if spark.conf.isModifiable(k) and spark.conf.get(k, None) is None:
+                spark.conf.set(k, v)
     else:
         builder = SparkSession.builder.appName(app_name)
         if master:
@@ -57,6 +58,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="cartwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:

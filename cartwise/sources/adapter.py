@@ -14,9 +14,10 @@ Rules (FIXTURES.md):
                              order_number, else 0
 * aisle_id                 = the number in p_brand ('Brand#13' -> 13)
 * department_id            = rank of p_type among the distinct p_type values
-* product_id               = l_partkey (grain 'part') or aisle_id*100+department_id
+* product_id               = l_partkey (grain 'part') or aisle_id*(departments+1)+department_id
                              (grain 'brand_type', used for modelling where the part
-                             grain has too few positives)
+                             grain has too few positives); null for a line whose part
+                             is unknown at the latter grain
 
 Per-customer and per-order numbering use :func:`sequence_within`, so a hot
 customer or order is spread over many tasks.
@@ -55,16 +56,20 @@ def read_tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, Data
 
 
 def part_categories(part: DataFrame) -> DataFrame:
-    """p_partkey → aisle_id, department_id (department = rank of the distinct p_type)."""
-    types = part.select("p_type").distinct()
-    # one window over the distinct category values only (a small dimension)
-    types = types.withColumn("department_id",
-                             F.dense_rank().over(Window.orderBy("p_type")).cast("int"))
+    """p_partkey → aisle_id, department_id (department = rank of the distinct p_type),
+    departments (how many there are)."""
+    types = part.select("p_type").filter(F.col("p_type").isNotNull()).distinct()
+    # windows over the distinct category values only (a small dimension)
+    types = (types.withColumn("department_id",
+                              F.dense_rank().over(Window.orderBy("p_type")).cast("int"))
+             .withColumn("departments", F.max("department_id").over(
+                 Window.orderBy("p_type").rowsBetween(Window.unboundedPreceding,
+                                                      Window.unboundedFollowing))))
     return (part.select("p_partkey", "p_brand", "p_type")
             .join(sized_broadcast(types), "p_type", "left")
             .select("p_partkey",
                     F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int").alias("aisle_id"),
-                    "department_id"))
+                    "department_id", "departments"))
 
 
 def basket_products(part: DataFrame, grain: str = "part") -> DataFrame:
@@ -73,22 +78,22 @@ def basket_products(part: DataFrame, grain: str = "part") -> DataFrame:
     if grain == "part":
         return cats.select(F.col("p_partkey").alias("product_id"), "aisle_id", "department_id")
     if grain == "brand_type":
-        return (cats.select(product_key(F.col("aisle_id"), F.col("department_id")).alias("product_id"),
-                            "aisle_id", "department_id")
+        return (cats.select(product_key().alias("product_id"), "aisle_id", "department_id")
                 .distinct())
     raise ValueError(f"grain must be one of {GRAINS}")
 
 
-def product_key(aisle: F.Column, dept: F.Column) -> F.Column:
-    return (aisle.cast("long") * 100 + dept.cast("long"))
+def product_key() -> F.Column:
+    """One number per (aisle, department): the base exceeds every department."""
+    return (F.col("aisle_id").cast("long") * (F.col("departments") + 1)
+            + F.col("department_id").cast("long"))
 
 
 def part_to_product(part: DataFrame, grain: str) -> DataFrame:
     cats = part_categories(part)
     if grain == "part":
         return cats.select("p_partkey", F.col("p_partkey").alias("product_id"))
-    return cats.select("p_partkey", product_key(F.col("aisle_id"), F.col("department_id"))
-                       .alias("product_id"))
+    return cats.select("p_partkey", product_key().alias("product_id"))
 
 
 def basket_orders(orders: DataFrame) -> DataFrame:
@@ -143,9 +148,13 @@ def basket_lines(lineitem: DataFrame, orders_b: DataFrame, part: DataFrame,
         F.col("l_orderkey").alias("order_id"), "product_id")
     first = (plain.join(o.select("order_id", "user_id", "order_number"), "order_id", "inner")
              .groupBy("user_id", "product_id").agg(F.min("order_number").alias("_first")))
-    return (lines.join(first, ["user_id", "product_id"], "inner")
+    first = first.select(F.col("user_id").alias("_u"), F.col("product_id").alias("_p"), "_first")
+    # null-safe: a line without a known product or customer keeps its row
+    return (lines.join(first, lines["user_id"].eqNullSafe(F.col("_u"))
+                       & lines["product_id"].eqNullSafe(F.col("_p")), "left")
             .withColumn("reordered", (F.col("order_number") > F.col("_first")).cast("int"))
-            .drop("_first"))
+            .select("user_id", "product_id", "order_id", "add_to_cart_order", "eval_set",
+                    "order_number", "reordered"))
 
 
 def _basket(orders_b: DataFrame, lines: DataFrame, products: DataFrame) -> Basket:
@@ -177,12 +186,16 @@ def _fs(spark: SparkSession, path: str):
 
 
 def _input_fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Every data file of the three tables (path, length, time), also those in
+    partition folders: rewriting, adding or deleting one gives another text."""
     parts = []
     for name in ("orders", "lineitem", "part"):
         fs, p = _fs(spark, f"{sf_dir}/{name}.parquet")
-        st = fs.getFileStatus(p)
-        parts.append(f"{st.getPath().toString()}:{st.getLen()}:{st.getModificationTime()}")
-    return "|".join(parts)
+        files = fs.listFiles(p, True)
+        while files.hasNext():
+            st = files.next()
+            parts.append(f"{st.getPath().toString()}:{st.getLen()}:{st.getModificationTime()}")
+    return "|".join(sorted(parts))
 
 
 def load_basket(spark: SparkSession, sf_dir: str, grain: str = "part") -> Basket:
@@ -201,7 +214,7 @@ def load_basket(spark: SparkSession, sf_dir: str, grain: str = "part") -> Basket
         raise ValueError(f"grain must be one of {GRAINS}")
     fp = _input_fingerprint(spark, sf_dir)
     key = hashlib.md5(f"{fp}|{grain}|{code_fingerprint()}".encode()).hexdigest()[:16]
-    memo = (id(spark), key)
+    memo = (spark.sparkContext.applicationId, key)
     if memo in _LOADED:
         return _LOADED[memo]
     # orders and cart positions do not depend on the product grain: sequenced

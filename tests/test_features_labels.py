@@ -181,3 +181,81 @@ def test_grains_share_orders_and_cart_positions(spark, sf001):
     cols = ["order_id", "add_to_cart_order"]
     assert (part.lines.select(*cols).exceptAll(bt.lines.select(*cols)).count() == 0
             and part.lines.count() == bt.lines.count())
+
+
+def _tables(spark, path, n_types=150, drop_parts=0):
+    """Small driver-shaped tables with many part types."""
+    parts = [(i, f"Brand#{i % 25 + 1}", f"TYPE {i % n_types:03d}") for i in range(600)]
+    orders = [(o, o % 40, f"1995-01-{o % 28 + 1:02d} 00:00:00") for o in range(200)]
+    lines = [(o, (o * 7 + k * 13) % 600, k % 5, k, float(k), 1.0, "1995-02-01 00:00:00") for o in range(200) for k in range(6)]
+    spark.createDataFrame(parts[drop_parts:], "p_partkey long, p_brand string, p_type string").write.mode("overwrite").parquet(f"{path}/part.parquet")
+    (spark.createDataFrame(orders, "o_orderkey long, o_custkey long, d string")
+     .selectExpr("o_orderkey", "o_custkey", "cast(d as timestamp_ntz) as o_orderdate").write.mode("overwrite").parquet(f"{path}/orders.parquet"))
+    (spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, d string")
+     .selectExpr("* except (d)", "cast(d as timestamp_ntz) as l_shipdate").write.mode("overwrite").parquet(f"{path}/lineitem.parquet"))
+    return path
+
+
+def test_products_of_many_types_do_not_collide(spark, tmp_path):
+    from cartwise.sources import adapter as AD
+
+    d = _tables(spark, str(tmp_path))
+    products = AD.basket_products(spark.read.parquet(f"{d}/part.parquet"), "brand_type")
+    pairs = products.select("aisle_id", "department_id").distinct().count()
+    assert pairs > 140 and products.select("product_id").distinct().count() == pairs == products.count()
+
+
+def test_lines_of_unknown_parts_are_kept_at_both_grains(spark, tmp_path):
+    import duckdb
+
+    from cartwise import oracle as O
+    from cartwise.sources import adapter as AD
+
+    d = _tables(spark, str(tmp_path), drop_parts=150)
+    con = duckdb.connect()
+    for t in ("part", "orders", "lineitem"):
+        con.execute(f"create view {t} as select * from '{d}/{t}.parquet/*.parquet'")
+    for grain in AD.GRAINS:
+        lines = AD.adapt(spark, d, grain).lines
+        cols = ["order_id", "product_id", "add_to_cart_order", "user_id", "eval_set", "order_number", "reordered"]
+        got = sorted((tuple(r) for r in lines.select(*cols).collect()), key=str)
+        want = con.execute(f"WITH {O.basket_cte(grain)} SELECT {', '.join(cols)} FROM b_lines").fetchall()
+        assert len(got) == 1200 and got == sorted(want, key=str)
+
+
+def test_stage_key_follows_files_inside_a_table_folder(spark, tmp_path):
+    from cartwise.sources.adapter import _input_fingerprint
+
+    d = _tables(spark, str(tmp_path))
+    before = _input_fingerprint(spark, d)
+    assert _input_fingerprint(spark, d) == before
+    spark.read.parquet(f"{d}/part.parquet").limit(3).write.parquet(f"{d}/part.parquet/day=1")
+    assert _input_fingerprint(spark, d) != before
+
+
+def test_pairs_with_a_null_id_are_no_pairs(spark):
+    from cartwise.sources.schemas import FEATURE_SCHEMA
+
+    row = {f.name: 0 if f.dataType.simpleString() == "bigint" else 0.0 for f in FEATURE_SCHEMA.fields}
+    rows = [dict(row, user_id=1, product_id=2), dict(row, user_id=1, product_id=2), dict(row, user_id=None, product_id=2)]
+    got = QC.warehouse_checks(spark.createDataFrame(rows, FEATURE_SCHEMA)).first()
+    assert got.unique_customer_product_pairs == 1 and got.null_user_ids == 1 and got.row_count == 3
+
+
+def test_a_user_with_a_third_of_all_pairs(spark):
+    """Features of a hot user equal those computed without the join settings; joins stay splittable."""
+    orders = spark.createDataFrame([(u * 10 + k, u, "prior", k + 1, 1, 2, 3.0 if k else None) for u in range(30) for k in range(2)],
+                                   S.ORDERS)
+    lines = [(u * 10 + k, p, 1, 0) for u in range(30) for k in range(2) for p in range(200 if u == 0 else 10)]
+    products = spark.createDataFrame([(p, f"n{p}", p % 7, p % 3) for p in range(200)], S.PRODUCTS)
+    from types import SimpleNamespace
+
+    b = SimpleNamespace(orders=orders, products=products,
+                        order_products_prior=spark.createDataFrame(lines, S.ORDER_PRODUCTS_PRIOR))
+    feats = FT.build_features(b)
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+    rows = feats.collect()
+    assert len(rows) == 200 + 29 * 10
+    hot = [r for r in rows if r.user_id == 0]
+    assert all(r.user_product_purchase_count == 2 and r.user_total_orders == 2 for r in hot)
+    assert abs(sum({r.department_id: r.user_department_purchase_share for r in hot}.values()) - 1) < 1e-9

@@ -110,13 +110,48 @@ def test_request_rules_each_broken(spark):
 
 
 def test_tie_rules_at_half(spark):
+    """A model that scores 0.5 exactly: p >= 0.5 says 1, the model's own argmax says 0."""
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+
     from cartwise.plans import models as M
 
-    df = spark.createDataFrame([(0.5, 0.0), (0.4999, 0.0), (0.5001, 1.0)],
-                               "score double, prediction double")
-    thr = df.select((F.col("score") >= 0.5).cast("int").alias("p")).collect()
-    assert [r.p for r in thr] == [1, 0, 1]      # p >= 0.5: a tie goes to class 1
-    assert M.predict.__doc__ and "argmax" in M.predict.__doc__
+    rows = [(i, i, float(i % 2 == 0), 0.0, i % 2) for i in range(8)]
+    df = spark.createDataFrame(rows, "user_id long, product_id long, u double, x double, target int")
+    model = M.fit(Pipeline(stages=[VectorAssembler(inputCols=["x"], outputCol="features"),
+                                   DecisionTreeClassifier(labelCol="label", maxDepth=1)]), df)
+    by_threshold = M.predict(model, df, "threshold").collect()
+    by_argmax = M.predict(model, df, "argmax").collect()
+    assert {r.score for r in by_threshold} == {0.5}
+    assert {r.prediction for r in by_threshold} == {1} and {r.prediction for r in by_argmax} == {0}
+
+
+def test_auc_ignores_rows_without_label_and_spreads_a_hot_score(spark):
+    rows = [(1, 0.9), (0, 0.1), (None, 0.95), (None, 0.0), (1, None)]
+    df = spark.createDataFrame(rows, "label int, score double")
+    assert MT.roc_auc(df).first()["roc_auc"] == 1.0
+    rng = __import__("random").Random(2)
+    rows = [(rng.randrange(2), 0.5 if i % 3 == 0 else rng.choice([rng.random(), 0.25])) for i in range(600)]
+    got = MT.roc_auc(spark.createDataFrame(rows, "label int, score double").repartition(6)).first()["roc_auc"]
+    assert math.isclose(got, _auc_brute(*zip(*rows)), rel_tol=1e-12)
+
+
+def test_equal_search_scores_share_the_smaller_rank(spark, monkeypatch):
+    from cartwise.plans import validation as V
+
+    bal = spark.createDataFrame([(i, i, float(i % 5), i % 2) for i in range(80)],
+                                "user_id long, product_id long, x double, target int")
+    monkeypatch.setattr(V.M, "tree_pipeline", lambda kind, impute="error", seed=42, **p: p["numTrees"])
+    monkeypatch.setattr(V.M, "fit", lambda trees, rows: trees)
+    monkeypatch.setattr(V.M, "predict", lambda trees, rows: rows.selectExpr(
+        "target as label", f"{'x' if trees == 50 else 'cast(target as double)'} as score"))
+    draws = [dict(V.draw_params(1)[0], n_estimators=n) for n in (75, 50, 100)]
+    best, res = V.randomized_search(bal, draws=draws, folds=2)
+    got = {r.draw: r for r in res.collect()}
+    assert [got[i].rank_test_score for i in range(3)] == [1, 3, 1] and best == draws[0]
+    assert got[0].mean_test_score == got[0].split0_test_score == got[0].split1_train_score == 1.0
+    assert got[0].std_test_score == 0.0 and got[0].mean_fit_time >= 0
 
 
 def test_selection_and_architecture_reports(spark):
@@ -133,15 +168,14 @@ def test_selection_and_architecture_reports(spark):
         "model string, accuracy double, precision double, recall double, f1_score double, "
         "roc_auc double, model_size_mb double")
     cmp = MT.model_comparison(MT.cv_summary(folds), tests)
-    text = RP.selection_report(cmp)
-    assert "| Model | CV ROC-AUC | CV F1 | CV Recall | Test ROC-AUC | Test F1 | Test Recall | ROC-AUC Gap |" in text
-    assert "| gradient_boosting | 0.8400 | 0.4200 | 0.6200 | 0.8100 | 0.2600 | 0.7500 | 0.0300 |" in text
-    assert "**gradient_boosting** was selected" in text
-    assert "- Test ROC-AUC: **0.8100**" in text
+    text = RP.selection_report(cmp).first().report
+    rows = [x for x in text.splitlines() if x.startswith("| 1 ") or x.startswith("| 2 ")]
+    assert rows[0].startswith("| 1 | gradient_boosting | 0.7200 ± 0.0000 → 0.7300 |") and "| 0.0300 |" in rows[0]
+    assert "* `gradient_boosting` before `decision_tree`: higher roc_auc_mean, 0.8400 against 0.8200" in text
+    assert text.rstrip().endswith("Chosen: `gradient_boosting`")
     arch = MT.architecture_table(tests)
-    atext = RP.architecture_report(arch)
-    assert atext.splitlines()[4].startswith("| 1 | gradient_boosting | 0.7300")
-    assert "Highest test ROC-AUC: **gradient_boosting** (0.8100)." in atext
+    lines = RP.architecture_report(arch).first().report.splitlines()
+    assert lines[2].startswith("| model | accuracy") and lines[4].startswith("| gradient_boosting | 0.7300")
 
 
 def test_plot_tables_long_bars_and_error_bars(spark):
@@ -169,6 +203,6 @@ def test_write_report_round_trip(spark, tmp_path):
 
     text = "# Title\n\n| a | b |\n|---|---:|\n| x | 1.0000 |\n"
     path = str(tmp_path / "report")
-    RP.write_report(spark, text, path)
+    RP.write_report(spark.createDataFrame([(text,)], "report string"), path)
     back = "\n".join(r.value for r in spark.read.text(path).collect()) + "\n"
     assert back == text

@@ -84,3 +84,45 @@ def test_column_order_stats_matches_numpy(spark):
     assert got[("x", 17)] == xs[16] and got[("x", n // 2)] == xs[n // 2 - 1]
     assert got[("x", 1)] == xs[0] and got[("x", n)] == xs[-1]
     assert got[("y", ny // 2)] == ys[ny // 2 - 1] and got[("y", ny)] == ys[-1]
+
+
+def test_sequence_keeps_every_digit_beside_nulls(spark):
+    big = 1 << 53
+    rows = [(None if i % 4 == 0 else big + i % 3, i, None if i % 5 == 0 else big + i) for i in range(400)]
+    df = spark.createDataFrame(rows, "k long, o long, v long")
+    for n in (1, 7):
+        got = sequence_within(df, ["k"], ["o"], "rn", {"v": "lag_v"}, "last", num_partitions=n)
+        w = Window.partitionBy("k").orderBy("o")
+        want = df.select("k", "o", "v", F.row_number().over(w).cast("long").alias("rn"), F.lag("v").over(w).alias("lag_v"),
+                         (F.lead("o").over(w).isNull()).alias("last"))
+        assert sorted(map(tuple, got.select(*want.columns).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_sequence_across_small_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        test_sequence_matches_window_with_hot_and_null_keys(spark)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_order_statistics_of_extreme_values(spark):
+    x = [1e308, -1e308, 0.0, 5e-324, -5e-324, 1.0, 1.0, 1.0] + [float(i) ** 9 for i in range(40)]
+    wide = [(1 << 62) - 1, -(1 << 62), 0, 1, 2, (1 << 62) - 2] + [i * 7919 for i in range(42)]
+    df = spark.createDataFrame(list(zip(x, wide)), "x double, w long")
+    got = column_order_stats(df, {"x": (48, list(range(1, 49)))})
+    assert [got[("x", k)] for k in range(1, 49)] == sorted(x)
+    kth = kth_tuples(df, ["w"], {None: (48, list(range(1, 49)))})
+    assert [kth[(None, k)][0] for k in range(1, 49)] == sorted(wide)
+
+
+def test_plot_sample_is_the_first_rows_by_hash(spark):
+    from cartwise.operators import labels as LB
+
+    df = spark.createDataFrame([(i % 50, i) for i in range(500)], "user_id long, product_id long")
+    got = LB.plot_sample(df, 37)
+    h = F.md5(F.concat_ws("-", F.col("user_id").cast("string"), F.col("product_id").cast("string"), F.lit("42")))
+    want = df.orderBy(h, "user_id", "product_id").limit(37)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert "TakeOrdered" not in got._jdf.queryExecution().executedPlan().toString()
+    assert LB.plot_sample(df, 500).count() == 500 and LB.plot_sample(df, 0).count() == 0
