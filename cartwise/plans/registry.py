@@ -650,3 +650,11 @@ def experiment_run_summary(spark, sf_dir):
                      .withColumn("best", F.col("_best").isNotNull()).drop("_best", "run_id"), "run-summary")
     remove(spark, path)
     return out
+
+
+# ---------------------------------------------------------------- model tables on deterministic scores
+
+from cartwise.plans import fixed_scores as FS  # noqa: E402
+
+_QUERIES.update(FS.QUERIES)
+_SQL.update(FS.SQL)
