@@ -194,3 +194,12 @@ def plot_sample(df: DataFrame, n: int = 50_000, seed: int = SEED, keys=PAIR) ->
     d, order = _with_order(df, seed, "", keys)
     kth = kth_tuples(d, order, {None: (count, [n])})
     return d.filter(tuple_le(order, kth[(None, n)])).drop("_h", "_h60")
+
+
+def seeded_shuffle(df: DataFrame, seed: int = SEED, keys=PAIR, position: str = "position",
+                   hold: list | None = None) -> DataFrame:
+    """All rows in seeded random order, as their place 1..n in it. Written with
+    ``repartitionByRange(position)`` the files hold the shuffled order; no task
+    sorts more than its range. ``hold``: see :func:`sequence_within`."""
+    h = F.md5(F.concat_ws("-", *[F.col(c).cast("string") for c in keys], F.lit(f"{seed}:shuffle")))
+    return sequence_within(df.withColumn("_h", h), [], ["_h", *keys], rn_col=position, hold=hold).drop("_h")

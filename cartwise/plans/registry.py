@@ -338,6 +338,15 @@ def stratified_folds(spark, sf_dir):
     return LB.stratified_folds(ST.balanced(spark, sf_dir).select("user_id", "product_id", "target"), 3)
 
 
+@register("balanced_shuffled", _sql(*_LBL, body=f"""
+SELECT user_id, product_id, target,
+       row_number() OVER (ORDER BY {O._md5_key(':shuffle')}, user_id, product_id) AS position
+FROM balanced"""))
+def balanced_shuffled(spark, sf_dir):
+    """The balanced training rows in seeded random order."""
+    return LB.seeded_shuffle(ST.balanced(spark, sf_dir).select("user_id", "product_id", "target"))
+
+
 # ---------------------------------------------------------------- metrics on a fixed score
 
 def _scored(spark, sf_dir):
