@@ -2,7 +2,8 @@
 
 A word is the bag of its character n-grams (3 to 6, with word-end marks) and of
 itself, hashed to a fixed number of buckets; its vector is the mean of their
-embeddings, a document's vector the mean over its distinct words, and a linear
+embeddings, a document's vector the mean over its distinct words (and a few
+neutral ones, without which a text of five words would hang on one), and a linear
 softmax over two classes gives the score. Embeddings and softmax are trained
 jointly by AdaGrad in numpy on a bounded sample of labelled rows; buckets whose
 document shares don't differ between the classes stay at zero. So a
@@ -44,6 +45,8 @@ STEPS, BATCH, RATE, GAIN, SEED = 400, 64, 0.3, 20.0, 7
 FOLDS, HELD_OUT = 5, 0
 BASE = 0x01000193
 CHI2 = 15.0
+#: Neutral words that every text is padded with, so that a few words decide nothing alone.
+PAD = 8
 CACHE, LONGEST = 400_000, 64
 
 
@@ -80,8 +83,8 @@ def word_grams(words: list[str], size: int = BUCKETS) -> tuple[np.ndarray, np.nd
 
 
 class Model:
-    """logit = intercept + mean over a text's distinct words of the mean weight of
-    the word's buckets."""
+    """logit = intercept + mean over a text's distinct words and PAD neutral ones of
+    the mean weight of the word's buckets."""
 
     def __init__(self, weights: np.ndarray, intercept: float):
         self.weights, self.intercept = weights, intercept
@@ -104,7 +107,7 @@ class Model:
         known.update(fresh)
         out = []
         for bag in bags:
-            z = self.intercept + (math.fsum([known[w] for w in bag]) / len(bag) if bag else 0.0)
+            z = self.intercept + (math.fsum([known[w] for w in bag]) / (len(bag) + PAD))
             out.append(1 / (1 + math.exp(-z)) if z > -700 else 0.0)
         return out
 
@@ -155,7 +158,7 @@ def train(sample: list[tuple[int, str]], buckets: int = BUCKETS, dim: int = DIM,
         batch = order[at:at + BATCH]
         words, of_word = np.unique(np.concatenate([docs[i] for i in batch]), return_inverse=True)
         n = np.array([len(docs[i]) for i in batch])
-        of_doc, share = np.repeat(np.arange(len(batch)), n), np.repeat(GAIN / n, n)
+        of_doc, share = np.repeat(np.arange(len(batch)), n), np.repeat(GAIN / (n + PAD), n)
         size, all_size = lengths_live[words], lengths[words][:, None]
         first = np.concatenate([[0], np.cumsum(size)[:-1]])
         grams = flat[np.repeat(starts_live[words] - first, size) + np.arange(size.sum())]
