@@ -7,9 +7,13 @@ per node, punctuation per node) are smoothed over the nodes in page order with
 a Gaussian window and fused by product, and a path is kept when its fused ratio
 reaches the page's standard deviation. Two priors join the fusion: a path inside
 furniture (menus, headers, footers, asides, forms, scripts, notices, adverts,
-comments) weighs nothing, and where a page marks its article, paths inside it
-are kept whatever their length, so that very short articles survive beside a
-long footer. Kept nodes are joined to blocks.
+comments) weighs nothing; and where a page marks an article, the paths inside
+and outside it are weighed against each other by the square of their odds, the
+sums of squared fused ratios inside (counted MARK times) and outside. The
+threshold then holds for all paths. So teasers marked as articles lose to a long
+story beside them, a marked story to nothing but a much larger text, and where
+all text outside furniture is marked nothing stands against it: it is kept whole,
+also a very short one beside a long footer. Kept nodes are joined to blocks.
 
 The reader accepts broken markup: unclosed paragraphs, missing end tags, a page
 cut off anywhere. Rows are independent, so pages stream through each task.
@@ -53,6 +57,8 @@ RAW_END = {t: re.compile(rf"</{t}\s*[^>]*>|\Z", re.I) for t in ("script", "style
 PUNCTUATION = ".,;:!?…。，！？؟"
 #: Gaussian smoothing over neighbouring nodes; standard deviations that keep a path.
 RADIUS, THRESHOLD = 1, 1.0
+#: How often the text of marked articles counts against the other text.
+MARK = 4.0
 
 
 def _decoded(piece: str) -> str:
@@ -163,24 +169,26 @@ def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
             p[0] += length
             p[1] += sum(map(text.count, PUNCTUATION))
             p[2] += 1
-    # per path: text per node fused with punctuation per node; furniture weighs
-    # nothing, nor does what stands outside where the page marks its article
-    ratio = {k: 0.0 if k[1] or marked and not k[2] else math.sqrt(length / n * (1 + marks / n))
-             for k, (length, marks, n) in sums.items()}
+    # per path: text per node fused with punctuation per node; furniture weighs nothing
+    ratio = {k: 0.0 if k[1] else math.sqrt(length / n * (1 + marks / n)) for k, (length, marks, n) in sums.items()}
     kernel = [math.exp(-d * d / 2) for d in range(-RADIUS, RADIUS + 1)]
     smooth: dict[tuple, list[float]] = {}
     for i, key in enumerate(order):
         near = [(kernel[d + RADIUS], ratio[order[i + d]]) for d in range(-RADIUS, RADIUS + 1) if 0 <= i + d < len(order)]
         smooth.setdefault(key, []).append(sum(w * v for w, v in near) / sum(w for w, _ in near))
     fused = {k: math.sqrt(ratio[k] * sum(v) / len(v)) for k, v in smooth.items()}
-    values = [fused[k] for k in order if not k[1]]
+    # what a marked article and the text outside it weigh against each other
+    inside, outside = (sum(fused[k] ** 2 * n for k, (_, _, n) in sums.items() if k[2] == side) for side in (True, False))
+    odds = (MARK * (1 + inside) / (1 + outside)) ** 2 if marked else 1.0
+    weight = {True: odds, False: 1 / odds}
+    # the deviation is taken with the weaker side weighed down, the stronger as it is
+    values = [fused[k] * min(1.0, weight[k[2]]) for k in order if not k[1]]
     mean = sum(values) / max(1, len(values))
     cut = threshold * math.sqrt(sum((v - mean) ** 2 for v in values) / max(1, len(values)))
-    # a marked article's own paths pass the threshold whatever their length
-    kept = {k for k, v in fused.items() if v > 0 and (v >= cut or marked and k[2])}
+    kept = {k for k, v in fused.items() if v > 0 and v * weight[k[2]] >= cut}
     blocks: list[tuple[int, list[str]]] = []
     for path, furniture, article, block, text in nodes:
-        if text.strip() and (path, bool(furniture), article) not in kept or not text.strip() and (furniture or marked and not article):
+        if text.strip() and (path, bool(furniture), article) not in kept or not text.strip() and furniture:
             continue
         if not blocks or blocks[-1][0] != block:
             blocks.append((block, []))

@@ -68,3 +68,30 @@ def test_a_very_long_page():
     page = "<article>" + "<p>Some text, here.</p>" * 20000 + "</article>"
     assert main_text(page).count("\n") == 19999
     assert main_text("<div>" * 3000 + "deep text." + "</div>" * 3000) == "deep text."
+
+
+STORY = "".join(f"<p>Paragraph {i} of the story has a good many words, a comma, and a full stop. Then it goes on, and on, to its end.</p>" for i in range(8))
+TEASER = "<article><h3>Other {0}</h3><p>Short teaser {0}.</p></article>"
+
+
+def test_teasers_marked_as_articles_do_not_displace_the_story():
+    teasers = "".join(TEASER.format(i) for i in range(5))
+    for page in (f"<div><h1>The title</h1>{STORY}</div><div>{teasers}</div>", f"<div>{teasers}</div><div>{STORY}</div>",
+                 f"<div>{STORY}</div><article class=card><a href=/x>Read this too</a></article>"):
+        text = main_text(f"<html><body>{page}</body></html>")
+        assert text.count("Paragraph") == 8 and "teaser" not in text and "Other" not in text and "Read this" not in text
+
+
+def test_a_marked_story_keeps_its_short_paths_beside_other_text():
+    story = f"<article><h1>The title</h1>{STORY}<ul><li>Eggs<li>Milk</ul></article>"
+    beside = "<div><p>Another text, not the story, of some words. It ends here, too.</p><p>Site, since 1999.</p></div>"
+    for page in (beside + story, story + beside):
+        text = main_text(page)
+        assert text.startswith("The title\nParagraph 0") and text.endswith("Eggs\nMilk") and text.count("Paragraph") == 8
+
+
+def test_ratios_decide_on_marked_pages():
+    """The same marked text stays or goes by the lengths and punctuation of what stands beside it."""
+    marked = "<article><p>A short note, marked.</p></article>"
+    assert main_text(f"<div><a>Home</a></div>{marked}") == "A short note, marked."
+    assert "note" not in main_text(f"<div>{STORY}</div>{marked}")
