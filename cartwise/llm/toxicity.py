@@ -2,18 +2,18 @@
 
 A word is the bag of its character n-grams (3 to 6, with word-end marks) and of
 itself, hashed to a fixed number of buckets; its vector is the mean of their
-embeddings, a document's vector the mean over its distinct words (and a few
-neutral ones, without which a text of five words would hang on one), and a linear
-softmax over two classes gives the score. Embeddings and softmax are trained
-jointly by AdaGrad in numpy on a bounded sample of labelled rows; buckets whose
-document shares don't differ between the classes stay at zero. So a
-misspelling that no training text holds shares n-grams with the words it is
-made from. (With two classes the softmax is a logistic function of the
+embeddings, a document's vector the mean over all its words, each occurrence
+counted (and a few neutral ones, without which a text of five words would hang on
+one), and a linear softmax over two classes gives the score. Embeddings and
+softmax are trained jointly by AdaGrad in numpy on a bounded sample of labelled
+rows; buckets whose document shares don't differ between the classes stay at
+zero. So a misspelling that no training text holds shares n-grams with the words
+it is made from. (With two classes the softmax is a logistic function of the
 difference of the class weights, which is what is stored.)
 
 A trained model is one number per bucket (embedding times class weights), so
 tasks score a word by a mean of a few numbers and cache it, up to a bound.
-Repetition doesn't dilute: words count once per document.
+Occurrences keep the mean at the text's share of toxic words, whatever its length.
 
 Defined cases: null, empty and wordless texts score as the intercept alone; a
 sample without both classes gives the share of label 1 (0 without any) as
@@ -27,6 +27,7 @@ import math
 import re
 import uuid
 import zlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -83,8 +84,8 @@ def word_grams(words: list[str], size: int = BUCKETS) -> tuple[np.ndarray, np.nd
 
 
 class Model:
-    """logit = intercept + mean over a text's distinct words and PAD neutral ones of
-    the mean weight of the word's buckets."""
+    """logit = intercept + mean over a text's words, all occurrences, and PAD neutral
+    ones of the mean weight of the word's buckets."""
 
     def __init__(self, weights: np.ndarray, intercept: float):
         self.weights, self.intercept = weights, intercept
@@ -97,7 +98,7 @@ class Model:
 
     def scores(self, texts: list[str | None]) -> list[float]:
         """Scores of many texts; words seen lately are taken from the cache."""
-        bags = [set(WORDS((t or "").lower())) for t in texts]
+        bags = [Counter(WORDS((t or "").lower())) for t in texts]
         known = self.cache
         new = sorted(set().union(*bags) - known.keys())
         fresh = self._learn(new) if new else {}
@@ -107,7 +108,7 @@ class Model:
         known.update(fresh)
         out = []
         for bag in bags:
-            z = self.intercept + (math.fsum([known[w] for w in bag]) / (len(bag) + PAD))
+            z = self.intercept + (math.fsum([known[w] * n for w, n in bag.items()]) / (bag.total() + PAD))
             out.append(1 / (1 + math.exp(-z)) if z > -700 else 0.0)
         return out
 
@@ -136,7 +137,10 @@ def train(sample: list[tuple[int, str]], buckets: int = BUCKETS, dim: int = DIM,
         share = float(y.mean()) if len(y) else 0.0
         return Model(np.zeros(buckets, np.float32), math.log((share + 1e-9) / (1 - share + 1e-9)))
     vocabulary: dict[str, int] = {}
-    docs = [np.array(sorted({vocabulary.setdefault(w, len(vocabulary)) for w in WORDS(t.lower())}), np.int64) for _, t in sample]
+    bags = [Counter(vocabulary.setdefault(w, len(vocabulary)) for w in WORDS(t.lower())) for _, t in sample]
+    docs = [np.array(sorted(bag), np.int64) for bag in bags]
+    times = [np.array([bag[w] for w in words], np.int64) for bag, words in zip(bags, docs, strict=True)]
+    del bags
     if not vocabulary:
         return Model(np.zeros(buckets, np.float32), math.log(y.mean() / (1 - y.mean())))
     flat, owner = word_grams(list(vocabulary), buckets)
@@ -158,7 +162,9 @@ def train(sample: list[tuple[int, str]], buckets: int = BUCKETS, dim: int = DIM,
         batch = order[at:at + BATCH]
         words, of_word = np.unique(np.concatenate([docs[i] for i in batch]), return_inverse=True)
         n = np.array([len(docs[i]) for i in batch])
-        of_doc, share = np.repeat(np.arange(len(batch)), n), np.repeat(GAIN / (n + PAD), n)
+        occurs = np.concatenate([times[i] for i in batch])
+        of_doc = np.repeat(np.arange(len(batch)), n)
+        share = GAIN * occurs / (np.bincount(of_doc, occurs, len(batch)) + PAD)[of_doc]
         size, all_size = lengths_live[words], lengths[words][:, None]
         first = np.concatenate([[0], np.cumsum(size)[:-1]])
         grams = flat[np.repeat(starts_live[words] - first, size) + np.arange(size.sum())]

@@ -155,3 +155,31 @@ def test_fixture_tables_held_out(spark, sf01):
     assert got.filter("predicted <> quality").count() <= 0.03 * got.count()
     got = X.score_documents(docs, X.fit(docs, labels)).join(labels, "doc_id").filter("held_out")
     assert got.filter("predicted <> toxic").count() <= 0.08 * got.count()
+
+
+TOXIC = ["idiot", "moron", "scum", "clown", "trash", "loser", "stupid", "pathetic", "worthless", "disgusting"]
+
+
+def growing_prose(rng, n, toxic):
+    """n words of a vocabulary that grows with the text; one in fifty is toxic where asked."""
+    stems = ["an", "the", "on", "er", "ing", "st", "ou", "re", "ti", "ha"]
+    return " ".join(rng.choice(TOXIC) if toxic and i % 50 == 25 else "".join(rng.choice(stems) for _ in range(rng.randrange(1, 7))) for i in range(n))
+
+
+def test_toxicity_of_very_long_texts():
+    rng = random.Random(8)
+    sample = [(i % 3 == 0, growing_prose(rng, rng.randrange(60, 600), i % 3 == 0)) for i in range(450)]
+    model = X.train([(int(y), t) for y, t in sample])
+    for n in (100, 1000, 5000, 20_000):
+        assert all(s >= 0.5 for s in model.scores([growing_prose(rng, n, True) for _ in range(4)])), n
+        assert all(s < 0.5 for s in model.scores([growing_prose(rng, n, False) for _ in range(4)])), n
+
+
+def test_toxicity_counts_every_occurrence():
+    """A text and the same text many times over differ by the neutral words alone."""
+    weights = np.random.default_rng(2).normal(size=1 << 12).astype(np.float32)
+    words = "a b idiot b b".split()
+    alone = {w: X.Model(weights, 0.0)._learn([w])[w] for w in set(words)}
+    for times in (1, 40):
+        z = 0.1 + sum(alone[w] for w in words) * times / (len(words) * times + X.PAD)
+        assert math.isclose(X.Model(weights, 0.1).scores([" ".join(words * times)])[0], 1 / (1 + math.exp(-z)), rel_tol=1e-6)
