@@ -11,6 +11,13 @@ def remainder(id_col: str, divisor: int):
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % divisor
 
 
+def known_labels(labels: DataFrame, label: str, divisor: int, held_out: int) -> DataFrame:
+    """(doc_id, y) outside the held-out fold; labels given twice count with the larger value."""
+    return (labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
+            .filter(remainder("doc_id", divisor) != held_out)
+            .groupBy("doc_id").agg(F.max(label).cast("int").alias("y")))
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, divisor: int, held_out: int,
                     per_class: dict[int, int], max_chars: int, seed: int) -> list[tuple[int, str]]:
     """(label, text) rows to fit on: at most ``per_class[c]`` of each class c, drawn
@@ -18,9 +25,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, divisor: int
     more than ``max_chars`` left out. The bound holds whatever the corpus' size;
     labels given twice count with the larger value.
     """
-    known = (labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
-             .filter(remainder("doc_id", divisor) != held_out)
-             .groupBy("doc_id").agg(F.max(label).cast("int").alias("y")))
+    known = known_labels(labels, label, divisor, held_out)
     drawn = None
     for c, n in per_class.items():
         part = known.filter(F.col("y") == c).orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(n)

@@ -3,12 +3,14 @@
 Documents are described by ratios of their words, signs and lines. From pairs
 (a better, a worse document) the weights are learnt by logistic loss on the
 difference of the two descriptions, so only the order of scores is trained. The
-accepting threshold is a quantile of the training scores, the one at the share
-of worse documents: midway between its two neighbouring scores. The published
-score is a logistic function that puts this threshold at 0.7.
+accepting threshold is a quantile of scores, the one at the share of worse
+documents: midway between its two neighbouring scores. The published score is a
+logistic function that puts this threshold at 0.7.
 
 Describing a text is a handful of passes at C speed; the model is a short
-vector, learnt from a bounded sample of labelled rows.
+vector. Its weights are learnt from a bounded sample of labelled rows; the
+threshold is the exact order statistic over all labelled rows outside the
+held-out fold, each row of a repeated doc_id counted, texts of any length.
 
 Defined cases: null and blank texts are described by zeros and scored like any
 other; a sample without both classes accepts everyone with score 1 (0 if all
@@ -26,7 +28,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.llm.labelled import remainder, training_sample
+from cartwise.functions.select import column_order_stats
+from cartwise.llm.common import staged
+from cartwise.llm.labelled import known_labels, remainder, training_sample
 
 #: The training sample's bounds: worse and better rows, characters a row.
 SAMPLE = {0: 3000, 1: 6000}
@@ -68,10 +72,12 @@ class Model:
     def __init__(self, weights: np.ndarray, threshold: float, spread: float):
         self.weights, self.threshold, self.spread = weights, threshold, spread
 
+    def ranks(self, texts) -> np.ndarray:
+        """Scores as they are ranked, before the threshold is known."""
+        return np.array([describe(t) for t in texts]) @ self.weights if len(texts) else np.empty(0)
+
     def scores(self, texts) -> np.ndarray:
-        if not len(texts):
-            return np.empty(0)
-        raw = np.array([describe(t) for t in texts]) @ self.weights
+        raw = self.ranks(texts)
         # monotone in the rank score, and ACCEPT exactly at the threshold
         z = np.clip((raw - self.threshold) / self.spread, -60, 60) + math.log(ACCEPT / (1 - ACCEPT))
         score = 1 / (1 + np.exp(-z))
@@ -102,9 +108,30 @@ def train(sample: list[tuple[int, str]]) -> Model:
     return Model(w / spread, float(threshold), float(ranked.std()) or 1.0)
 
 
+def whole_threshold(docs: DataFrame, labels: DataFrame, model: Model) -> float:
+    """The quantile at the worse rows' share over all labelled rows outside the
+    held-out fold. Texts are scored where they lie; ids and scores alone are joined."""
+
+    @F.pandas_udf("double")
+    def rank(text: pd.Series) -> pd.Series:
+        return pd.Series(model.ranks(list(text)), dtype="float64")
+
+    scored = (docs.filter(remainder("doc_id", FOLDS) != HELD_OUT)
+              .select("doc_id", rank(F.col("text").cast("string")).alias("raw")))
+    known = known_labels(labels, "quality", FOLDS, HELD_OUT).filter(F.col("y").isin(0, 1))
+    rows = staged(scored.join(known, "doc_id").select("raw", "y"), "quality-ranks")
+    counts = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(1 - F.col("y")).alias("worse")).first()
+    k = counts["worse"]
+    at = column_order_stats(rows, {"raw": (counts["n"], [k, k + 1])})
+    return (at[("raw", k)] + at[("raw", k + 1)]) / 2
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = None) -> Model:
     """Model of ``labels.quality``, learnt outside the held-out fold."""
-    return train(training_sample(docs, labels, "quality", FOLDS, HELD_OUT, sample or SAMPLE, MAX_CHARS, SEED))
+    model = train(training_sample(docs, labels, "quality", FOLDS, HELD_OUT, sample or SAMPLE, MAX_CHARS, SEED))
+    if math.isfinite(model.threshold):
+        model.threshold = whole_threshold(docs, labels, model)
+    return model
 
 
 def scorer(model: Model):

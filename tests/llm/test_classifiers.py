@@ -183,3 +183,15 @@ def test_toxicity_counts_every_occurrence():
     for times in (1, 40):
         z = 0.1 + sum(alone[w] for w in words) * times / (len(words) * times + X.PAD)
         assert math.isclose(X.Model(weights, 0.1).scores([" ".join(words * times)])[0], 1 / (1 + math.exp(-z)), rel_tol=1e-6)
+
+
+def test_quality_threshold_covers_all_labelled_rows(tables):
+    """Whatever the sample's caps, as many rows are rejected as are labelled worse."""
+    rows, docs, labels = tables
+    known = [(t, q) for i, t, _, q in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    worse = sum(1 - q for _, q in known)
+    for caps in ({0: 40, 1: 40}, {0: 20, 1: 200}):
+        model = Q.fit(docs, labels, caps)
+        ranked = np.sort(model.ranks([t for t, _ in known]))
+        assert math.isclose(model.threshold, (ranked[worse - 1] + ranked[worse]) / 2, rel_tol=1e-9)
+        assert sum(model.scores([t for t, _ in known]) < 0.7) == worse
