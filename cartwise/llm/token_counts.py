@@ -7,8 +7,10 @@ to it has been taken, and the number of pieces taken then (Song et al. 2021,
 "Fast WordPiece Tokenization"). No piece is ever built.
 
 Words are the runs of letters, single digits and runs of other signs between
-white space, NFC-normalised and lower-cased. Counts of white-space chunks are
-cached, up to a bound, per worker.
+white space, NFC-normalised and lower-cased. Pieces are the vocabulary's entries
+without their word-end marks, in one set: a piece that the file has only at a
+word's end matches anywhere, and the other way round. Counts of white-space
+chunks are cached, up to a bound, per worker.
 
 Defined cases: null and blank texts have 0 words and 0 tokens; a word with a
 byte that no piece covers counts as one (unknown) token; repeated rows each
