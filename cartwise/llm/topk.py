@@ -18,14 +18,18 @@ no part; missing trailing components count as zero, an empty vector as all
 zeros; rows with a repeated id are candidates one by one (a query is asked once,
 with the smallest of its vectors) and never answer a query of the same id; rows
 with a null id take no part; fewer than k candidates give all; an empty table
-gives no rows; other columns are ignored.
+gives no rows; other columns are ignored. Finite components of any size take
+part; where the longest query times the longest vector could pass a 64-bit score
+(2^62 after scaling), top_k raises a ValueError instead of leaving rows out.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwise.llm.common import broadcast_if, staged
@@ -34,17 +38,24 @@ BLOCK_ROWS, BLOCK_QUERIES = 2048, 2048
 BUCKETS = 1024
 #: Up to here sums of integer products are exact in double precision.
 EXACT = 1 << 53
+#: Scores below this, and the width between two of them, fit 64 bits.
+LARGEST = 1 << 62
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
     """(id, v): vectors as integer arrays, bad rows left out."""
     v = F.col(vector_col).cast("array<double>")
     ok = (v.isNotNull() & F.col(id_col).isNotNull()
-          & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float(1 << 40)))))
+          & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))))
     whole = F.transform(v, lambda x: F.floor(x * F.lit(float(scale))))
     return vectors.filter(ok).select(F.col(id_col).cast("bigint").alias("id"), whole.alias("v"))
 
 
+def _norm2() -> Column:
+    """Largest squared length of the vectors v."""
+    return F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x))
+
+
 def _blocks(rows: DataFrame, dim: int, size: int) -> DataFrame:
     """Blocks of up to ``size`` rows: ids and vectors (padded to ``dim``) as bytes."""
 
@@ -65,8 +76,8 @@ def _blocks(rows: DataFrame, dim: int, size: int) -> DataFrame:
 
 def _product(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
     """Exact integer inner products, queries by rows."""
-    most = np.abs(rows).max(initial=0) * np.abs(queries).max(initial=0) * max(1, rows.shape[1])
-    if float(most) < EXACT:
+    most = float(np.abs(rows).max(initial=0)) * float(np.abs(queries).max(initial=0)) * max(1, rows.shape[1])
+    if 0 <= most < EXACT:
         return (queries.astype(np.float64) @ rows.astype(np.float64).T).astype(np.int64)
     return queries @ rows.T
 
@@ -93,22 +104,24 @@ def top_k(vectors: DataFrame, k: int, is_query, id_col: str = "vec_id", vector_c
     where the condition ``is_query`` holds (on column ``id_col``) with the others."""
     spark = vectors.sparkSession
     rows = quantised(vectors, id_col, vector_col, scale)
-    reach = rows.agg(F.max(F.size("v")).alias("dim"),
-                     F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)).alias("norm2")).first()
+    reach = rows.agg(F.max(F.size("v")).alias("dim"), _norm2().alias("norm2")).first()
     dim = reach["dim"] or 1
     asked = (rows.withColumn(id_col, F.col("id")).filter(is_query).groupBy("id").agg(F.min("v").alias("v")))
     asked = staged(asked, "topk-queries")
-    n_queries = asked.count()
+    n_queries, asked_norm2 = asked.agg(F.count(F.lit(1)), _norm2()).first()
     empty = spark.createDataFrame([], f"query_id bigint, rank int, {id_col} bigint, score bigint")
     if not n_queries:
         return empty
+    # the largest possible |score|, by Cauchy-Schwarz over the quantised vectors
+    bound = int(math.sqrt(reach["norm2"]) * math.sqrt(asked_norm2) * (1 + 1e-9)) + 1
+    if bound >= LARGEST:
+        raise ValueError(f"top_k: scores can reach {bound:.3g}, which does not fit 64 bits (longest query times longest "
+                         f"vector, components scaled by {scale}); scale the vectors down")
     n_blocks = -(-n_queries // BLOCK_QUERIES)
     # queries are dealt to blocks by hash
     numbered = asked.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(n_blocks)))
     row_blocks = staged(_blocks(rows, dim, BLOCK_ROWS), "topk-rows")
     query_bytes = n_queries * (16 * dim + 64)
-    # the largest possible |score|, by Cauchy-Schwarz over the quantised vectors
-    bound = int((reach["norm2"] or 0) * (1 + 1e-9)) + 1
     state = staged(numbered.select(F.col("id").alias("query_id"), "qb", F.lit(-bound).cast("bigint").alias("low"),
                                    F.lit(0).cast("bigint").alias("above")), "topk-state")
 

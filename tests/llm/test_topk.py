@@ -62,3 +62,17 @@ def test_no_queries_and_no_rows(spark):
     assert K.top_k(df.limit(0), 5, F.col("vec_id") % 50 == 0).count() == 0
     alone = spark.createDataFrame([(0, [1.0], 0)], SCHEMA)
     assert K.top_k(alone, 5, F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_very_large_components_take_part(spark):
+    rows = [(i, [i / 8, -1.0], 0) for i in range(20)] + [(30, [float(1 << 41), 2.0], 0), (31, [-float(1 << 40), 0.5], 0)]
+    got = K.top_k(spark.createDataFrame(rows, SCHEMA), 3, (F.col("vec_id") % 10 == 0) & (F.col("vec_id") < 30))
+    want = [r for r in brute(rows, 3, 10) if r[0] < 30]
+    assert any(r[2] == 30 for r in want) and sorted(map(tuple, got.collect())) == want
+
+
+def test_scores_beyond_64_bits_are_an_error(spark):
+    for huge in (float(1 << 41), 3e38):
+        rows = [(0, [1.0], 0), (1, [2.0], 0), (10, [huge], 0)]
+        with pytest.raises(ValueError, match="64 bits"):
+            K.top_k(spark.createDataFrame(rows, SCHEMA), 5, F.col("vec_id") % 10 == 0)
