@@ -7,7 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cartwise.llm import chat, decontam, html, packing, quality, simhash, token_counts, topk, toxicity, urls
+from cartwise.llm import (chat, codes, decontam, forest, html, packing, quality, resample, simhash, token_counts, topk,
+                          toxicity, urls)
 from cartwise.llm.common import table
 
 QUERIES: dict = {}
@@ -160,3 +161,55 @@ def op10_simhash_near_dedup(spark, sf_dir):
 def op9_quality_classifier(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return quality.score_documents(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@register
+def op11_vector_code_compression(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    books = codes.train(vectors)
+    out = codes.with_label_errors(codes.encode(vectors, books))
+    digits = F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0")))
+    return out.select("vec_id", F.array_join(digits, "").alias("code"), "error", "label_error",
+                      F.lit(books.sha256() if books else None).cast("string").alias("codebooks_sha256"))
+
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """The rounds of assignment and floored means, one pair of subqueries each."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+l{i} AS MATERIALIZED (SELECT part, e, list(c ORDER BY pos) AS c FROM c{i} GROUP BY part, e),
+a{i} AS MATERIALIZED (SELECT r, part, min(d * {entries} + e) % {entries} AS e, min(d * {entries} + e) // {entries} AS d FROM (
+  SELECT r, part, e, CAST(list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c) AS BIGINT) AS d
+  FROM p JOIN l{i} USING (part)) GROUP BY r, part)""")
+        if i < rounds:
+            steps.append(f"""
+c{i + 1} AS MATERIALIZED (SELECT c{i}.part, c{i}.e, c{i}.pos, coalesce(m, c) AS c FROM c{i} LEFT JOIN (
+  SELECT part, e, pos, floor(sum(x) / count(*)) AS m FROM (
+    SELECT part, e, unnest(x) AS x, unnest(range(1, len(x) + 1)) AS pos FROM p JOIN a{i} USING (r, part))
+  GROUP BY part, e, pos) USING (part, e, pos))""")
+    return f"""
+WITH k AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
+        list_transform(embedding, lambda x: floor({4096} * CAST(x AS DOUBLE))) AS q FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT r, part, q[part * (len(q) // {parts}) + 1:(part + 1) * (len(q) // {parts})] AS x
+      FROM k, (SELECT unnest(range({parts})) AS part)),
+c0 AS MATERIALIZED (SELECT part, r - 1 AS e, unnest(range(1, len(x) + 1)) AS pos, unnest(x) AS c FROM p WHERE r <= {entries}),{",".join(steps)},
+o AS (SELECT r, string_agg(printf('%02x', e), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(CAST(c AS BIGINT) AS VARCHAR), ',' ORDER BY part, e, pos)) FROM c{rounds}) AS codebooks_sha256
+FROM k JOIN o USING (r)"""
+
+
+ORACLES["op11_vector_code_compression"] = _codes_sql()
+
+
+@register
+def op12_importance_resampling(spark, sf_dir):
+    out = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@register
+def op13_approximate_neighbours(spark, sf_dir):
+    return forest.nearest(table(spark, sf_dir, "embeddings"), 20, F.col("vec_id") % 20 == 0)
