@@ -14,8 +14,9 @@ On Spark: equal vectors are one entry with its smallest ids; the entries, one co
 tree, are dealt by leaf and written as blocks; queries are packed by their home leaf, so
 that a pack opens much the same leaves. The leaves that a pack opens meet the blocks by
 an equi-join, a broadcast only below the measured bound, and a pair of block and pack is
-one matrix product. A first round opens an eighth of the leaves; its k-th scores
-let the second pass on few candidates. Scores are summed component by component in
+one matrix product. Leaves are opened in rounds, each of four times the leaves before it,
+and a round passes on only what reaches the k-th score so far: some tens of rows a query
+and round, however many rows the leaves hold. Scores are summed component by component in
 double precision on the original vectors. A query that finds fewer than k is asked again
 against all leaves of one tree. On data without clusters the calibrated number is a
 large share of all leaves: then the work grows with queries times rows, in blocks.
@@ -46,6 +47,8 @@ TREES, LEAF_ROWS, MAX_DEPTH = 3, 200, 12
 SAMPLE_ROWS, CALIBRATION_QUERIES = 1 << 16, 128
 TARGET_RECALL = 0.95
 BLOCK_ROWS, PACK_QUERIES = 2048, 1024
+#: Leaves opened by the end of a round, as a multiple of those before it.
+GROWTH = 4
 #: Rows of a leaf that are dealt to one task.
 CHUNK_ROWS = 50_000
 _ALL = 1 << 62
@@ -408,10 +411,10 @@ def nearest(vectors: DataFrame, k: int, is_query: Column, id_col: str = "vec_id"
             found = found.unionByName(known.select("query_id", "vec_id", "score", "entry", "place"))
         return staged(_best(found, k), "forest-found")
 
-    first = max(1, opened // 8)
-    found = answers(packs, _visits(packs, forest, dim, 0, first), None)
-    if opened > first:
-        found = answers(packs, _visits(packs, forest, dim, first, opened), found)
+    found, first, last = None, 0, min(opened, trees)
+    while first < opened:
+        found = answers(packs, _visits(packs, forest, dim, first, last), found)
+        first, last = last, min(opened, GROWTH * last)
     short = asked.join(found.groupBy("query_id").count().filter(F.col("count") >= k), F.col("id") == F.col("query_id"), "left_anti")
     if not short.isEmpty():
         rest = _packs(short, forest, dim)
