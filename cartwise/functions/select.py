@@ -1,45 +1,82 @@
-"""Exact order statistics by rounds of bucket counts.
+"""Exact order statistics by radix descent on sortable 64-bit images.
 
 The k-th row of a group (a split threshold, a quantile) is located without
-sorting or shuffling the table. A target starts with the whole value range of
-its group; each round cuts the range into ``BUCKETS`` equal parts, counts the
-rows of every part (one ``groupBy`` with map-side counts, whose result has at
-most targets × BUCKETS rows whatever the data size) and goes on in the part
-that holds the k-th row, shrunk to the smallest and largest value found there.
-It ends when that part holds a single value: for n spread-out values after
-about log(n) / log(BUCKETS) rounds, for a value shared by a third of the rows
-as soon as it stands alone.
-
-No sketch, no sort, no window over data; nothing depends on how values are
-distributed or on how large a group is.
+sorting or shuffling the table. A value's image is a 64-bit integer of the same
+order: an integer is its own image, a double's are its IEEE bits, all but the sign
+flipped where it is negative. A target starts with the whole range of images; each
+round counts the rows of up to ``1 << BITS`` equal slices of it, by subtraction and
+shift alone, and goes on in the slice that holds the k-th row, shrunk to the
+smallest and largest image found there. It ends when that slice holds a single
+value: each round takes BITS bits off, so seven end it whatever the values are,
+infinities, subnormals and values on a third of the rows included.
+
+A round is one pass: every task counts its slices in arrays (one Arrow batch after
+another) and gives a row per slice it has met, at most targets x slices, which
+Spark sums. No sketch, no sort, no window, no row is copied or moved.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BUCKETS = 1024
+BITS = 10
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_LEAST, _MOST = -(1 << 63), (1 << 63) - 1
 
 
-def _bucket(x: Column, lo, hi, integral: bool) -> Column:
-    """Part number of ``x`` in [lo, hi]: monotone in x, and different for lo and hi."""
+def image(column: pa.Array) -> np.ndarray:
+    """Order-preserving 64-bit integers of a column's values without nulls (of doubles
+    also without NaN; -0.0 counts as 0.0)."""
+    if pa.types.is_integer(column.type):
+        return column.drop_null().to_numpy(zero_copy_only=False).astype(np.int64)
+    x = column.drop_null().to_numpy(zero_copy_only=False)
+    bits = (x[~np.isnan(x)] + 0.0).view(np.int64)
+    return np.where(bits < 0, bits ^ np.int64(_MOST), bits)
+
+
+def value(image: int, integral: bool):
+    """The value of an image."""
     if integral:
-        width = -(-(hi - lo) // BUCKETS)
-        # both halves of a wide range are taken from the nearer end, so nothing overflows
-        mid = (lo + hi) // 2
-        up = F.lit(-(-(hi - mid) // width)).cast("long")
-        below = up - F.call_function("div", F.lit(mid).cast("long") - x, F.lit(width).cast("long")) - 1
-        above = up + F.call_function("div", x - F.lit(mid).cast("long") - 1, F.lit(width).cast("long"))
-        return F.when(x <= F.lit(mid), below).otherwise(above)
-    # halved where the range of two huge values would not be finite
-    half = 2.0 if math.isinf(hi - lo) else 1.0
-    span = hi / half - lo / half
-    return F.floor((x / half - F.lit(lo / half)) / F.lit(span) * F.lit(BUCKETS))
+        return image
+    return float(np.int64(image if image >= 0 else image ^ _MOST).view(np.float64))
+
+
+def _slices(parts: list[tuple[int, int, int]]):
+    """Count the images of each part (column, lowest, highest): rows of part, slice, rows,
+    smallest and largest image."""
+
+    def run(batches):
+        held: dict = {}
+        for batch in batches:
+            columns: dict = {}
+            for j, (i, lo, hi) in enumerate(parts):
+                if i not in columns:
+                    columns[i] = image(batch.column(i))
+                x = columns[i]
+                if (lo, hi) != (_LEAST, _MOST):
+                    x = x[(x >= lo) & (x <= hi)]
+                if not len(x):
+                    continue
+                if j not in held:
+                    held[j] = (np.zeros(1 << BITS, np.int64), np.full(1 << BITS, _MOST), np.full(1 << BITS, _LEAST))
+                # distances fit 64 bits without a sign
+                at = ((x.view(np.uint64) - np.int64(lo).view(np.uint64)) >> np.uint64(max(0, (hi - lo).bit_length() - BITS))).astype(np.int64)
+                n, low, high = held[j]
+                n += np.bincount(at, minlength=1 << BITS)
+                np.minimum.at(low, at, x)
+                np.maximum.at(high, at, x)
+        for j, (n, low, high) in held.items():
+            at = np.nonzero(n)[0]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), j)), *(pa.array(c) for c in (at, n[at], low[at], high[at]))],
+                                             names=["part", "slice", "n", "low", "high"])
+
+    return run
 
 
 def _locate(df: DataFrame, values: dict, targets: dict) -> dict:
@@ -51,47 +88,36 @@ def _locate(df: DataFrame, values: dict, targets: dict) -> dict:
     names = [n for n in targets if targets[n]]
     if not names:
         return {}
-    integral = {n: isinstance(df.select(values[n].alias("x")).schema["x"].dataType, _INTEGRAL) for n in names}
-    edges = df.agg(*[f(values[n]).alias(f"{s}{i}") for i, n in enumerate(names) for s, f in (("a", F.min), ("b", F.max))]).first()
-    # open parts: (name, lo, hi) -> [(k, rows below lo)]
-    parts = {(n, edges[f"a{i}"], edges[f"b{i}"]): [(k, 0) for k in sorted(set(targets[n]))] for i, n in enumerate(names)}
+    read = df.select(*[values[n].alias(f"v{i}") for i, n in enumerate(names)])
+    integral = [isinstance(f.dataType, _INTEGRAL) for f in read.schema.fields]
+    read = read.select(*[F.col(f"v{i}").cast("long" if whole else "double") for i, whole in enumerate(integral)])
+    # open parts: (column, lowest, highest image) -> [(k, rows below)]
+    parts = {(i, _LEAST, _MOST): [(k, 0) for k in sorted(set(targets[n]))] for i, n in enumerate(names)}
     found: dict = {}
-    while True:
-        for (n, lo, hi), ks in list(parts.items()):
-            if lo == hi:
-                found.update({(n, k): (lo, below) for k, below in ks})
-                del parts[(n, lo, hi)]
-        if not parts:
-            return found
-        # a row lies in at most one part of a name: one (part, bucket, value) each
-        of_name: dict = {}
-        for j, (n, lo, hi) in enumerate(parts):
-            x = values[n]
-            item = F.struct(F.lit(j).alias("part"), _bucket(x, lo, hi, integral[n]).cast("int").alias("bucket"),
-                            x.cast("double").alias("x"), (x.cast("long") if integral[n] else F.lit(None).cast("long")).alias("w"))
-            here = (x >= F.lit(lo)) & (x <= F.lit(hi))
-            of_name[n] = F.when(here, item) if n not in of_name else of_name[n].when(here, item)
-        rows = (df.select(F.explode(F.array(*of_name.values())).alias("r")).filter("r is not null")
-                .groupBy("r.part", "r.bucket")
-                .agg(F.count(F.lit(1)).alias("n"), F.min("r.x").alias("x0"), F.max("r.x").alias("x1"),
-                     F.min("r.w").alias("w0"), F.max("r.w").alias("w1")).collect())
+    while parts:
+        rows = (read.mapInArrow(_slices(list(parts)), "part bigint, slice bigint, n bigint, low bigint, high bigint")
+                .groupBy("part", "slice").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")).collect())
         counted: dict = {}
-        for r in sorted(rows, key=lambda r: (r["part"], r["bucket"])):
+        for r in sorted(rows, key=lambda r: (r["part"], r["slice"])):
             counted.setdefault(r["part"], []).append(r)
         nxt: dict = {}
-        for j, ((n, _, _), ks) in enumerate(parts.items()):
+        for j, ((i, _, _), ks) in enumerate(parts.items()):
             for k, below in ks:
                 for r in counted[j]:
                     if k <= below + r["n"]:
-                        lo, hi = (r["w0"], r["w1"]) if integral[n] else (r["x0"], r["x1"])
-                        nxt.setdefault((n, lo, hi), []).append((k, below))
+                        if r["low"] == r["high"]:
+                            found[(names[i], k)] = (value(r["low"], integral[i]), below)
+                        else:
+                            nxt.setdefault((i, r["low"], r["high"]), []).append((k, below))
                         break
                     below += r["n"]
         parts = nxt
+    return found
 
 
 def kth_tuples(df: DataFrame, order: list[str], targets: dict, group: str | None = None) -> dict:
-    """Exact k-th rows in ascending ``order`` (first column numeric, nulls excluded).
+    """Exact k-th rows in ascending ``order``, nulls first in every column but the first,
+    which is numeric and whose nulls are excluded.
 
     targets: {group value: (group row count, [k1, k2, ...])}
     Returns {(group value, k): tuple of the ``order`` columns}.
@@ -116,8 +142,9 @@ def kth_tuples(df: DataFrame, order: list[str], targets: dict, group: str | None
     tied = df.filter(where).select(*keys).groupBy("_g", *order).agg(F.count(F.lit(1)).alias("_m")).collect()
     result = {}
     for (g, k), (v, below) in found.items():
-        mine = sorted((tuple(r[c] for c in order), r["_m"]) for r in tied
-                      if r[lead] == v and (group is None or r["_g"] == g))
+        mine = sorted(((tuple(r[c] for c in order), r["_m"]) for r in tied
+                       if r[lead] == v and (group is None or r["_g"] == g)),
+                      key=lambda x: [(c is not None, c) for c in x[0]])
         for t, m in mine:
             below += m
             if k <= below:
@@ -127,10 +154,12 @@ def kth_tuples(df: DataFrame, order: list[str], targets: dict, group: str | None
 
 
 def tuple_le(order: list[str], values: tuple) -> Column:
-    """Row tuple (order columns) <= ``values`` lexicographically (non-null keys)."""
-    expr = F.col(order[-1]) <= F.lit(values[-1])
-    for c, v in zip(reversed(order[:-1]), reversed(values[:-1])):
-        expr = (F.col(c) < F.lit(v)) | ((F.col(c) == F.lit(v)) & expr)
+    """Row tuple (order columns) <= ``values`` lexicographically, nulls first in every
+    column: never null itself, so a row is on exactly one side of the cut."""
+    expr = F.lit(True)
+    for c, v in zip(reversed(order), reversed(values)):
+        below = F.lit(False) if v is None else F.col(c).isNull() | F.coalesce(F.col(c) < F.lit(v), F.lit(False))
+        expr = below | (F.col(c).eqNullSafe(F.lit(v)) & expr)
     return expr
 
 
@@ -168,6 +197,12 @@ def column_quantiles(df: DataFrame, cols: list[str], probs) -> dict:
         if not n:
             out[(c, p)] = None
             continue
-        lo, hi = kth[(c, math.floor(at) + 1)], kth[(c, math.ceil(at) + 1)]
-        out[(c, p)] = lo + (hi - lo) * (at - math.floor(at))
+        out[(c, p)] = between(kth[(c, math.floor(at) + 1)], kth[(c, math.ceil(at) + 1)], at - math.floor(at))
     return out
+
+
+def between(lo: float, hi: float, share: float) -> float:
+    """Linear interpolation that also holds where hi - lo isn't finite."""
+    if lo == hi or share == 0:
+        return lo
+    return lo + (hi - lo) * share if math.isfinite(hi - lo) else lo * (1 - share) + hi * share

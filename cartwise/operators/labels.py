@@ -2,9 +2,10 @@
 
 Randomness is a seeded md5 order key over (user_id, product_id): the same
 digest in Spark and DuckDB, independent of partitioning, stable on re-runs and
-retries. Exact per-class sizes come from exact order statistics of that key
-(:func:`kth_tuples`: rounds of bucket counts — no sort or shuffle of the rows); folds, which need every row's rank, use the range-partitioned
-:func:`sequence_within`. Never a window partitioned by the class alone (that
+retries. Rows of equal digest follow user and product, nulls first. Exact per-class
+sizes come from exact order statistics of that key (:func:`kth_tuples`: radix
+descent — no sort or shuffle of the rows); folds, which need every row's rank, use
+the range-partitioned :func:`sequence_within`. Never a window partitioned by the class alone (that
 would put 94 % of the rows into one task).
 """
 

@@ -1,7 +1,7 @@
 """Data-quality reports: one aggregation pass, a long (check, column, value) table.
 
-Exact quartiles for the profile come from exact order statistics over an
-unpivoted (column, value) table — no sort and no single-task percentile buffer.
+Exact quartiles for the profile come from exact order statistics on the wide
+table — no sort and no single-task percentile buffer.
 """
 
 from __future__ import annotations
@@ -117,9 +117,9 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75)) ->
     of several columns: (column, p, value). Nulls and NaN are skipped.
 
     The two order statistics around each quantile position are found exactly
-    by :func:`column_quantiles` on the wide table, in rounds of bucket counts
+    by :func:`column_quantiles` on the wide table, by radix descent in passes
     that all columns share: no sort, no sketch, no shuffle of the rows, no
-    single-task buffer of a column's values.
+    single-task buffer of a column's values. Infinities are values like others.
     """
     res = column_quantiles(df, cols, [float(p) for p in probs])
     rows = [(c, float(p), res[(c, float(p))]) for c in cols for p in probs]

@@ -163,7 +163,7 @@ sp_quota AS (
                                   <= k - sum(base) OVER () THEN 1 ELSE 0 END AS quota
   FROM sp_q),
 sp_rank AS (
-  SELECT l.*, row_number() OVER (PARTITION BY target ORDER BY {_md5_key('')}, user_id, product_id)
+  SELECT l.*, row_number() OVER (PARTITION BY target ORDER BY {_md5_key('')}, user_id NULLS FIRST, product_id NULLS FIRST)
          AS rk
   FROM labelled l),
 split AS (
@@ -173,7 +173,7 @@ train AS (SELECT * EXCLUDE (is_test) FROM split WHERE NOT is_test),
 test AS (SELECT * EXCLUDE (is_test) FROM split WHERE is_test),
 bal_pos AS (SELECT count(*) AS n_pos FROM train WHERE target = 1),
 bal_neg AS (
-  SELECT t.*, row_number() OVER (ORDER BY {_md5_key(':balance')}, user_id, product_id) AS rk
+  SELECT t.*, row_number() OVER (ORDER BY {_md5_key(':balance')}, user_id NULLS FIRST, product_id NULLS FIRST) AS rk
   FROM train t WHERE target = 0),
 balanced AS (
   SELECT * FROM train WHERE target = 1
@@ -204,7 +204,7 @@ q AS (SELECT target, base + CASE WHEN row_number() OVER (ORDER BY rem DESC, targ
 c AS (SELECT count(*) AS n, sum(target) AS p FROM {source}),
 {quota.strip()},
 rk AS (SELECT s.*, row_number() OVER (PARTITION BY target ORDER BY {_md5_key(salt)},
-                                      user_id, product_id) AS rk
+                                      user_id NULLS FIRST, product_id NULLS FIRST) AS rk
        FROM {source} s)
 SELECT rk.* EXCLUDE (rk) FROM rk JOIN q ON rk.target = q.target CROSS JOIN c
 WHERE c.n <= {size} OR rk.rk <= q.quota"""

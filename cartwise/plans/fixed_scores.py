@@ -65,7 +65,7 @@ def _metrics_sql(name: str, source: str) -> str:
 
 _BASE = (O.basket_cte("brand_type"), O.features_cte(), O.labels_cte())
 _FOLDED = f"""s_folded AS (SELECT *, CAST((row_number() OVER (PARTITION BY target ORDER BY {O._md5_key(':folds')},
-  user_id, product_id) - 1) % {FOLDS} AS INTEGER) + 1 AS fold FROM balanced)"""
+  user_id NULLS FIRST, product_id NULLS FIRST) - 1) % {FOLDS} AS INTEGER) + 1 AS fold FROM balanced)"""
 _CV = (*_BASE, _FOLDED, _long_sql("s_long", "s_folded", "fold"), _metrics_sql("s_m", "s_long"),
        "s_folds AS (SELECT *, CAST(fold AS DOUBLE) AS training_time_seconds FROM s_m)")
 _TEST = (_long_sql("t_long", "test", "0"), _metrics_sql("t_m", "t_long"))
@@ -206,7 +206,7 @@ def cv_sample_101(spark, sf_dir):
 
 
 @_register(O.with_ctes(*_BASE, body=f"SELECT user_id, product_id, target FROM labelled "
-                       f"ORDER BY {O._md5_key('')}, user_id, product_id LIMIT 500"))
+                       f"ORDER BY {O._md5_key('')}, user_id NULLS FIRST, product_id NULLS FIRST LIMIT 500"))
 def plot_sample_500(spark, sf_dir):
     """D8 with a size below the row count."""
     return LB.plot_sample(ST.labelled(spark, sf_dir).select("user_id", "product_id", "target"), 500)

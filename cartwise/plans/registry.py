@@ -256,7 +256,7 @@ _PLOT_TYPES = dict(O.FEATURE_COLS_TYPES)
 @register("plot_sample_features", _sql(*_LBL, body=O.rounded_select(
     [("user_id", "bigint"), ("product_id", "bigint"), ("target", "int")]
     + [(c, _PLOT_TYPES[c]) for c in _PLOT_FEATURES], "balanced")
-    + f" ORDER BY {O._md5_key('')}, user_id, product_id LIMIT 50000"))
+    + f" ORDER BY {O._md5_key('')}, user_id NULLS FIRST, product_id NULLS FIRST LIMIT 50000"))
 def plot_sample_features(spark, sf_dir):
     """Seeded sample of min(50 000, n) balanced training rows with the four
     plotted features (a bounded top-n by the md5 order key)."""
@@ -331,8 +331,8 @@ def train_sample_1000(spark, sf_dir):
 
 @register("stratified_folds", _sql(*_LBL, body=f"""
 SELECT user_id, product_id, target,
-       CAST((row_number() OVER (PARTITION BY target ORDER BY {O._md5_key(':folds')}, user_id,
-             product_id) - 1) % 3 AS INTEGER) AS fold
+       CAST((row_number() OVER (PARTITION BY target ORDER BY {O._md5_key(':folds')}, user_id NULLS FIRST,
+             product_id NULLS FIRST) - 1) % 3 AS INTEGER) AS fold
 FROM balanced"""))
 def stratified_folds(spark, sf_dir):
     return LB.stratified_folds(ST.balanced(spark, sf_dir).select("user_id", "product_id", "target"), 3)
@@ -340,7 +340,7 @@ def stratified_folds(spark, sf_dir):
 
 @register("balanced_shuffled", _sql(*_LBL, body=f"""
 SELECT user_id, product_id, target,
-       row_number() OVER (ORDER BY {O._md5_key(':shuffle')}, user_id, product_id) AS position
+       row_number() OVER (ORDER BY {O._md5_key(':shuffle')}, user_id NULLS FIRST, product_id NULLS FIRST) AS position
 FROM balanced"""))
 def balanced_shuffled(spark, sf_dir):
     """The balanced training rows in seeded random order."""

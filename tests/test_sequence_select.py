@@ -126,3 +126,63 @@ def test_plot_sample_is_the_first_rows_by_hash(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert "TakeOrdered" not in got._jdf.queryExecution().executedPlan().toString()
     assert LB.plot_sample(df, 500).count() == 500 and LB.plot_sample(df, 0).count() == 0
+
+
+def test_order_statistics_of_infinities_zeros_and_nan_equal_sql(spark):
+    import duckdb
+
+    from cartwise.operators.quality import exact_quantiles, profile
+
+    inf, nan = float("inf"), float("nan")
+    columns = {"a": [inf, 1.0, 2.0, -inf], "b": [inf, inf, -inf, -inf], "c": [-0.0, 0.0, 5e-324, -5e-324], "d": [nan, None, inf, 3.0],
+               "e": [inf] * 4, "f": [None] * 4, "g": [1e308, -1e308, 1e-300, -0.0], "h": [nan] * 4}
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} double" for c in columns)).repartition(3)
+    probs = (0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0)
+    got = {(r["column"], r["p"]): r["value"] for r in exact_quantiles(df, list(columns), probs).collect()}
+    con = duckdb.connect()
+    for c, xs in columns.items():
+        con.execute("CREATE OR REPLACE TABLE t (x DOUBLE)")
+        con.executemany("INSERT INTO t VALUES (?)", [[x] for x in xs])
+        for p in probs:
+            want = con.execute(f"SELECT quantile_cont(x, {p}) FROM t WHERE NOT isnan(x)").fetchone()[0]
+            assert str(got[(c, p)]).replace("-0.0", "0.0") == str(want).replace("-0.0", "0.0"), (c, p)
+    assert {r["value"] for r in profile(df.select("e")).collect() if r["statistic"] in ("min", "25%", "50%", "max")} == {inf}
+
+
+def test_images_keep_the_order():
+    import pyarrow as pa
+
+    from cartwise.functions.select import image, value
+
+    x = [-float("inf"), -1e308, -1.0, -5e-324, 0.0, 5e-324, 2.2250738585072014e-308, 1.0, 1e308, float("inf")]
+    im = image(pa.array([None, *x, float("nan")]))
+    assert (np.diff(im) > 0).all() and [value(int(i), False) for i in im] == x
+    assert image(pa.array([-0.0]))[0] == image(pa.array([0.0]))[0]
+    whole = pa.array([-(1 << 63), -1, 0, (1 << 63) - 1])
+    assert image(whole).tolist() == whole.to_pylist()
+
+
+def test_every_round_takes_few_rows_to_the_driver(spark):
+    """Many targets on spread-out values end after a handful of passes."""
+    from cartwise.functions import select as SEL
+
+    df = spark.range(20000).select((F.xxhash64("id") / 7.0).alias("x"), F.xxhash64("id", F.lit(1)).alias("w"))
+    x = sorted(r[0] for r in df.select("x").collect())
+    passes, ran = [], SEL._slices
+    try:
+        SEL._slices = lambda parts: passes.append(len(parts)) or ran(parts)
+        got = column_order_stats(df, {"x": (20000, [1, 5000, 10000, 20000])})
+    finally:
+        SEL._slices = ran
+    assert [got[("x", k)] for k in (1, 5000, 10000, 20000)] == [x[0], x[4999], x[9999], x[-1]]
+    assert len(passes) <= 7
+
+
+def test_box_of_groups_and_of_an_empty_table(spark):
+    from cartwise.operators import plotdata as PD
+
+    df = spark.createDataFrame([("x", 1.0), ("x", float("inf")), (None, 3.0), ("y", None)], "by string, v double")
+    got = {(r["group"], r["statistic"]): r["value"] for r in PD.box_stats(df, "v", "by").collect()}
+    assert got[("x", "min")] == 1.0 and got[("x", "max")] == float("inf") and got[(None, "median")] == 3.0
+    assert got[("y", "q1")] is None and len(got) == 15
+    assert PD.box_stats(df.limit(0), "v", "by").count() == 0
