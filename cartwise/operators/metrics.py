@@ -37,12 +37,12 @@ def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "pre
                   F.count(F.lit(1)).alias("n"))
 
 
-def _from_counts(c: DataFrame) -> DataFrame:
+def _from_counts(c: DataFrame, more: list = ()) -> DataFrame:
     tp, fp, tn, fn, n = (F.col(x) for x in ("tp", "fp", "tn", "fn", "n"))
     precision = _safe(tp, tp + fp)
     recall = _safe(tp, tp + fn)
     f1 = _safe(2 * tp, 2 * tp + fp + fn)
-    return c.select(_safe(tp + tn, n).alias("accuracy"), precision.alias("precision"),
+    return c.select(*more, _safe(tp + tn, n).alias("accuracy"), precision.alias("precision"),
                     recall.alias("recall"), f1.alias("f1_score"))
 
 
@@ -90,6 +90,42 @@ def binary_metrics(df: DataFrame, label: str = "label", prediction: str = "predi
             .join(F.broadcast(auc.withColumn("_k", F.lit(1))), "_k").drop("_k"))
 
 
+def metrics_by(df: DataFrame, by: list[str], label: str = "label", prediction: str = "prediction",
+               score: str = "score") -> DataFrame:
+    """E1 + E2 for many models (folds, rules) in one pass over their scored rows: ``by``,
+    accuracy, precision, recall, f1_score, roc_auc per group.
+
+    Rows are counted by (group, score) map-side, with their confusion counts; the counts
+    are range-partitioned by both and ranked inside their range, so neither a group nor
+    a score has to fit in one task. Groups are a table's models: few, known, not null.
+    """
+    spark = df.sparkSession
+    y, p, s = F.col(label).cast("int"), F.col(prediction).cast("int"), F.col(score).cast("double")
+    g = (df.select(*by, y.alias("_y"), p.alias("_pred"), s.alias("_s")).groupBy(*by, "_s")
+         .agg(F.count_if((F.col("_y") == 1) & (F.col("_pred") == 1)).alias("tp"), F.count_if((F.col("_y") == 0) & (F.col("_pred") == 1)).alias("fp"),
+              F.count_if((F.col("_y") == 0) & (F.col("_pred") == 0)).alias("tn"), F.count_if((F.col("_y") == 1) & (F.col("_pred") == 0)).alias("fn"),
+              F.count(F.lit(1)).alias("n"), F.count("_y").alias("_c"), F.coalesce(F.sum("_y"), F.lit(0)).alias("_p")))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # written, so that both readers below see the same ranges
+    ranged, path = written(g.repartitionByRange(n, *by, "_s").withColumn("_r", F.spark_partition_id()), "metrics")
+    known = F.when(F.col("_s").isNotNull(), F.col("_c")).otherwise(F.lit(0))
+    totals = ranged.groupBy(*by, "_r").agg(F.sum(known).alias("_t"))  # at most n rows and one more per group
+    before = Window.partitionBy(*by).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*by, "_r", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_o"))
+    inside = Window.partitionBy("_r", *by).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = (ranged.withColumn("_c", known).withColumn("_p", F.when(F.col("_s").isNotNull(), F.col("_p")).otherwise(F.lit(0)))
+              .withColumn("_i", F.coalesce(F.sum("_c").over(inside), F.lit(0))).join(F.broadcast(offsets), [*by, "_r"]))
+    tot = ranked.groupBy(*by).agg(
+        F.sum(F.col("_p") * (F.col("_o") + F.col("_i") + (F.col("_c") + 1) / 2.0)).alias("_w"), F.sum("_p").alias("_P"),
+        F.sum("_c").alias("_n"), *[F.sum(c).alias(c) for c in ("tp", "fp", "tn", "fn", "n")])
+    P, N = F.col("_P"), F.col("_n") - F.col("_P")
+    auc = F.when((P == 0) | (N == 0), F.lit(None).cast("double")).otherwise((F.col("_w") - P * (P + 1) / 2.0) / (P.cast("double") * N))
+    out = _from_counts(tot, [*by, auc.alias("roc_auc")]).select(*by, *METRICS)
+    rows = out.collect()  # one per group
+    remove(spark, path)
+    return spark.createDataFrame(rows, out.schema)
+
+
 def classification_report(df: DataFrame, label: str = "label",
                           prediction: str = "prediction") -> DataFrame:
     """Per class precision / recall / f1 / support, then macro and weighted

@@ -10,12 +10,11 @@ number stands for a fit's seconds.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from cartwise import oracle as O
 from cartwise.functions.columns import round_doubles
+from cartwise.functions.sequence import release_held
 from cartwise.operators import labels as LB
 from cartwise.operators import metrics as MT
 from cartwise.operators import plotdata as PD
@@ -86,10 +85,11 @@ def _rounded(cols) -> str:
     return ", ".join(f"round({c}, {O.R}) AS {c}" for c in cols)
 
 
-def _scored(rows, model: str):
-    s = F.expr(SCORES[model])
-    return rows.select("user_id", "product_id", F.col("target").alias("label"), s.alias("score"),
-                       (s >= 0.5).cast("int").alias("prediction"))
+def _all_scored(rows, *more: str):
+    """Every model's scores in one pass: a row per row and model."""
+    each = F.array(*[F.struct(F.lit(m).alias("model"), F.expr(e).cast("double").alias("score")) for m, e in SCORES.items()])
+    return (rows.select(*more, F.col("target").alias("label"), F.explode(each).alias("s"))
+            .select(*more, "label", "s.model", "s.score", (F.col("s.score") >= 0.5).cast("int").alias("prediction")))
 
 
 def _fold_rows(spark, sf_dir):
@@ -97,19 +97,16 @@ def _fold_rows(spark, sf_dir):
     def build():
         held: list = []
         folded = LB.stratified_folds(ST.balanced(spark, sf_dir), FOLDS, hold=held)
-        parts = [MT.binary_metrics(_scored(folded.filter(F.col("fold") == k), m)).select(
-                    F.lit(m).alias("model"), F.lit(k + 1).alias("fold"), *MT.METRICS,
-                    F.lit(float(k + 1)).alias("training_time_seconds"))
-                 for m in SCORES for k in range(FOLDS)]
-        return reduce(lambda a, b: a.unionByName(b), parts)
+        m = MT.metrics_by(_all_scored(folded, "fold"), ["model", "fold"])
+        release_held(held)
+        return m.select("model", (F.col("fold") + 1).alias("fold"), *MT.METRICS,
+                        (F.col("fold") + 1).cast("double").alias("training_time_seconds"))
     return ST.stage(spark, sf_dir, "fixed-folds", build)
 
 
 def _test_rows(spark, sf_dir):
     def build():
-        parts = [MT.binary_metrics(_scored(ST.test(spark, sf_dir), m)).select(F.lit(m).alias("model"), *MT.METRICS)
-                 for m in SCORES]
-        return reduce(lambda a, b: a.unionByName(b), parts)
+        return MT.metrics_by(_all_scored(ST.test(spark, sf_dir)), ["model"])
     return ST.stage(spark, sf_dir, "fixed-test", build)
 
 

@@ -506,12 +506,12 @@ def model_selection(spark, sf_dir):
 
 
 def _comparison(spark, sf_dir):
-    tests = None
-    for kind in (*ST.TREE_KINDS, ST.TUNED):
-        t = _test_metrics(spark, sf_dir, kind, rule="argmax").drop(
-            "inference_time_ms", "inference_ms_per_row", "evaluation_time_seconds")
-        tests = t if tests is None else tests.unionByName(t)
-    return MT.model_comparison(MT.cv_summary(ST.cv_folds(spark, sf_dir)), tests)
+    # the tests' models are fitted beside the folds'; times are taken after both
+    ST.balanced(spark, sf_dir)
+    folds, _ = ST.side_by_side(spark, lambda: ST.cv_folds(spark, sf_dir),
+                               lambda: ST.rule_metrics(spark, sf_dir, [*ST.TABLE_KINDS, ST.VOTE]))
+    tests = ST.table_metrics(spark, sf_dir, "argmax").drop("inference_time_ms", "inference_ms_per_row", "evaluation_time_seconds")
+    return MT.model_comparison(MT.cv_summary(folds), tests)
 
 
 @register("cv_metric_error_bars", None)
@@ -535,11 +535,8 @@ def architecture_comparison(spark, sf_dir):
     ensemble on the test split (p >= 0.5 rule for all, as the comparison uses),
     with the training run's fit seconds joined by model (the ensemble's: those of
     its members), ranked by AUC."""
-    rows = fit_times = None
-    for kind in (*ST.TREE_KINDS, ST.TUNED, "soft_voting"):
-        t = _test_metrics(spark, sf_dir, kind, rule="threshold").drop(
-            "test_prediction_time_seconds", "evaluation_time_seconds")
-        rows = t if rows is None else rows.unionByName(t)
+    fit_times = None
+    rows = ST.table_metrics(spark, sf_dir, "threshold").drop("test_prediction_time_seconds", "evaluation_time_seconds")
     for kind in (*ST.TREE_KINDS, ST.TUNED):
         t = ST.fit_seconds(spark, sf_dir, kind)
         fit_times = t if fit_times is None else fit_times.unionByName(t)
@@ -648,9 +645,10 @@ def experiment_run_summary(spark, sf_dir):
     from cartwise.session import checkpoint_dir
 
     path = f"{checkpoint_dir(spark)}/runs-{uuid.uuid4().hex[:12]}"
-    for kind in (*ST.TREE_KINDS, ST.TUNED):
-        model, mpath = ST.model_of(spark, sf_dir, kind)
-        row = ST.test_metrics(spark, sf_dir, kind, "argmax").first().asDict()
+    fitted = ST.models_of(spark, sf_dir, ST.TABLE_KINDS)
+    rows = {r["model"]: r.asDict() for r in ST.table_metrics(spark, sf_dir, "argmax").collect()}
+    for kind, (model, mpath) in fitted.items():
+        row = rows[kind]
         RU.log_run(spark, path, "basket_models", kind, RU.model_params(model), row,
                    {"grain": "brand_type", "model_type": "tuned" if kind == ST.TUNED else "baseline"}, [mpath])
     runs = RU.read_runs(spark, path)

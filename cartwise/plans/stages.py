@@ -10,9 +10,12 @@ Stage paths are keyed by a fingerprint of the input files.
 from __future__ import annotations
 
 import hashlib
+import threading
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,21 +25,45 @@ from cartwise.session import checkpoint_dir, code_fingerprint
 from cartwise.sources.adapter import _fs, _input_fingerprint, load_basket
 
 _MEMO: dict[tuple, DataFrame] = {}
+_LOCKS: dict[str, threading.RLock] = {}
+_LOCKS_GUARD = threading.Lock()
+
+
+def _lock(key: str) -> threading.RLock:
+    """One thread builds a stage, the others wait for it."""
+    with _LOCKS_GUARD:
+        return _LOCKS.setdefault(key, threading.RLock())
+
+
+def _key(spark: SparkSession, sf_dir: str, name: str) -> str:
+    return hashlib.md5(f"{_input_fingerprint(spark, sf_dir)}|{name}|{code_fingerprint()}".encode()).hexdigest()[:16]
 
 
 def stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """Write ``build()`` once under the checkpoint folder and return the read-back."""
-    key = hashlib.md5(f"{_input_fingerprint(spark, sf_dir)}|{name}|{code_fingerprint()}".encode()).hexdigest()[:16]
+    key = _key(spark, sf_dir, name)
     memo = (spark.sparkContext.applicationId, key)
-    if memo in _MEMO:
-        return _MEMO[memo]
-    path = f"{checkpoint_dir(spark)}/stage-{name}-{key}"
-    fs, done = _fs(spark, f"{path}/_SUCCESS")
-    if not fs.exists(done):
-        build().write.mode("overwrite").parquet(path)
-    df = spark.read.parquet(path)
-    _MEMO[memo] = df
-    return df
+    with _lock(key):
+        if memo in _MEMO:
+            return _MEMO[memo]
+        path = f"{checkpoint_dir(spark)}/stage-{name}-{key}"
+        fs, done = _fs(spark, f"{path}/_SUCCESS")
+        if not fs.exists(done):
+            build().write.mode("overwrite").parquet(path)
+        df = spark.read.parquet(path)
+        _MEMO[memo] = df
+        return df
+
+
+def ledger_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """A ledger's folder, keyed like the stages, so that a new session goes on with it."""
+    return f"{checkpoint_dir(spark)}/ledger-{name}-{_key(spark, sf_dir, f'ledger-{name}')}"
+
+
+def side_by_side(spark: SparkSession, *jobs: Callable[[], object]) -> list:
+    """The results of independent jobs that share the cluster."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(j)) for j in jobs]]
 
 
 def features(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
@@ -84,22 +111,24 @@ def trained_model(spark: SparkSession, sf_dir: str, kind: str, grain: str = "bra
     key = hashlib.md5(f"{_input_fingerprint(spark, sf_dir)}|{kind}|{grain}|{impute}|{tag}|"
                       f"{code_fingerprint()}".encode()).hexdigest()[:16]
     path = f"{checkpoint_dir(spark)}/model-{kind}-{key}"
-    fs, done = _fs(spark, f"{path}/metadata/_SUCCESS")
-    _, fit_done = _fs(spark, f"{path}-fit/_SUCCESS")
-    if not (fs.exists(done) and fs.exists(fit_done)):
-        bal = balanced(spark, sf_dir, grain)
-        if kind == "logistic_regression":
-            pipe = M.logistic_pipeline(bal.count(), impute=impute, **params)
-        else:
-            pipe = M.tree_pipeline(kind, impute=impute, **params)
-        t0 = time.perf_counter()
-        model = M.fit(pipe, bal)
-        seconds = time.perf_counter() - t0
-        model.write().overwrite().save(path)
-        # the training run's fit time, kept with the model (a one-row table)
-        spark.createDataFrame([(kind, seconds)], "model string, training_time_seconds double") \
-            .write.mode("overwrite").parquet(f"{path}-fit")
-    return PipelineModel.load(path), path
+    with _lock(path):
+        fs, done = _fs(spark, f"{path}/metadata/_SUCCESS")
+        _, fit_done = _fs(spark, f"{path}-fit/_SUCCESS")
+        if not (fs.exists(done) and fs.exists(fit_done)):
+            least = params.pop("min_samples_split", 2)
+            bal = balanced(spark, sf_dir, grain)
+            if kind == "logistic_regression":
+                pipe = M.logistic_pipeline(bal.count(), impute=impute, **params)
+            else:
+                pipe = M.tree_pipeline(kind, impute=impute, **params)
+            t0 = time.perf_counter()
+            model = M.fit(pipe, bal, min_samples_split=least)
+            seconds = time.perf_counter() - t0
+            model.write().overwrite().save(path)
+            # the training run's fit time, kept with the model (a one-row table)
+            spark.createDataFrame([(kind, seconds)], "model string, training_time_seconds double") \
+                .write.mode("overwrite").parquet(f"{path}-fit")
+        return PipelineModel.load(path), path
 
 
 def fit_seconds(spark: SparkSession, sf_dir: str, kind: str, grain: str = "brand_type",
@@ -128,7 +157,8 @@ def search_results(spark: SparkSession, sf_dir: str, grain: str = "brand_type")
     from cartwise.plans import validation as V
 
     return stage(spark, sf_dir, f"search-{grain}",
-                 lambda: V.randomized_search(tuning_split(spark, sf_dir, grain)[0], impute="mean")[1])
+                 lambda: V.randomized_search(tuning_split(spark, sf_dir, grain)[0], impute="mean",
+                                             ledger_path=ledger_path(spark, sf_dir, f"search-{grain}"))[1])
 
 
 def best_draw(spark: SparkSession, sf_dir: str, grain: str = "brand_type") -> dict:
@@ -146,45 +176,87 @@ def model_of(spark: SparkSession, sf_dir: str, kind: str, grain: str = "brand_ty
         return trained_model(spark, sf_dir, kind, grain)
     from cartwise.plans import validation as V
 
-    return trained_model(spark, sf_dir, TUNED, grain, **V.spark_rf_params(best_draw(spark, sf_dir, grain)))
+    draw = best_draw(spark, sf_dir, grain)
+    return trained_model(spark, sf_dir, TUNED, grain, **V.spark_rf_params(draw), min_samples_split=draw["min_samples_split"])
 
 
-METRIC_ROW = ("model string, accuracy double, precision double, recall double, f1_score double, "
-              "roc_auc double, inference_time_ms double, inference_ms_per_row double, "
-              "test_prediction_time_seconds double, model_size_mb double, evaluation_time_seconds double")
+def models_of(spark: SparkSession, sf_dir: str, kinds, grain: str = "brand_type") -> dict:
+    """{kind: (model, path)}, those that aren't there yet fitted side by side."""
+    balanced(spark, sf_dir, grain)
+    return dict(zip(kinds, side_by_side(spark, *[lambda k=k: model_of(spark, sf_dir, k, grain) for k in kinds])))
 
 
-def _metric_row(spark: SparkSession, r: dict) -> DataFrame:
-    names = [c.split()[0] for c in METRIC_ROW.split(", ")]
-    return spark.createDataFrame([tuple(r[n] for n in names)], METRIC_ROW)
+VOTE = "soft_voting"
+TABLE_KINDS = (*TREE_KINDS, TUNED)
+TIME_ROW = ("model string, inference_time_ms double, inference_ms_per_row double, test_prediction_time_seconds double, "
+            "model_size_mb double, evaluation_time_seconds double")
 
 
-def test_metrics(spark: SparkSession, sf_dir: str, kind: str, rule: str, grain: str = "brand_type") -> DataFrame:
-    """One model's row of test metrics, times and size, scored once and written."""
+def timings(spark: SparkSession, sf_dir: str, kind: str, grain: str = "brand_type") -> DataFrame:
+    """E6 + E7: one model's inference seconds over the test rows and its size, written."""
     from cartwise.plans import validation as V
 
     def build():
         rows = test(spark, sf_dir, grain)
-        if kind == "soft_voting":
-            members = {k: model_of(spark, sf_dir, k, grain) for k in TREE_KINDS}
-            return _metric_row(spark, V.evaluate_vote({k: m for k, (m, _) in members.items()}, rows,
-                                                      [p for _, p in members.values()]))
-        model, path = model_of(spark, sf_dir, kind, grain)
-        return _metric_row(spark, V.evaluate(model, rows, kind, rule, model_path=path))
+        if kind == VOTE:
+            members = models_of(spark, sf_dir, TREE_KINDS, grain)
+            r = V.timed_vote({k: m for k, (m, _) in members.items()}, rows, [p for _, p in members.values()], VOTE)
+        else:
+            model, path = model_of(spark, sf_dir, kind, grain)
+            r = V.timed_model(model, rows, kind, path)
+        return spark.createDataFrame([tuple(r[c.split()[0]] for c in TIME_ROW.split(", "))], TIME_ROW)
+
+    return stage(spark, sf_dir, f"timing-{kind}-{grain}", build)
 
-    return stage(spark, sf_dir, f"testmetrics-{kind}-{rule}-{grain}", build)
+
+def rule_metrics(spark: SparkSession, sf_dir: str, kinds, grain: str = "brand_type") -> DataFrame:
+    """(model, rule, metrics) of several models from one scan of the test rows, written."""
+    from cartwise.operators import metrics as MT
+    from cartwise.plans import models as M
+
+    def build():
+        members = [k for k in kinds if k != VOTE]
+        fitted = models_of(spark, sf_dir, [*members, *([k for k in TREE_KINDS if k not in members] if VOTE in kinds else [])], grain)
+        scored = M.score_all({k: m for k, (m, _) in fitted.items()}, test(spark, sf_dir, grain),
+                             {VOTE: list(TREE_KINDS)} if VOTE in kinds else None)
+        return MT.metrics_by(scored.filter(F.col("model").isin(*kinds)), ["model", "rule"])
+
+    return stage(spark, sf_dir, f"rulemetrics-{'-'.join(kinds)}-{grain}", build)
+
+
+def test_metrics(spark: SparkSession, sf_dir: str, kind: str, rule: str, grain: str = "brand_type") -> DataFrame:
+    """One model's row of test metrics, times and size."""
+    return _with_times(spark, sf_dir, [kind], rule, grain)
+
+
+def table_metrics(spark: SparkSession, sf_dir: str, rule: str, grain: str = "brand_type") -> DataFrame:
+    """:func:`test_metrics` of the four tree models (and, by the threshold, their vote):
+    one scan of the test rows for the metrics of all under both rules."""
+    return _with_times(spark, sf_dir, [*TABLE_KINDS, VOTE], rule, grain)
+
+
+def _with_times(spark, sf_dir, kinds, rule, grain) -> DataFrame:
+    found = rule_metrics(spark, sf_dir, kinds, grain).filter(F.col("rule") == rule).drop("rule")
+    times = None
+    for k in kinds:  # one after another: their seconds are their own
+        t = timings(spark, sf_dir, k, grain)
+        times = t if times is None else times.unionByName(t)
+    return found.join(F.broadcast(times), "model")  # a row per model
 
 
 def tuned_metrics(spark: SparkSession, sf_dir: str, grain: str = "brand_type") -> DataFrame:
     """The tuned forest's two rows: the best draw fitted on the 80 % part and scored
     on the 20 % (``validation``), and the final model on the test split (``final_test``)."""
+    from cartwise.operators import metrics as MT
     from cartwise.plans import models as M
     from cartwise.plans import validation as V
 
     def build():
         part, rest = tuning_split(spark, sf_dir, grain)
-        pipe = M.tree_pipeline(TUNED, impute="mean", **V.spark_rf_params(best_draw(spark, sf_dir, grain)))
-        return _metric_row(spark, V.evaluate(M.fit(pipe, part), rest, TUNED, "argmax"))
+        draw = best_draw(spark, sf_dir, grain)
+        pipe = M.tree_pipeline(TUNED, impute="mean", **V.spark_rf_params(draw))
+        fitted = M.fit(pipe, part, min_samples_split=draw["min_samples_split"])
+        return MT.metrics_by(M.predict(fitted, rest, "argmax").withColumn("model", F.lit(TUNED)), ["model"])
 
     validation = stage(spark, sf_dir, f"tuned-validation-{grain}", build)
     final = test_metrics(spark, sf_dir, TUNED, "argmax", grain)
@@ -200,9 +272,14 @@ def cv_folds(spark: SparkSession, sf_dir: str, grain: str = "brand_type", k: int
     from cartwise.plans import models as M
     from cartwise.plans import validation as V
 
+    def tuned():
+        draw = best_draw(spark, sf_dir, grain)
+        return M.tree_pipeline(TUNED, impute="mean", **V.spark_rf_params(draw)), draw["min_samples_split"]
+
     def build():
-        pipes = V.default_pipelines("mean")
-        pipes[TUNED] = M.tree_pipeline(TUNED, impute="mean", **V.spark_rf_params(best_draw(spark, sf_dir, grain)))
-        return V.cross_validate(pipes, LB.cv_sample(balanced(spark, sf_dir, grain)), k)
+        # the tuned forest first: its search goes on beside the other models' fits
+        pipes = {TUNED: tuned, **V.default_pipelines("mean")}
+        return V.cross_validate(pipes, LB.cv_sample(balanced(spark, sf_dir, grain)), k,
+                                ledger_path=ledger_path(spark, sf_dir, f"cv-{grain}-{k}"))
 
     return stage(spark, sf_dir, f"cvfolds-{grain}-{k}", build)
