@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,3 +25,21 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a written table."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+_AT_EXIT: list = []
+
+
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete a written table when the driver ends: for tables that a result which is
+    still to be computed reads."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not _AT_EXIT:
+        atexit.register(_remove_noted)
+    _AT_EXIT.append((p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())))
+
+
+def _remove_noted() -> None:
+    for p, fs in _AT_EXIT:
+        with contextlib.suppress(Exception):  # the JVM may have ended before
+            fs.delete(p, True)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.columns import ratio
-from cartwise.functions.handoff import written
+from cartwise.functions.handoff import remove_at_exit, written
 from cartwise.functions.joins import sized_broadcast
 from cartwise.sources.schemas import FEATURE_COLUMNS, FEATURE_SCHEMA
 
@@ -139,7 +139,8 @@ def customer_product_features(orders: DataFrame, lines: DataFrame,
     dims = sized_broadcast(dedup_products(products))
     pc = pairs.join(dims, "product_id", "left")
     if reuse == "checkpoint":
-        pc, _ = written(pc, "pairs")
+        pc, path = written(pc, "pairs")
+        remove_at_exit(pc.sparkSession, path)
     elif reuse == "persist":
         from pyspark import StorageLevel
 
