@@ -15,7 +15,8 @@ test items is broadcast only below a measured size.
 Defined cases: null text has no words; an item without words has no window and
 an item shorter than a window is one window; rows are judged one by one, also
 with a repeated doc_id, and equal rows get equal answers; a repeated item_id
-counts once, null item_ids are ignored; empty tables give no hits (no items) or
+counts once; the rows of null item_id count as one item, whose words are hit and
+which item_ids doesn't name; empty tables give no hits (no items) or
 no rows (no documents); other columns are ignored.
 """
 
@@ -45,7 +46,7 @@ def fold(word):
 
 def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
     """(item_id, text, terms): each item's windows as arrays of terms."""
-    items = benchmark.filter("item_id is not null").select(
+    items = benchmark.select(
         "item_id", F.transform(words(F.col("text")), fold).alias("w")).filter(F.size("w") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("w") - (window - 1), F.lit(1)))
     return (items.select("item_id", "w", F.explode(starts).alias("at"))
@@ -87,9 +88,9 @@ def build_index(docs: DataFrame, phrases: Phrases) -> DataFrame:
 def rarest_first(index: DataFrame, phrases: Phrases) -> DataFrame:
     """``phrases.terms`` with rank (1: fewest postings) and the posting count;
     phrases with a term the corpus lacks are left out, they cannot occur."""
-    counts = index.filter("term > 0").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    counts = index.filter("term > 0").groupBy("term").agg(F.count(F.lit(1)).alias("n"))  # a row a word at most
     w = Window.partitionBy("wid")
-    ranked = (phrases.terms.join(counts, "term", "left")
+    ranked = (phrases.terms.join(broadcast_if(counts, phrases.vocabulary_bytes), "term", "left")
               .withColumn("gone", F.sum(F.when(F.col("n").isNull(), 1).otherwise(0)).over(w)).filter("gone = 0")
               .withColumn("rank", F.row_number().over(w.orderBy("n", "off"))))
     return staged(ranked.select("wid", "len", "off", "term", "n", "rank"), "decontam-ranked")
@@ -155,11 +156,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
            .groupBy("uid").agg(F.sum(F.greatest(end - F.greatest("start", "reached"), F.lit(0))).alias("n_hit")))
     items = (matches.select("uid", "wid").distinct().join(broadcast_if(phrases.items, phrases.terms_bytes), "wid")
              .select("uid", F.col("item_id").cast("string").alias("item")).distinct()
-             .groupBy("uid").agg(F.sort_array(F.collect_list("item")).alias("item_ids")))
+             .groupBy("uid").agg(F.sort_array(F.collect_list("item")).alias("item_ids"), F.count(F.lit(1)).alias("n_items")))
     rows = index.filter("term = 0").select("uid", "doc_id", "text_hash", F.col("pos").cast("bigint").alias("n_words"))
     return (rows.join(hit, "uid", "left").join(items, "uid", "left")
             .select("doc_id", "text_hash", "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
-                    F.greatest(F.size("item_ids"), F.lit(0)).cast("bigint").alias("n_items"),
+                    F.coalesce("n_items", F.lit(0)).cast("bigint").alias("n_items"),
                     F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"))
             .withColumn("contaminated", F.col("n_hit") > 0))
 

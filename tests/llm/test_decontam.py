@@ -15,14 +15,14 @@ def words(text):
 
 
 def brute(docs, bench, window=10):
-    """Per row: (n_words, n_hit, item ids as sorted strings)."""
+    """Per row: (n_words, n_hit, item ids as sorted strings); "" stands for the null item."""
     wins = {}
     for item, text in bench:
         w = words(text)
-        if item is None or not w:
+        if not w:
             continue
         for s in range(max(1, len(w) - window + 1)):
-            wins.setdefault(tuple(w[s:s + window]), set()).add(str(item))
+            wins.setdefault(tuple(w[s:s + window]), set()).add("" if item is None else str(item))
     lengths = {len(k) for k in wins}
     out = []
     for doc, text in docs:
@@ -41,7 +41,8 @@ def frames(spark, docs, bench):
 
 
 def rows(df):
-    return sorted(((r.doc_id, r.n_words, r.n_hit, list(r.item_ids)) for r in df.collect()), key=str)
+    null = lambda r: [""] * (r.n_items - len(r.item_ids))
+    return sorted(((r.doc_id, r.n_words, r.n_hit, null(r) + list(r.item_ids)) for r in df.collect()), key=str)
 
 
 def corpus():
@@ -102,7 +103,7 @@ def test_query_digest(spark, tmp_path):
     a.write.parquet(f"{tmp_path}/documents.parquet")
     b.write.parquet(f"{tmp_path}/benchmark.parquet")
     got = QUERIES["op4_benchmark_decontamination"](spark, str(tmp_path)).collect()
-    want = [(d, n, h, len(i), hashlib.sha256(",".join(i).encode()).hexdigest(), h > 0) for d, n, h, i in brute(docs, bench)]
+    want = [(d, n, h, len(i), hashlib.sha256(",".join(x for x in i if x).encode()).hexdigest(), h > 0) for d, n, h, i in brute(docs, bench)]
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
@@ -115,3 +116,27 @@ def test_proximity(spark):
     of = {r.uid: r.doc_id for r in index.filter("term = 0").collect()}
     assert {of[r.uid] for r in D.proximity_matches(index, phrases, 6).collect()} == {1, 3}
     assert {of[r.uid] for r in D.proximity_matches(index, phrases, 2).collect()} == {3}
+
+
+def test_words_of_a_null_item_are_hit(spark):
+    docs = [(13, "one w1 w2 two"), (14, "w1 two"), (15, "w1 w2 w3")]
+    bench = [(None, "w1 w2"), (None, "w1 w2"), (4, "w3")]
+    assert rows(D.decontaminate(*frames(spark, docs, bench))) == [(13, 4, 2, [""]), (14, 2, 0, []), (15, 3, 3, ["", "4"])]
+    assert [r.doc_id for r in D.drop_contaminated(*frames(spark, docs, bench)).collect()] == [14]
+
+
+def test_null_items_equal_the_sql(spark, tmp_path):
+    import duckdb
+
+    from cartwise.llm.queries import ORACLES, QUERIES
+
+    docs, bench = corpus()
+    docs = [d for d in {i: (i, t) for i, t in reversed(docs)}.values() if d[0] is not None]  # the SQL asks for single ids
+    a, b = frames(spark, docs, [*bench, (None, docs[20][1])])
+    con = duckdb.connect()
+    for name, frame in (("documents", a), ("benchmark", b)):
+        frame.write.parquet(f"{tmp_path}/{name}.parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    got = QUERIES["op4_benchmark_decontamination"](spark, str(tmp_path))
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({ORACLES['op4_benchmark_decontamination']})").fetchall()
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
