@@ -3,8 +3,10 @@
 A conversation becomes training windows of at most ``budget`` tokens. Running
 sums of turn tokens choose the spans: with room for N new tokens in a window, a
 turn whose tokens all fall into [kN, (k+1)N) of the running sum belongs to span
-k, and a turn across such a border is a span of its own, so spans end at turns
-and only a turn longer than the budget exceeds it. A window is the system turn
+k, and a turn across such a border is a span of its own, so spans end at turns. A
+span of whole turns keeps the budget with all that is repeated before it; a turn
+across a border may exceed the room for new tokens and its window then the budget,
+by that much. A window is the system turn
 (if the conversation opens with one), the turns before the span that fit into
 ``history`` tokens, and the span. The loss mask covers the assistant texts of
 the span alone: a repeated turn is context, never a target twice.
@@ -12,7 +14,7 @@ the span alone: a repeated turn is context, never a target twice.
 Template: ``<|role|>text<|~end|>`` for each turn. Inside roles and texts ``~``,
 ``<|`` and ``|>`` are written ``~0``, ``~1`` and ``~2``, which :func:`read_back`
 reverses (an escaped role never holds a bare ``~``, so none reads as an end
-mark). DataFrame functions only.
+mark); a role's leading ``>`` is written ``~3``, since it would close its mark. DataFrame functions only.
 
 Running sums are taken over chunks of turns and then inside a chunk, and
 history is an equi-join on blocks of the running sum, so one conversation with
@@ -45,6 +47,14 @@ def unescape(c):
     return F.replace(F.replace(F.replace(c, F.lit("~2"), F.lit("|>")), F.lit("~1"), F.lit("<|")), F.lit("~0"), F.lit("~"))
 
 
+def escape_role(c):
+    return F.regexp_replace(escape(c), "^>", "~3")
+
+
+def unescape_role(c):
+    return unescape(F.regexp_replace(c, "^~3", ">"))
+
+
 def estimated_tokens(text):
     """A turn's tokens: four characters each, and four for its marks."""
     return F.ceil(F.length(text) / 4) + 4
@@ -100,7 +110,7 @@ def chat_windows(conversations: DataFrame, budget: int = BUDGET, history: int =
                .join(heads.filter("window > 1").select("ck", "window"), "ck")
                .select("ck", "conv_id", "window", "idx", "role", "text", "n", F.lit(False).alias("fresh")))
     parts = fresh.unionByName(past).unionByName(opening)
-    mark = F.concat(F.lit("<|"), escape(F.col("role")), F.lit("|>"))
+    mark = F.concat(F.lit("<|"), escape_role(F.col("role")), F.lit("|>"))
     body = escape(F.col("text"))
     row = F.struct("idx", "fresh", F.concat(mark, body, F.lit("<|~end|>")).alias("line"), F.length(mark).cast("int").alias("skip"),
                    F.length(body).cast("int").alias("size"), "role", "n")
@@ -121,7 +131,7 @@ def read_back(windows: DataFrame) -> DataFrame:
     lines = F.expr("slice(split(text, '<[|]~end[|]>', -1), n_context + 1, n_turns - n_context)")
     cut = windows.select("conv_id", "window", "n_turns", "n_context", F.length("text").alias("chars"),
                          F.transform(lines, lambda x: F.concat(
-                             unescape(F.substring(x, F.lit(3), F.instr(x, "|>") - F.lit(3))), F.lit("\n"),
+                             unescape_role(F.substring(x, F.lit(3), F.instr(x, "|>") - F.lit(3))), F.lit("\n"),
                              unescape(F.substring(x, F.instr(x, "|>") + F.lit(2), F.length(x))), F.lit("\n"))).alias("turns"),
                          F.transform("targets", lambda s: unescape(F.substring(
                              F.col("text"), s["start"] + F.lit(1), s["length"]))).alias("loss"))

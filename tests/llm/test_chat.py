@@ -89,3 +89,10 @@ def test_escape_is_reversible(spark):
     df = spark.createDataFrame([(t,) for t in ODD if t is not None], "t string")
     got = df.select("t", C.escape(df.t).alias("e"), C.unescape(C.escape(df.t)).alias("u")).collect()
     assert all(r.u == r.t and "<|" not in r.e and "|>" not in r.e for r in got)
+
+
+def test_odd_roles_read_back(spark):
+    roles = [">user", ">", "|>", "<|", "a|", "a<", "~3x", "~end", ">>", "", "|", "<|~end|>"]
+    talk = [(1, i, r, t) for i, (r, t) in enumerate((r, t) for r in roles for t in ("hi", ">x", "|>", "a<", ""))]
+    got = C.read_back(C.chat_windows(spark.createDataFrame(talk, "conv_id bigint, turn bigint, role string, text string"))).first()
+    assert got.turns == "".join(f"{r}\n{t}\n" for _, _, r, t in talk) and got.n_turns == len(talk)
