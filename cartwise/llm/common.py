@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartwise.functions.handoff import remove_at_exit
 from cartwise.session import checkpoint_dir
 
 # A side is hinted for broadcast only when its measured size is at most this.
@@ -38,11 +39,14 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
 
     Cuts lineage: a lost executor recomputes at most the step that reads the
     table, and row ids made before the write keep their values. Inside
-    :func:`noting` the folder is noted for a later :func:`release`.
+    :func:`noting` the folder is noted for a later :func:`release`, elsewhere it is
+    deleted when the driver ends (what is returned lazily may be read until then).
     """
     out, path = _kept(df, tag)
     if _NOTED:
         _NOTED[-1].append(path)
+    else:
+        remove_at_exit(df.sparkSession, path)
     return out
 
 

@@ -21,11 +21,13 @@ def known_labels(labels: DataFrame, label: str, divisor: int, held_out: int) ->
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, divisor: int, held_out: int,
                     per_class: dict[int, int], max_chars: int, seed: int) -> list[tuple[int, str]]:
     """(label, text) rows to fit on: at most ``per_class[c]`` of each class c, drawn
-    by a hash of the id from labelled rows outside the held-out fold, texts of
-    more than ``max_chars`` left out. The bound holds whatever the corpus' size;
-    labels given twice count with the larger value.
+    by a hash of the id from the labelled rows of ``docs`` outside the held-out fold;
+    drawn texts of more than ``max_chars`` are left out. The bound holds whatever the
+    corpus' size, and documents that ``docs`` lacks take no place in the draw; labels
+    given twice count with the larger value.
     """
-    known = known_labels(labels, label, divisor, held_out)
+    # ids alone are joined, the drawn rows' texts are fetched afterwards
+    known = known_labels(labels, label, divisor, held_out).join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     drawn = None
     for c, n in per_class.items():
         part = known.filter(F.col("y") == c).orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(n)

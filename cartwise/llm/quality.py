@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.select import column_order_stats
-from cartwise.llm.common import staged
+from cartwise.llm.common import BROADCAST_LIMIT_BYTES, staged
 from cartwise.llm.labelled import known_labels, remainder, training_sample
 
 #: The training sample's bounds: worse and better rows, characters a row.
@@ -110,16 +110,21 @@ def train(sample: list[tuple[int, str]]) -> Model:
 
 def whole_threshold(docs: DataFrame, labels: DataFrame, model: Model) -> float:
     """The quantile at the worse rows' share over all labelled rows outside the
-    held-out fold. Texts are scored where they lie; ids and scores alone are joined."""
+    held-out fold. Where the labels can be broadcast only labelled rows are scored;
+    beyond that bound texts are scored where they lie, ids and scores alone are joined."""
 
     @F.pandas_udf("double")
     def rank(text: pd.Series) -> pd.Series:
         return pd.Series(model.ranks(list(text)), dtype="float64")
 
-    scored = (docs.filter(remainder("doc_id", FOLDS) != HELD_OUT)
-              .select("doc_id", rank(F.col("text").cast("string")).alias("raw")))
-    known = known_labels(labels, "quality", FOLDS, HELD_OUT).filter(F.col("y").isin(0, 1))
-    rows = staged(scored.join(known, "doc_id").select("raw", "y"), "quality-ranks")
+    known = staged(known_labels(labels, "quality", FOLDS, HELD_OUT).filter(F.col("y").isin(0, 1)), "quality-labels")
+    size = 32 * known.count()
+    fold = docs.filter(remainder("doc_id", FOLDS) != HELD_OUT).select("doc_id", F.col("text").cast("string").alias("text"))
+    if size <= BROADCAST_LIMIT_BYTES:
+        ranked = fold.join(F.broadcast(known), "doc_id").select(rank("text").alias("raw"), "y")
+    else:
+        ranked = fold.select("doc_id", rank("text").alias("raw")).join(known, "doc_id").select("raw", "y")
+    rows = staged(ranked, "quality-ranks")
     counts = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(1 - F.col("y")).alias("worse")).first()
     k = counts["worse"]
     at = column_order_stats(rows, {"raw": (counts["n"], [k, k + 1])})

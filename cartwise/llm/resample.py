@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.sequence import sequence_within
+from cartwise.llm.common import staged
 
 BUCKETS = 10_000
 #: Bytes of text that are joined and searched at once.
@@ -211,7 +212,8 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = 25, min_words: i
     at least ``min_words`` words, highest scores first, ties to the smaller id; null for
     all others. ``hold`` notes the ranked rows' folder, see ``sequence_within``."""
     gain = gains(bucket_counts(docs, text_col, buckets), bucket_counts(target, target_col, buckets))
-    scored = weights(docs, gain, seed, id_col, text_col).withColumn("_fit", F.col("n_words") >= min_words)
+    # written, so that sampling the ranges doesn't read the texts once more
+    scored = staged(weights(docs, gain, seed, id_col, text_col), "resample-scores").withColumn("_fit", F.col("n_words") >= min_words)
     # documents that can't be drawn follow all the others
     ranked = sequence_within(scored.withColumn("_low", -F.col("score")).withColumn("_out", ~F.col("_fit")), [],
                              ["_out", "_low", id_col, "weight", "n_features"], rn_col="_rank", hold=hold)

@@ -195,3 +195,14 @@ def test_quality_threshold_covers_all_labelled_rows(tables):
         ranked = np.sort(model.ranks([t for t, _ in known]))
         assert math.isclose(model.threshold, (ranked[worse - 1] + ranked[worse]) / 2, rel_tol=1e-9)
         assert sum(model.scores([t for t, _ in known]) < 0.7) == worse
+
+
+def test_sample_is_drawn_from_the_documents_that_are_there(spark):
+    """Labels of documents that an earlier stage has removed take no place in the draw."""
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(0, 2000, 20)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i // 20 % 2) for i in range(2000)], "doc_id bigint, toxic int")
+    sample = training_sample(docs, labels, "toxic", 5, 0, {0: 30, 1: 20}, 10_000, 1)
+    assert sorted(y for y, _ in sample) == [0] * 30 + [1] * 20
+    everyone = training_sample(docs, labels, "toxic", 5, 0, {0: 4000, 1: 2000}, 10_000, 1)
+    held_out = docs.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0).count()
+    assert len(everyone) == docs.count() - held_out
