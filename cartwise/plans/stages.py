@@ -115,14 +115,13 @@ def trained_model(spark: SparkSession, sf_dir: str, kind: str, grain: str = "bra
         fs, done = _fs(spark, f"{path}/metadata/_SUCCESS")
         _, fit_done = _fs(spark, f"{path}-fit/_SUCCESS")
         if not (fs.exists(done) and fs.exists(fit_done)):
-            least = params.pop("min_samples_split", 2)
             bal = balanced(spark, sf_dir, grain)
             if kind == "logistic_regression":
                 pipe = M.logistic_pipeline(bal.count(), impute=impute, **params)
             else:
                 pipe = M.tree_pipeline(kind, impute=impute, **params)
             t0 = time.perf_counter()
-            model = M.fit(pipe, bal, min_samples_split=least)
+            model = M.fit(pipe, bal)
             seconds = time.perf_counter() - t0
             model.write().overwrite().save(path)
             # the training run's fit time, kept with the model (a one-row table)
@@ -176,8 +175,7 @@ def model_of(spark: SparkSession, sf_dir: str, kind: str, grain: str = "brand_ty
         return trained_model(spark, sf_dir, kind, grain)
     from cartwise.plans import validation as V
 
-    draw = best_draw(spark, sf_dir, grain)
-    return trained_model(spark, sf_dir, TUNED, grain, **V.spark_rf_params(draw), min_samples_split=draw["min_samples_split"])
+    return trained_model(spark, sf_dir, TUNED, grain, **V.spark_rf_params(best_draw(spark, sf_dir, grain)))
 
 
 def models_of(spark: SparkSession, sf_dir: str, kinds, grain: str = "brand_type") -> dict:
@@ -253,9 +251,7 @@ def tuned_metrics(spark: SparkSession, sf_dir: str, grain: str = "brand_type") -
 
     def build():
         part, rest = tuning_split(spark, sf_dir, grain)
-        draw = best_draw(spark, sf_dir, grain)
-        pipe = M.tree_pipeline(TUNED, impute="mean", **V.spark_rf_params(draw))
-        fitted = M.fit(pipe, part, min_samples_split=draw["min_samples_split"])
+        fitted = M.fit(M.tree_pipeline(TUNED, impute="mean", **V.spark_rf_params(best_draw(spark, sf_dir, grain))), part)
         return MT.metrics_by(M.predict(fitted, rest, "argmax").withColumn("model", F.lit(TUNED)), ["model"])
 
     validation = stage(spark, sf_dir, f"tuned-validation-{grain}", build)
@@ -273,8 +269,7 @@ def cv_folds(spark: SparkSession, sf_dir: str, grain: str = "brand_type", k: int
     from cartwise.plans import validation as V
 
     def tuned():
-        draw = best_draw(spark, sf_dir, grain)
-        return M.tree_pipeline(TUNED, impute="mean", **V.spark_rf_params(draw)), draw["min_samples_split"]
+        return M.tree_pipeline(TUNED, impute="mean", **V.spark_rf_params(best_draw(spark, sf_dir, grain)))
 
     def build():
         # the tuned forest first: its search goes on beside the other models' fits
