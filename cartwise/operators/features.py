@@ -48,20 +48,30 @@ def user_order_features(orders: DataFrame) -> DataFrame:
     ))
 
 
-def pair_stats(lines: DataFrame) -> DataFrame:
-    """A2/A3: one row per (user, product) over the prior lines, with the two ratios."""
-    return (lines.groupBy("user_id", "product_id").agg(
+def pair_sums(lines: DataFrame) -> DataFrame:
+    """A2: counts, sums and the last order per (user, product); partial rows merge."""
+    return lines.groupBy("user_id", "product_id").agg(
         F.count("order_id").alias("user_product_purchase_count"),
         F.sum("reordered").cast("long").alias("user_product_reorder_count"),
         F.max("order_number").cast("long").alias("user_product_last_order_number"),
         F.sum("add_to_cart_order").cast("long").alias("_cart_sum"),
-    ).select(
+    )
+
+
+def pair_ratios(sums: DataFrame) -> DataFrame:
+    """A3: the two ratios of :func:`pair_sums`."""
+    return sums.select(
         "user_id", "product_id", "user_product_purchase_count", "user_product_reorder_count",
         "user_product_last_order_number",
         ratio("user_product_reorder_count", "user_product_purchase_count")
         .alias("user_product_reorder_rate"),
         ratio("_cart_sum", "user_product_purchase_count").alias("user_product_avg_cart_position"),
-    ))
+    )
+
+
+def pair_stats(lines: DataFrame) -> DataFrame:
+    """A2/A3: one row per (user, product) over the prior lines, with the two ratios."""
+    return pair_ratios(pair_sums(lines))
 
 
 def pair_recency(pairs: DataFrame, users: DataFrame) -> DataFrame:
@@ -207,6 +217,6 @@ def build_features(basket, reuse: str = "checkpoint") -> DataFrame:
 
 __all__ = [
     "FEATURE_COLUMNS", "prior_orders", "prior_lines", "user_order_features", "pair_stats",
-    "pair_recency", "dedup_products", "product_features", "pairs_with_category",
+    "pair_sums", "pair_ratios", "pair_recency", "dedup_products", "product_features", "pairs_with_category",
     "user_category_affinity", "customer_product_features", "build_features",
 ]

@@ -6,13 +6,17 @@ and runs one operator of the library over the whole data set.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwise import oracle as O
 from cartwise.functions.columns import round_doubles
+from cartwise.functions.handoff import remove_at_exit
 from cartwise.operators import features as FT
+from cartwise.operators.incremental import PairState
+from cartwise.session import checkpoint_dir
 from cartwise.sources.adapter import load_basket
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,6 +113,21 @@ def pair_stats(spark, sf_dir):
     return round_doubles(FT.pair_stats(b.lines.filter(F.col("eval_set") == "prior")))
 
 
+@register("appended_pair_stats", _sql(_B, body=_PAIR_SQL))
+def appended_pair_stats(spark, sf_dir):
+    """The pair table from the state of appended line files: half of them, then the rest."""
+    b = load_basket(spark, sf_dir, "part")
+    path = f"{checkpoint_dir(spark)}/step-pairstate-{uuid.uuid4().hex[:12]}"
+    remove_at_exit(spark, path)
+    state = PairState(spark, path)
+    files = [f for f in b.lines.inputFiles() if "eval_set=prior" in f]
+    if files:
+        folder = files[0].rsplit("/", 1)[0]
+        state.append(b.orders, folder, at_most=max(1, len(files) // 2))
+        state.append(b.orders, folder)
+    return round_doubles(state.pairs())
+
+
 @register("pair_recency", _sql(_B, "ps AS (" + _PAIR_SQL + ")", body="""
 SELECT ps.*, CAST(u.ulon - ps.user_product_last_order_number AS BIGINT)
          AS user_product_recency_orders
