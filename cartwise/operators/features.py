@@ -4,9 +4,9 @@ Plan shape, chosen for skewed keys and 100 TB inputs:
 
 * every aggregate is a ``groupBy`` (partial aggregation before the shuffle, so a
   hot user or product is pre-combined map-side);
-* user-level values reach the pair rows by joins on pre-aggregated tables, which
-  AQE can split when one user dominates — no window is partitioned by the user
-  alone over row-level data;
+* user-level values reach the pair rows by one join on a pre-aggregated row per
+  user, with the users that hold very many pairs (found by a sketch) salted —
+  no window is partitioned by the user alone over row-level data;
 * the product dimension is deduplicated once, deterministically (lowest
   (aisle_id, department_id) per product), and broadcast only behind a size check;
 * null categories are excluded from the category sums and the share
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from cartwise.functions.columns import ratio
 from cartwise.functions.handoff import remove_at_exit, written
 from cartwise.functions.joins import sized_broadcast
+from cartwise.functions.skew import salted_join
 from cartwise.sources.schemas import FEATURE_COLUMNS, FEATURE_SCHEMA
 
 
@@ -129,6 +130,15 @@ def user_category_affinity(pairs_cat: DataFrame, level: str) -> DataFrame:
             .drop("_total"))
 
 
+def _category_counts(pairs_cat: DataFrame, level: str) -> DataFrame:
+    """Per user a map from category to purchases in it, and their sum (known categories)."""
+    key = f"{level}_id"
+    counts = (pairs_cat.filter(F.col(key).isNotNull()).groupBy("user_id", key)
+              .agg(F.sum("user_product_purchase_count").cast("long").alias("n")))
+    return counts.groupBy("user_id").agg(
+        F.map_from_entries(F.collect_list(F.struct(key, "n"))).alias(f"_{level}s"), F.sum("n").alias(f"_{level}_total"))
+
+
 def customer_product_features(orders: DataFrame, lines: DataFrame,
                               products: DataFrame, reuse: str = "checkpoint") -> DataFrame:
     """The 21-column feature table.
@@ -165,24 +175,15 @@ def customer_product_features(orders: DataFrame, lines: DataFrame,
     ).select("product_id", "product_total_purchases", "product_unique_users",
              ratio("_reorders", "product_total_purchases").alias("product_reorder_rate"))
 
-    known_dept = F.col("department_id").isNotNull()
-    known_aisle = F.col("aisle_id").isNotNull()
-    n = F.col("user_product_purchase_count")
-    ud = pc.filter(known_dept).groupBy("user_id", "department_id").agg(
-        F.sum(n).cast("long").alias("user_department_purchase_count"))
-    ua = pc.filter(known_aisle).groupBy("user_id", "aisle_id").agg(
-        F.sum(n).cast("long").alias("user_aisle_purchase_count"))
-    # user totals over known categories ride with the user order features
-    ut = pc.groupBy("user_id").agg(
-        F.sum(F.when(known_dept, n)).alias("_dept_total"),
-        F.sum(F.when(known_aisle, n)).alias("_aisle_total"))
-    u = users.join(ut, "user_id", "left")
-
-    # every join shuffles on its own keys: AQE may split a user that holds very
-    # many pairs in the first, and the next two spread it by category
-    out = (pc.join(u, "user_id", "left")
-           .join(ud, ["user_id", "department_id"], "left")
-           .join(ua, ["user_id", "aisle_id"], "left")
+    # one row per user: its order features, and per category level the counts by category
+    # (a map of at most as many entries as there are categories) and their total
+    u = users.join(_category_counts(pc, "department"), "user_id", "left").join(
+        _category_counts(pc, "aisle"), "user_id", "left")
+
+    # one shuffle of the pair table; users with very many pairs are spread over tasks
+    out = (salted_join(pc, u, "user_id", by=F.col("product_id"))
+           .withColumn("user_department_purchase_count", F.col("_departments")[F.col("department_id")])
+           .withColumn("user_aisle_purchase_count", F.col("_aisles")[F.col("aisle_id")])
            .join(sized_broadcast(prod), "product_id", "left"))
     dcount = F.coalesce(F.col("user_department_purchase_count"), F.lit(0).cast("long"))
     acount = F.coalesce(F.col("user_aisle_purchase_count"), F.lit(0).cast("long"))
@@ -192,7 +193,7 @@ def customer_product_features(orders: DataFrame, lines: DataFrame,
         "user_department_purchase_count": dcount,
         "user_department_purchase_share":
             F.coalesce(F.when(F.col("user_department_purchase_count").isNotNull(),
-                              ratio(dcount, "_dept_total")), F.lit(0.0)),
+                              ratio(dcount, "_department_total")), F.lit(0.0)),
         "user_aisle_purchase_count": acount,
         "user_aisle_purchase_share":
             F.coalesce(F.when(F.col("user_aisle_purchase_count").isNotNull(),
