@@ -652,6 +652,39 @@ def warehouse_load_checks(spark, sf_dir):
     return out
 
 
+@register("staged_load_rejects", _sql(_B, _F, body="""
+SELECT CASE WHEN user_id % 97 = 0 THEN 'user_id: n/a is no bigint'
+            WHEN product_id % 89 = 0 THEN 'product_id is missing' ELSE 'loaded' END AS reason,
+       count(*) AS n, sum(user_product_purchase_count)::BIGINT AS purchases
+FROM features GROUP BY 1"""))
+def staged_load_rejects(spark, sf_dir):
+    """S9 + V4: the feature table written as CSV with faulty ids in some rows, loaded through
+    a stage: rows and purchases loaded, and those of the reject table by reason."""
+    from cartwise.functions.handoff import remove, written
+    from cartwise.sources import load as L
+    from cartwise.sources import sinks as SK
+
+    root = f"{checkpoint_dir(spark)}/warehouse-{uuid.uuid4().hex[:12]}"
+    user, item = F.col("user_id").cast("string"), F.col("product_id").cast("string")
+    faulty = ST.features(spark, sf_dir, "part").withColumns({
+        "user_id": F.when(F.col("user_id") % 97 == 0, "n/a").otherwise(user),
+        "product_id": F.when((F.col("user_id") % 97 != 0) & (F.col("product_id") % 89 == 0), None).otherwise(item)})
+    SK.write_parts(faulty, f"{root}/csv")
+    name = SK.create_feature_table(spark, "basket_features", f"features_{uuid.uuid4().hex[:8]}", f"{root}/table")
+    done = L.staged_load(spark, f"{root}/csv", name, max_rejects=2**62)
+    n = F.count(F.lit(1)).alias("n")
+    out = spark.table(name).agg(n, F.sum("user_product_purchase_count").alias("purchases")).select(F.lit("loaded").alias("reason"), "n", "purchases")
+    if done["rejects"]:
+        bad = spark.read.parquet(done["rejects"])
+        count = F.split("text", ",")[L.FEATURE_SCHEMA.fieldNames().index("user_product_purchase_count")].cast("long")
+        out = out.unionByName(bad.groupBy("reason").agg(n, F.sum(count).alias("purchases")))
+    out, path = written(out.filter("n > 0"), "staged-load")
+    remove_at_exit(spark, path)
+    spark.sql(f"DROP TABLE {name}")
+    remove(spark, root)
+    return out
+
+
 @register("experiment_run_summary", None)
 def experiment_run_summary(spark, sf_dir):
     """One run per model appended to a run table (params, metrics, tags,
