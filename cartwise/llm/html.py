@@ -13,7 +13,16 @@ sums of squared fused ratios inside (counted MARK times) and outside. The
 threshold then holds for all paths. So teasers marked as articles lose to a long
 story beside them, a marked story to nothing but a much larger text, and where
 all text outside furniture is marked nothing stands against it: it is kept whole,
-also a very short one beside a long footer. Kept nodes are joined to blocks.
+also a very short one beside a long footer. Titles, lists, quotes and tables, short by
+nature, go with the text they stand in: a heading whose next text is kept is kept, and so
+is what stands in the same container between kept nodes, or beside them if it is no link.
+Kept nodes are joined to blocks.
+
+Class, id and role name furniture by whole words; a name that also says ``with``, ``has``,
+``no`` or the like speaks of a layout, not of furniture. A container that is furniture by
+name or is a form, yet holds most of the page's paragraph text and its title or its
+articles (a form: more such text than labels), is the page's frame and no furniture.
+Reading takes linear time in the page, whatever is left open.
 
 The reader accepts broken markup: unclosed paragraphs, missing end tags, a page
 cut off anywhere. Rows are independent, so pages stream through each task.
@@ -43,6 +52,11 @@ tfoot th thead tr ul option""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = BLOCK - {"caption", "tbody", "td", "tfoot", "th", "thead", "tr", "option", "html", "body"}
 ARTICLE = frozenset(("article", "main"))
+#: Elements that text flows through: they belong to the container around them.
+FLOW = frozenset("h1 h2 h3 h4 h5 h6 p li ul ol dl dt dd blockquote pre table caption tbody thead tfoot tr td th figure figcaption hgroup".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Words by which a name speaks of a layout or a subject that has, or lacks, such a part.
+LAYOUT = re.compile(r"(?:^|[_-])(?:with|without|has|no|and|or|of|the|for|in|on|hide|show)(?:$|[_-])", re.I)
 #: Words of class, id and role that name furniture.
 NAMED = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?s?|banner|popup|modal|overlay|"
                    r"cookies?|consent|gdpr|notice|notification|alert|nav(?:bar|igation)?|menu|breadcrumbs?|pager|pagination|"
@@ -70,27 +84,70 @@ def _decoded(piece: str) -> str:
     return entities.unescape(piece)
 
 
-def _named(attributes: str, in_article: bool) -> bool:
-    for name, value in ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), value.strip("\"'")
-        if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
-        if name == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-        if name in ("class", "id", "role") and (NAMED.search(value) or not in_article and HEADER.search(value)):
-            return True
-    return False
+def _hidden(attributes: list[tuple[str, str]]) -> bool:
+    return any(name == "hidden" or name == "aria-hidden" and value == "true"
+               or name == "style" and re.search(r"display\s*:\s*none", value) for name, value in attributes)
+
+
+def _named(attributes: list[tuple[str, str]], in_article: bool) -> bool:
+    return any((NAMED.search(word) or not in_article and HEADER.search(word)) and not LAYOUT.search(word)
+               for name, value in attributes if name in ("class", "id", "role") for word in value.split())
+
+
+class _Frames:
+    """Containers that are furniture by name, and forms: what stands in them decides."""
+
+    def __init__(self):
+        self.over, self.form, self.stats = [], [], []  # paragraph text, label text, titles, articles
+
+    def add(self, over: int, form: bool) -> int:
+        self.over.append(over)
+        self.form.append(form)
+        self.stats.append([0, 0, 0, 0])
+        return len(self.over) - 1
 
+    def judged(self, page: list[int]) -> list[bool]:
+        """Whether text in each container is furniture; ``page`` has the figures outside them."""
+        for i in range(len(self.over) - 1, -1, -1):  # a container comes before those in it
+            to = self.stats[self.over[i]] if self.over[i] >= 0 else page
+            for j, v in enumerate(self.stats[i]):
+                to[j] += v
+        out = []
+        for i, (text, labels, titles, articles) in enumerate(self.stats):
+            frame = 2 * text > page[0] and (titles or articles and articles == page[3] or self.form[i] and text > labels)
+            out.append(not frame or self.over[i] >= 0 and out[self.over[i]])
+        return out
 
-def text_nodes(page: str) -> list[tuple[str, bool, bool, int, str]]:
-    """(path, furniture, in article, block number, text) of each text node."""
-    stack: list[tuple[str, bool, bool]] = []  # tag, furniture, in article
-    out, block, at = [], 0, 0
+
+def text_nodes(page: str) -> list[tuple]:
+    """(path number, furniture, in article, block number, text, container, tag, link) of each
+    text node; container is the nearest element that text doesn't flow through, tag the
+    nearest one that it does (or none), link whether the text is in one."""
+    # tag, furniture, in article, path, frame, container, flow tag, link, nearest block's place
+    stack: list[tuple] = []
+    places: dict[str, list[int]] = {}  # of open elements, by tag
+    paths: dict[tuple[int, str], int] = {}
+    frames, outside = _Frames(), [0, 0, 0, 0]
+    out, block, at, elements = [], 0, 0, 0
+    bottom = ("", False, False, 0, -1, 0, "", False, -1)
+
+    def cut(i: int) -> None:
+        for over in stack[i:]:
+            places[over[0]].pop()
+        del stack[i:]
+
+    def place(*tags: str) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=-1)
 
     def text(piece: str) -> None:
-        if piece and not (stack and stack[-1][1] is None):
-            furniture, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            out.append(("/".join(s[0] for s in stack), furniture, article, block, _decoded(piece)))
+        tag, furniture, article, path, frame, container, flow, link, _ = stack[-1] if stack else bottom
+        if not piece or furniture is None:
+            return
+        piece = _decoded(piece)
+        out.append((path, furniture, article, block, piece, container, flow, link, frame))
+        if not furniture or frame >= 0 and tag in ("label", "option", "button"):
+            stats = frames.stats[frame] if frame >= 0 else outside
+            stats[1 if furniture else 0] += len(piece.strip()) if furniture or flow == "p" else 0
 
     while (opening := page.find("<", at)) >= 0:
         m = TAG.match(page, opening)
@@ -109,61 +166,68 @@ def text_nodes(page: str) -> list[tuple[str, bool, bool, int, str]]:
             block += 1
         elif tag == "br":
             text(" ")
+        nearest = stack[-1][8] if stack else -1
         if m.group(1):  # an end tag closes the nearest open element of its name
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
-                if tag not in BLOCK and stack[i][0] in BLOCK:  # inline ends don't reach out of their block
-                    break
+            i = place(tag)
+            if i >= 0 and (tag in BLOCK or i > nearest):  # inline ends don't reach out of their block
+                cut(i)
             continue
         if tag in BLOCK and tag != "html" and stack and stack[-1][0] == "head":
-            stack.pop()  # content ends a head that was never closed
-        if tag in CLOSES_P:
-            # a block start ends an open paragraph and what is open inside it
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p":
-                    del stack[i:]
-                    break
-                if stack[i][0] in BLOCK:
-                    break
+            cut(len(stack) - 1)  # content ends a head that was never closed
+            nearest = stack[-1][8] if stack else -1
+        if tag in CLOSES_P and nearest >= 0 and stack[nearest][0] == "p":
+            cut(nearest)  # a block start ends an open paragraph and what is open inside it
         if tag in ("li", "dd", "dt", "tr", "td", "th", "option"):
             same = {"dd": ("dd", "dt"), "dt": ("dd", "dt"), "td": ("td", "th"), "th": ("td", "th")}.get(tag, (tag,))
             ends = {"li": ("ul", "ol", "menu"), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"),
                     "dd": ("dl",), "dt": ("dl",), "option": ("select",)}[tag]
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in same:
-                    del stack[i:]
-                    break
-                if stack[i][0] in ends:
-                    break
+            if (i := place(*same)) > place(*ends):
+                cut(i)
         if tag in RAW_END and not m.group(3).rstrip().endswith("/"):
             at = RAW_END[tag].search(page, at).end()
             continue
         if tag in VOID or m.group(3).rstrip().endswith("/"):
             continue
-        over = stack[-1] if stack else ("", False, False)
-        in_article = bool(over[2]) or tag in ARTICLE or 'role="main"' in m.group(3)
-        furniture = over[1]
+        _, furniture, in_article, path, frame, container, flow, link, nearest = stack[-1] if stack else bottom
+        in_article = in_article or tag in ARTICLE or 'role="main"' in m.group(3)
         if furniture is not None:
             if tag in HIDDEN:
                 furniture = None
-            elif tag in FURNITURE or tag == "header" and not in_article or tag not in ("html", "body", *ARTICLE) and _named(m.group(3), in_article):
+            elif tag in FURNITURE - {"form"} or tag == "header" and not in_article:
                 furniture = True
-        stack.append((tag, furniture, in_article))
+            elif not furniture and tag not in ("html", "body", *ARTICLE):
+                attributes = [(n.lower(), v.strip("\"'")) for n, v in ATTRIBUTE.findall(m.group(3))]
+                if _hidden(attributes):
+                    furniture = True
+                elif tag == "form" or _named(attributes, in_article):
+                    frame = frames.add(frame, tag == "form")
+        if furniture is False:
+            stats = frames.stats[frame] if frame >= 0 else outside
+            stats[2] += tag in ("h1", "main")
+            stats[3] += tag == "article"
+        elements += 1
+        if tag in FLOW:
+            flow = tag if tag != "p" or not flow else flow
+        elif tag in BLOCK:
+            container, flow = 0 if tag in ("html", "body") else elements, ""
+        path = paths.setdefault((path, tag), len(paths) + 1)
+        places.setdefault(tag, []).append(len(stack))
+        stack.append((tag, furniture, in_article, path, frame, container, flow, link or tag == "a",
+                      len(stack) if tag in BLOCK else nearest))
     text(page[at:])
-    return out
+    bad = frames.judged(outside)
+    return [(path, bool(furniture) or frame >= 0 and bad[frame], *rest) for path, furniture, *rest, frame in out]
 
 
 def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
     """The main text of one page."""
     nodes = [n for n in text_nodes(page or "") if n[4]]
-    marked = any(article and not furniture and text.strip() for _, furniture, article, _, text in nodes)
+    marked = any(article and not furniture and text.strip() for _, furniture, article, _, text, *_ in nodes)
     sums: dict[tuple, list[int]] = {}
     order = []
-    for path, furniture, article, _, text in nodes:
+    for path, furniture, article, _, text, *_ in nodes:
         if length := len(" ".join(text.split())):
-            key = path, bool(furniture), article
+            key = path, furniture, article
             order.append(key)
             p = sums.setdefault(key, [0, 0, 0])
             p[0] += length
@@ -186,9 +250,10 @@ def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
     mean = sum(values) / max(1, len(values))
     cut = threshold * math.sqrt(sum((v - mean) ** 2 for v in values) / max(1, len(values)))
     kept = {k for k, v in fused.items() if v > 0 and v * weight[k[2]] >= cut}
+    chosen = _with_neighbours(nodes, [n[:3] in kept for n in nodes])
     blocks: list[tuple[int, list[str]]] = []
-    for path, furniture, article, block, text in nodes:
-        if text.strip() and (path, bool(furniture), article) not in kept or not text.strip() and furniture:
+    for (_, furniture, _, block, text, *_), choice in zip(nodes, chosen):
+        if text.strip() and not choice or not text.strip() and furniture:
             continue
         if not blocks or blocks[-1][0] != block:
             blocks.append((block, []))
@@ -197,6 +262,25 @@ def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
     return "\n".join(line for line in lines if line)
 
 
+def _with_neighbours(nodes: list[tuple], chosen: list[bool]) -> list[bool]:
+    """``chosen``, with the titles, lists, quotes and tables that belong to chosen text."""
+    first, last, out = {}, {}, list(chosen)
+    for i, (n, choice) in enumerate(zip(nodes, chosen)):
+        if choice and n[4].strip():
+            first.setdefault(n[5], i)
+            last[n[5]] = i
+    for i, (_, furniture, _, _, text, container, flow, link) in enumerate(nodes):
+        if not furniture and flow and text.strip() and container in first:
+            # beside the text counts in a container of the page, not in the page itself
+            out[i] = out[i] or first[container] < i < last[container] or container > 0 and flow != "p" and not link
+    follows = False  # whether the next text is kept
+    for i in range(len(nodes) - 1, -1, -1):
+        if nodes[i][4].strip() and not nodes[i][1]:
+            out[i] = out[i] or follows and nodes[i][6] in HEADINGS and not nodes[i][7]
+            follows = out[i]
+    return out
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``id_col``, ``url_col``, text, n_chars for every row of ``pages``."""
     rows = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"), F.col(html_col).cast("string").alias("_html"))

@@ -95,3 +95,54 @@ def test_ratios_decide_on_marked_pages():
     marked = "<article><p>A short note, marked.</p></article>"
     assert main_text(f"<div><a>Home</a></div>{marked}") == "A short note, marked."
     assert "note" not in main_text(f"<div>{STORY}</div>{marked}")
+
+
+@pytest.mark.parametrize("frame", [
+    '<div class="layout with-sidebar">{}</div>', "<div class='page has-sidebar'><div id=content>{}</div></div>",
+    "<form id=aspnetForm method=post><input type=hidden>{}<button>Go</button></form>",
+    '<div class="widget promo">{}</div>', "<div id=no-comments>{}</div>",
+])
+@pytest.mark.parametrize("page", ["<article><h1>The title</h1>{}</article>", "<h1>The title</h1>{}", "<div><h1>The title</h1><div>{}</div></div>"])
+def test_a_page_s_frame_is_no_furniture(frame, page):
+    text = main_text(f"<body><nav>Menu</nav>{frame.format(page.format(STORY))}<div class=footer>Site, 1999.</div></body>")
+    assert text.count("Paragraph") == 8 and "Menu" not in text and "Site" not in text and "Go" not in text.split()
+    assert text.startswith("The title\n")
+
+
+def test_a_form_without_title_that_wraps_the_page():
+    assert main_text(f"<body><form><div>{STORY}</div><label>Your name, please</label></form></body>").count("Paragraph") == 8
+    assert "name" not in main_text(f"<body><div>{STORY}</div><form><p>Write to us, we like it.</p><label>Your name</label></form></body>")
+
+
+def test_long_comments_stay_furniture():
+    """Comments longer than the article, also those marked as articles themselves."""
+    short = "<p>A short story, told in one breath. That is all.</p>"
+    for comments in (STORY, f"<article>{STORY}</article>", f"<h3>Replies</h3><article><h4>A</h4>{STORY}</article><article>{STORY}</article>"):
+        for name in ("comments", "comments-section", "post-comments"):
+            page = f"<body><article><h1>T</h1>{short}</article><div class='{name}'>{comments}</div></body>"
+            assert main_text(page) == "T\nA short story, told in one breath. That is all."
+
+
+def test_names_of_subjects_are_no_furniture():
+    assert "Search and rescue" in main_text(f"<article><h1>T</h1>{STORY}<h2 id='search-and-rescue'>Search and rescue</h2>{STORY}</article>")
+
+
+def test_short_parts_of_an_unmarked_story_stay():
+    body = (f"<h1>The title</h1>{STORY}<h2>Parts</h2><ul><li>Eggs<li>Milk</ul><blockquote>So it goes</blockquote>"
+            f"<table><tr><td>a<td>b</table><pre>x = 1</pre>{STORY}<ol><li>Last</ol>")
+    menu = "<div><ul>" + "".join(f"<li><a href=/{i}>Link {i}</a>" for i in range(9)) + "</ul></div>"
+    want = ["The title", "Parts", "Eggs", "Milk", "So it goes", "a", "b", "x = 1", "Last"]
+    text = main_text(f"<body>{menu}<div>{body}</div><div><ul><li>Imprint<li>Terms</ul></div></body>")
+    assert [x for x in text.split("\n") if not x.startswith("Paragraph")] == want
+    text = main_text(f"<body>{menu}<h1>The title</h1><div>{STORY}</div></body>")
+    assert text.startswith("The title\nParagraph") and "Link" not in text
+
+
+@pytest.mark.parametrize("page", ["<b>" * 100000, "<div>" * 100000, "<b>x" * 50000 + "</i>" * 50000, "<div><li>x</li>" * 50000, "<p><span>" * 50000,
+                                  "<b>" * 50000 + "<div>x</div>" * 50000, "<form>" * 50000 + "x", "<div class=menu>x" * 50000])
+def test_open_tags_take_linear_time(page):
+    import time
+
+    began = time.process_time()
+    main_text(page + "<p>End.")
+    assert time.process_time() - began < 4
