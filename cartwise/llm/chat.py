@@ -3,12 +3,12 @@
 A conversation becomes training windows of at most ``budget`` tokens. Running
 sums of turn tokens choose the spans: with room for N new tokens in a window, a
 turn whose tokens all fall into [kN, (k+1)N) of the running sum belongs to span
-k, and a turn across such a border is a span of its own, so spans end at turns. A
-span of whole turns keeps the budget with all that is repeated before it; a turn
-across a border may exceed the room for new tokens and its window then the budget,
-by that much. A window is the system turn
-(if the conversation opens with one), the turns before the span that fit into
-``history`` tokens, and the span. The loss mask covers the assistant texts of
+k, and a turn across such a border is a span of its own, so spans end at turns. A window
+is the system turn (if the conversation opens with one), the turns before the
+span that fit into ``history`` tokens, and the span. A span of whole turns keeps
+the budget with both; beside a long turn of its own span history gives way first,
+then the system turn's repeat, so only a single turn longer than the budget makes
+a longer window, and it stands alone there. The loss mask covers the assistant texts of
 the span alone: a repeated turn is context, never a target twice.
 
 Template: ``<|role|>text<|~end|>`` for each turn. Inside roles and texts ``~``,
@@ -93,21 +93,23 @@ def chat_windows(conversations: DataFrame, budget: int = BUDGET, history: int =
     first, last = F.floor(F.col("before") / new), F.floor((F.col("before") + F.col("n") - 1) / new)
     spans = turns.withColumn("span", F.struct(first.alias("k"), F.when(first != last, F.col("idx")).otherwise(0).alias("i")))
     heads = (spans.groupBy("ck", "conv_id", "span", "sys_n")
-             .agg(F.min("idx").alias("window"), F.min("before").alias("at")))
+             .agg(F.min("idx").alias("window"), F.min("before").alias("at"), (F.lit(budget) - F.sum("n")).alias("room"))
+             .withColumn("repeat", (F.col("sys_n") > 0) & (F.col("sys_n") <= F.col("room")) & (F.col("window") > 1))
+             .withColumn("past", F.least(F.lit(history), F.col("room") - F.when(F.col("repeat"), F.col("sys_n")).otherwise(0))))
     of_span = heads.select(F.col("ck").alias("hc"), F.col("span").alias("hs"), "window")
     fresh = (spans.join(of_span, (F.col("ck") == F.col("hc")) & (F.col("span") == F.col("hs")))
              .select("ck", "conv_id", "window", "idx", "role", "text", "n", F.lit(True).alias("fresh")))
-    # a head at running sum A repeats the turns that begin in [A - history, A)
+    # a head at running sum A repeats the turns that begin in [A - past, A), past being at most history
     block = lambda c: F.floor(c / history)
-    h = heads.select(F.col("ck").alias("hc"), "window", "at", F.col("sys_n").alias("has_system"),
+    h = heads.filter("past > 0").select(F.col("ck").alias("hc"), "window", "at", "past", F.col("sys_n").alias("has_system"),
                      F.explode(F.array(block(F.col("at")), block(F.col("at")) - 1)).alias("hb"))
     past = (turns.withColumn("b", block(F.col("before")))
             .join(h, (F.col("ck") == F.col("hc")) & (F.col("b") == F.col("hb")) & (F.col("before") < F.col("at"))
-                  & (F.col("before") >= F.col("at") - history) & (F.col("idx") < F.col("window"))
+                  & (F.col("before") >= F.col("at") - F.col("past")) & (F.col("idx") < F.col("window"))
                   & ((F.col("idx") > 1) | (F.col("has_system") == 0)))
             .select("ck", "conv_id", "window", "idx", "role", "text", "n", F.lit(False).alias("fresh")))
     opening = (turns.filter("idx = 1 and sys_n > 0").select("ck", "conv_id", "idx", "role", "text", "n")
-               .join(heads.filter("window > 1").select("ck", "window"), "ck")
+               .join(heads.filter("repeat").select("ck", "window"), "ck")
                .select("ck", "conv_id", "window", "idx", "role", "text", "n", F.lit(False).alias("fresh")))
     parts = fresh.unionByName(past).unionByName(opening)
     mark = F.concat(F.lit("<|"), escape_role(F.col("role")), F.lit("|>"))

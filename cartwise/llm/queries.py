@@ -117,9 +117,10 @@ b AS (SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY idx) - n AS before,
              coalesce(max(CASE WHEN idx = 1 AND role = 'system' THEN n END) OVER (PARTITION BY conv_id), 0) AS sys FROM n),
 s AS (SELECT *, greatest(1024 - sys - 192, 256) AS room FROM b),
 k AS (SELECT *, before // room AS k, CASE WHEN before // room <> (before + n - 1) // room THEN idx ELSE 0 END AS i FROM s),
-h AS (SELECT conv_id, k, i, min(idx) AS win, min(before) AS at FROM k GROUP BY ALL),
+g AS (SELECT conv_id, k, i, sys, min(idx) AS win, min(before) AS at, 1024 - sum(n) AS left_over FROM k GROUP BY ALL),
+h AS (SELECT *, sys > 0 AND sys <= left_over AS rep, least(192, left_over - CASE WHEN sys <= left_over AND win > 1 THEN sys ELSE 0 END) AS past FROM g),
 p AS (SELECT k.conv_id, sum(k.chars) AS chars FROM k JOIN h ON k.conv_id = h.conv_id AND (
-        (k.k = h.k AND k.i = h.i) OR (k.idx < h.win AND ((k.idx = 1 AND k.sys > 0) OR k.before >= h.at - 192)))
+        (k.k = h.k AND k.i = h.i) OR (k.idx < h.win AND CASE WHEN k.idx = 1 AND k.sys > 0 THEN h.rep ELSE k.before >= h.at - h.past END))
       GROUP BY k.conv_id)
 SELECT k.conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY idx)) AS turns_sha256,

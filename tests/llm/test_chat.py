@@ -46,6 +46,8 @@ def test_read_back_gives_every_turn_and_target_once(spark):
 
 def test_windows_keep_budget_system_and_history(spark):
     rows = talks(2)
+    rows += [(30, 0, "system", "kind " * 90), *[(30, i, "user", "word " * 4 * i) for i in range(1, 30)]]
+    rows += [(31, 0, "system", "kind " * 20), *[(31, i, "user", "word " * (17 * i % 70)) for i in range(1, 60)]]
     budget, history = 100, 30
     cost = lambda text: -(-len(text) // 4) + 4
     want = ordered(rows)
@@ -56,18 +58,20 @@ def test_windows_keep_budget_system_and_history(spark):
         fresh = w.n_turns - w.n_context
         new = turns[w.window - 1:w.window - 1 + fresh]
         system = turns[0][2] == "system"
+        room = budget - sum(cost(t[3]) for t in new)
+        opening = turns[:1] if system and w.window > 1 and cost(turns[0][3]) <= room else []
+        room = min(history, room - sum(cost(t[3]) for t in opening))
         past, n = [], 0
         for t in reversed(turns[int(system):max(w.window - 1, int(system))]):
             n += cost(t[3])
-            if n > history:
+            if n > room:
                 break
             past.insert(0, t)
-        opening = turns[:1] if system and w.window > 1 else []
         esc = lambda s: s.replace("~", "~0").replace("<|", "~1").replace("|>", "~2")
         lines = [f"<|{esc(r)}|>{esc(x)}<|~end|>" for _, _, r, x in opening + past + new]
         assert w.text == "".join(lines)
         assert w.n_tokens == sum(cost(x) for *_, x in opening + past + new)
-        assert w.n_tokens <= budget or fresh == 1
+        assert w.n_tokens <= budget or w.n_turns == 1
         assert [w.text[t.start:t.start + t.length] for t in w.targets] == [esc(x) for _, _, r, x in new if r == "assistant"]
         seen.setdefault(w.conv_id, []).append((w.window, fresh))
     for c, spans in seen.items():
@@ -96,3 +100,20 @@ def test_odd_roles_read_back(spark):
     talk = [(1, i, r, t) for i, (r, t) in enumerate((r, t) for r in roles for t in ("hi", ">x", "|>", "a<", ""))]
     got = C.read_back(C.chat_windows(spark.createDataFrame(talk, "conv_id bigint, turn bigint, role string, text string"))).first()
     assert got.turns == "".join(f"{r}\n{t}\n" for _, _, r, t in talk) and got.n_turns == len(talk)
+
+
+def test_query_and_sql_agree_where_the_budget_binds(spark, tmp_path):
+    import duckdb
+
+    from cartwise.llm import queries as Q
+
+    rng = random.Random(5)
+    rows = [(c, i, "system" if i == 0 and c % 2 else ("user", "assistant")[i % 2], "word ~ " * rng.choice([1, 20, 90, 300, 700]))
+            for c in range(12) for i in range(25)] + [(50, 0, "system", "long " * 1300), (50, 1, "user", "a"), (50, 2, "assistant", "b" * 3000)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    cols = "conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars"
+    want = con.execute(f"SELECT {cols} FROM ({Q.ORACLES['op7_chat_formatting']}) ORDER BY 1").fetchall()
+    got = Q.op7_chat_formatting(spark, str(tmp_path)).select(*cols.split(", ")).orderBy("conv_id").collect()
+    assert [tuple(r) for r in got] == want
