@@ -1,9 +1,9 @@
 """Staged bulk load (S9, V4): parse, keep what is wrong with a row, swap in whole.
 
-The file's lines are parsed by declared types into a folder beside the table, in one pass
-that counts good and bad rows. With more bad rows than allowed the folder goes and the
-table stays as it is; else the table's location is set to the new folder, one change in
-the catalog, so readers see the old rows or the new ones. Bad rows are written to a reject
+The files' lines are parsed by declared types. A first pass counts good and bad rows: with
+more bad ones than allowed the table stays as it is. Else the good rows are written to a
+folder beside the table, and the table's location is set to it, one change in the
+catalog, so readers see the old rows or the new ones. Bad rows are written to a reject
 table with file, line number, reason and text.
 
 Defined cases: a line equal to the header is no row, an empty line neither; a line ends at
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,23 +77,20 @@ def staged_load(spark: SparkSession, csv_path: str, table: str, schema: T.Struct
     that held the table's rows, left for those who still read it)."""
     previous = next(r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect() if r["col_name"] == "Location")
     stage = f"{previous.rstrip('/')}-load-{uuid.uuid4().hex[:12]}"
-    seen = Observation()
     bad = F.col("reason").isNotNull()
-    good = (_rows(checked_lines(spark, csv_path, schema, required), schema)
-            .observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("bad")).filter(~bad).select("row.*"))
-    try:
-        good.write.parquet(stage)
-    except BaseException:
-        remove(spark, stage)
-        raise
-    n, wrong = seen.get["rows"], seen.get["bad"]
+    lines = _rows(checked_lines(spark, csv_path, schema, required), schema)
+    n, wrong = lines.agg(F.count(F.lit(1)), F.count_if(bad)).first()
     kept = None
     if wrong:
         kept = f"{stage}-rejects"
         rejects(spark, csv_path, schema, required).write.parquet(kept)
     if wrong > max_rejects:
-        remove(spark, stage)
         raise LoadRejected(wrong, kept)
+    try:
+        lines.filter(~bad).select("row.*").write.parquet(stage)
+    except BaseException:
+        remove(spark, stage)
+        raise
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{stage}'")
     spark.catalog.refreshTable(table)
     return {"loaded": n - wrong, "rejected": wrong, "rejects": kept, "location": stage, "previous": previous}
