@@ -102,3 +102,18 @@ def test_a_repeated_append_leaves_one_run(spark, place, monkeypatch):
     assert rows(RU.read_runs(spark, path).filter("run_id = 'late'").selectExpr("metrics['roc_auc']")) == [(0.2,)]
     assert RU.log_run(spark, path, "e=1/x", "b", {}, {}) != RU.log_run(spark, path, "e=1/x", "b", {}, {})
     assert RU.read_runs(spark, path).count() == 5
+
+
+def test_lines_are_parsed_in_one_pass(spark, place, table, monkeypatch):
+    """The stage is written from one parse of the lines, without a filter on what is parsed."""
+    with open(f"{place}/in/a.csv", "w") as f:
+        f.write(f"{HEADER}\n1,2,0.5\nx,1,2\n3,4,1\n")
+    made, parse = [], L.checked_lines
+    monkeypatch.setattr(L, "checked_lines", lambda *a, **k: made.append(parse(*a, **k)) or made[-1])
+    done = L.staged_load(spark, f"{place}/in", table, SCHEMA, max_rejects=1)
+    assert len(made) == 1 and (done["loaded"], done["rejected"]) == (2, 1)
+    assert rows(spark.table(table)) == [(1, 2, 0.5), (3, 4, 1.0)]
+    assert [(r.line, r.reason, r.text) for r in spark.read.parquet(done["rejects"]).collect()] == [(3, "user_id: x is no bigint", "x,1,2")]
+    with open(f"{place}/in/a.csv", "w") as f:
+        f.write(f"{HEADER}\nx,1,2\n")
+    assert L.staged_load(spark, f"{place}/in", table, SCHEMA, max_rejects=1)["loaded"] == 0 and spark.table(table).count() == 0
