@@ -6,6 +6,9 @@ table — no sort and no single-task percentile buffer.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,8 +40,6 @@ def quality_report(features: DataFrame, keys=ID_COLUMNS, rate_cols=RATE_FEATURES
     """V5 (A9–A13): rows, duplicate keys, nulls and infinities per column, min/max
     of the rate columns, negatives per count column — as (check, column, value)."""
     rows: list[tuple[str, str, F.Column]] = [("row_count", "*", F.count(F.lit(1)))]
-    rows.append(("duplicate_keys", ",".join(keys),
-                 F.count(F.lit(1)) - F.count_distinct(*[F.col(k) for k in keys])))
     for c in features.columns:
         rows.append(("null_count", c, F.count_if(F.col(c).isNull())))
     for c in numeric_columns(features):
@@ -52,7 +53,13 @@ def quality_report(features: DataFrame, keys=ID_COLUMNS, rate_cols=RATE_FEATURES
         rows.append(("max", c, F.max(c)))
     for c in count_cols:
         rows.append(("negative_count", c, F.count_if(F.col(c) < 0)))
-    return _long(rows, features)
+    # keys are counted apart: beside a distinct count every other aggregate would be shuffled per key
+    known = [F.col(k).isNotNull() for k in keys]
+    per_key = features.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    extra = (F.coalesce(F.sum("_n"), F.lit(0)) - F.count_if(reduce(and_, known))).cast("double")
+    doubles = per_key.agg(extra.alias("value")).select(
+        F.lit("duplicate_keys").alias("check"), F.lit(",".join(keys)).alias("column"), "value")
+    return _long(rows, features).unionByName(doubles)
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -63,15 +70,15 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 def warehouse_checks(features: DataFrame) -> DataFrame:
     """The load checks of the warehouse script as one row."""
-    # null where either id is: such rows are no pair
-    pair_text = F.concat(F.col("user_id").cast("string"), F.lit("-"), F.col("product_id").cast("string"))
+    # rows where either id is null are no pair; counted apart, so that the shuffle holds ids alone
+    pairs = (features.select("user_id", "product_id").filter("user_id IS NOT NULL AND product_id IS NOT NULL")
+             .distinct().agg(F.count(F.lit(1)).alias("unique_customer_product_pairs")))
 
     def bad_rate(c):
         return F.count_if((F.col(c) < 0) | (F.col(c) > 1))
 
-    return features.agg(
+    found = features.agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.count_distinct(pair_text).alias("unique_customer_product_pairs"),
         F.count_if(F.col("user_id").isNull()).alias("null_user_ids"),
         F.count_if(F.col("product_id").isNull()).alias("null_product_ids"),
         F.count_if(F.col("user_product_purchase_count") < 0).alias("negative_purchase_counts"),
@@ -81,6 +88,8 @@ def warehouse_checks(features: DataFrame) -> DataFrame:
         bad_rate("user_aisle_purchase_share").alias("invalid_aisle_shares"),
         bad_rate("product_reorder_rate").alias("invalid_product_reorder_rates"),
     )
+    # both sides are single rows
+    return found.crossJoin(F.broadcast(pairs)).select("row_count", "unique_customer_product_pairs", *found.columns[1:])
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:

@@ -314,3 +314,21 @@ def test_null_products_equal_sql_on_tables_with_removed_parts(spark, sf001, tmp_
         assert sorted(map(str, got)) == sorted(map(str, want)), name
         nulls += sum(None in r for r in got)
     assert nulls > 0
+
+
+def test_quality_counts_keys_apart(spark):
+    """Distinct keys are counted over the keys alone, not beside every other aggregate."""
+    from cartwise.operators import quality as QC
+    from cartwise.sources.schemas import FEATURE_SCHEMA
+
+    def row(user, item):
+        return tuple(user if f.name == "user_id" else item if f.name == "product_id" else f.dataType.fromInternal(1) if f.dataType.simpleString() != "double"
+                     else 1.0 for f in FEATURE_SCHEMA.fields)
+
+    df = spark.createDataFrame([row(1, 2), row(1, 2), row(1, None), row(1, None), row(None, 2), row(3, 4)], FEATURE_SCHEMA)
+    report, checks = QC.quality_report(df), QC.warehouse_checks(df)
+    value = {(r["check"], r["column"]): r["value"] for r in report.collect()}
+    assert value[("duplicate_keys", "user_id,product_id")] == 4.0 and value[("row_count", "*")] == 6.0
+    assert checks.first()["unique_customer_product_pairs"] == 2 and checks.columns[1] == "unique_customer_product_pairs"
+    for out in (report, checks):
+        assert "distinct" not in out._jdf.queryExecution().executedPlan().toString().lower()
