@@ -26,7 +26,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.functions.handoff import remove
+from cartwise.functions.handoff import remove, written
 from cartwise.operators import features as FT
 
 MANIFEST = "path string, length bigint, modified bigint, batch string, seq int"
@@ -99,8 +99,12 @@ class PairState:
         lines = lines.filter(F.col("order_id").isNotNull())
         batch = f"batch-{uuid.uuid4().hex[:12]}"
         history = FT.prior_orders(orders).select("order_id", "user_id", "order_number")
-        _typed(FT.pair_sums(lines.join(history, "order_id"))).write.parquet(f"{self.path}/{batch}/pairs")
-        lines.join(history, "order_id", "left_anti").write.parquet(f"{self.path}/{batch}/waiting")
+        # one join serves both: a line without a prior order has no ``_known``
+        joined, step = written(lines.join(history.withColumn("_known", F.lit(True)), "order_id", "left"), "append")
+        known_lines = F.col("_known").isNotNull()
+        _typed(FT.pair_sums(joined.filter(known_lines))).write.option("compression", "zstd").parquet(f"{self.path}/{batch}/pairs")
+        _lines(joined.filter(~known_lines)).write.parquet(f"{self.path}/{batch}/waiting")
+        remove(self.spark, step)
         seq = max((r[4] for r in known), default=0) + 1
         rows = known + [(p, *listed[p], batch, seq) for p in new] + [(None, None, None, batch, seq)]
         done = {"version": self._commit(rows, at), "files": new, "rebuilt": changed}
