@@ -332,3 +332,41 @@ def test_quality_counts_keys_apart(spark):
     assert checks.first()["unique_customer_product_pairs"] == 2 and checks.columns[1] == "unique_customer_product_pairs"
     for out in (report, checks):
         assert "distinct" not in out._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_lines_numbered_beside_hot_orders_and_pairs(spark):
+    """Cart positions and first orders of heavy and ordinary keys, nulls and repeats included."""
+    import datetime as dt
+
+    from cartwise.sources import adapter as AD
+
+    day = dt.datetime(2020, 1, 1)
+    line = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_shipdate timestamp, l_quantity double, l_extendedprice double"
+    rows = [(1, i, i % 3, 1, day, 1.0, 2.0) for i in range(600)]                       # a hot order
+    rows += [(k, i, 7 if i else None, 1, day, 1.0, 2.0) for k in range(2, 302) for i in range(2)]  # pairs of one user
+    rows += [(None, 1, 5, 1, day, 1.0, 2.0)] * 3
+    li = spark.createDataFrame(rows, line)
+    orders = spark.createDataFrame([(k, 1 if k < 200 else None, "prior", k) for k in range(1, 302)],
+                                   "order_id long, user_id long, eval_set string, order_number int")
+    got = AD.basket_lines(li, orders, None).collect()
+    AD.release_cached()
+    at, first = {}, {}
+    want = []
+    for k, n, p, *_ in sorted((r for r in rows if r[0] is not None), key=lambda r: (r[0], r[1])):
+        at[k] = at.get(k, 0) + 1
+        u = 1 if k < 200 else None
+        first.setdefault((u, p), k)
+        want.append((u, p, k, at[k], "prior", k, int(k > first[(u, p)])))
+    key = lambda r: tuple((x is not None, x) for x in r)
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
+
+
+def test_lines_are_moved_once_by_order(spark):
+    """Numbering and the join with the orders share one shuffle of the lines."""
+    from cartwise.sources import adapter as AD
+
+    lines = spark.range(20_000).selectExpr("id div 2 AS l_orderkey", "CAST(id % 2 AS INT) AS l_linenumber", "id AS l_partkey", "1L AS l_suppkey",
+                                           "timestamp'2020-01-01' AS l_shipdate", "1D AS l_quantity", "1D AS l_extendedprice")
+    orders = spark.range(10_000).selectExpr("id AS order_id", "id AS user_id", "'prior' AS eval_set", "1 AS order_number")
+    plan = AD.order_lines(lines, orders.hint("shuffle_merge"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(l_orderkey") + plan.count("Exchange hashpartitioning(order_id") == 2
