@@ -1,0 +1,74 @@
+"""Size estimates, and forests fitted as parts side by side."""
+
+from __future__ import annotations
+
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
+
+from cartwise.functions.joins import estimated_size_bytes, input_size_bytes, sized_broadcast
+from cartwise.plans import models as M
+from cartwise.plans import subforests as SF
+
+
+def _rows(spark, path, n=400):
+    df = spark.range(n).select(F.col("id").alias("user_id"), (F.col("id") % 7).cast("double").alias("a"),
+                               (F.col("id") % 11).cast("double").alias("b"),
+                               ((F.col("id") % 7 > 3) & (F.col("id") % 11 > 2)).cast("int").alias("target"))
+    df.coalesce(1).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_sizes_of_files_are_known(spark, tmp_path):
+    df = _rows(spark, str(tmp_path / "t"))
+    size = estimated_size_bytes(df)
+    assert isinstance(size, int) and 0 < size < 1 << 20
+    # a join's estimate is a product, what it reads is a sum
+    assert 0 < input_size_bytes(df.join(df.select("user_id"), "user_id")) <= 2 * size
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = df.join(sized_broadcast(df.select("user_id")), "user_id")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan
+        plan = df.join(sized_broadcast(df.select("user_id"), 1), "user_id")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_small_tables_are_fitted_in_one_row_partition(spark, tmp_path, monkeypatch):
+    _rows(spark, str(tmp_path / "t")).repartition(6).write.parquet(str(tmp_path / "six"))
+    seen = {}
+
+    def fit_parts(forest, rows, parts, finish):
+        seen.update(rows=rows.rdd.getNumPartitions(), parts=parts)
+        return finish(forest.fit(rows))
+
+    monkeypatch.setattr(SF, "fit_parts", fit_parts)
+    M.fit(M.tree_pipeline("random_forest", ["a", "b"], numTrees=8, maxDepth=2), spark.read.parquet(str(tmp_path / "six")))
+    assert seen == {"rows": 1, "parts": min(2, spark.sparkContext.defaultParallelism)}
+
+
+def test_parts_of():
+    assert SF.parts_of(100, 12, 1) == 12
+    assert SF.parts_of(100, 12, 1, 8) == 2
+    assert SF.parts_of(100, 12, 12) == 1
+    assert SF.parts_of(3, 12, 1) == 1
+
+
+def test_joined_forest_is_its_parts_together(spark, tmp_path):
+    df = _rows(spark, str(tmp_path / "t")).withColumn("label", F.col("target").cast("double"))
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df).select("features", "label")
+    forest = RandomForestClassifier(numTrees=11, maxDepth=3, seed=5)
+    finished = []
+    model = SF.fit_parts(forest, rows, 3, lambda m: finished.append(m) or m)
+    assert sorted(m.getNumTrees for m in finished) == [3, 4, 4]
+    assert model.getNumTrees == len(model.trees) == 11 and model.getOrDefault("numTrees") == 11
+    assert model.totalNumNodes == sum(m.totalNumNodes for m in finished)
+    got = sorted(t.toDebugString.split("\n", 1)[1] for t in model.trees)
+    assert got == sorted(t.toDebugString.split("\n", 1)[1] for m in finished for t in m.trees)
+    path = str(tmp_path / "m")
+    model.write().save(path)
+    again = type(model).load(path)
+    p = again.transform(rows).select("probability", "label").distinct().collect()
+    assert {r["label"] for r in p if r["probability"][1] >= 0.5} == {1.0}
