@@ -72,3 +72,11 @@ def test_joined_forest_is_its_parts_together(spark, tmp_path):
     again = type(model).load(path)
     p = again.transform(rows).select("probability", "label").distinct().collect()
     assert {r["label"] for r in p if r["probability"][1] >= 0.5} == {1.0}
+
+
+def test_rows_of_unknown_size_are_fitted_as_they_lie(spark):
+    df = spark.createDataFrame([(i, float(i % 7), float(i % 11), int(i % 7 > 3)) for i in range(60)],
+                               "user_id long, a double, b double, target int")
+    assert input_size_bytes(df) is None
+    model = M.fit(M.tree_pipeline("decision_tree", ["a", "b"], maxDepth=2), df)
+    assert M.predict(model, df, keep=["user_id"]).filter("prediction = label").count() == 60
