@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import threading
+import time
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
@@ -80,3 +84,32 @@ def test_rows_of_unknown_size_are_fitted_as_they_lie(spark):
     assert input_size_bytes(df) is None
     model = M.fit(M.tree_pipeline("decision_tree", ["a", "b"], maxDepth=2), df)
     assert M.predict(model, df, keep=["user_id"]).filter("prediction = label").count() == 60
+
+
+def test_forests_keep_the_rows_nodes_and_grow_the_same_trees(spark, tmp_path):
+    df = _rows(spark, str(tmp_path / "t"))
+    pipe = M.tree_pipeline("random_forest", ["a", "b"], numTrees=3, maxDepth=4)
+    assert pipe.getStages()[-1].getCacheNodeIds()
+    plain = pipe.copy()
+    plain.getStages()[-1].setCacheNodeIds(False)
+    trees = [[t.toDebugString.split("\n", 1)[1] for t in M.fit(p, df).stages[-1].trees] for p in (pipe, plain)]
+    assert trees[0] == trees[1]
+
+
+def test_fits_hold_no_more_cores_than_there_are(spark):
+    cores, held, most, lock = spark.sparkContext.defaultParallelism, [0], [0], threading.Lock()
+
+    def fit(row_partitions):
+        with SF.cores_held(spark, row_partitions):
+            mine = min(row_partitions, cores)
+            with lock:
+                held[0] += mine
+                most[0] = max(most[0], held[0])
+            time.sleep(0.02)
+            with lock:
+                held[0] -= mine
+
+    with ThreadPoolExecutor(max_workers=24) as pool:
+        list(pool.map(fit, [1, 2, 3, 10_000] * 6))
+    assert most[0] == cores and held[0] == 0
+    assert SF._HELD[spark.sparkContext.applicationId] == 0
