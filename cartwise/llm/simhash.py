@@ -111,14 +111,16 @@ def _probes(cells: DataFrame, radius: int) -> DataFrame:
 def grid_links(nodes: DataFrame, distance: int) -> DataFrame:
     """Pairs (a, b) of component labels whose fingerprints lie within ``distance`` bits.
 
-    ``nodes``: fp, comp. Same-component pairs are left out.
+    ``nodes``: fp, comp. Same-component pairs are left out. Both sides are shuffled: the
+    probes are made by an explode, whose size Spark takes for that of its input, so it would
+    broadcast seventeen rows for each one it sees.
     """
     cells = _cells(nodes)
     p = _probes(cells, distance // 2).toDF("pf", "pc", "cell", "same")
     s = cells.toDF("sf", "sc", "cell")
     close = (F.expr(f"pc <> sc and (not same or pf < sf) and bit_count({unary('pf')} ^ {unary('sf')}) <= {distance}"
                     f" and bit_count(pf ^ sf) <= {distance}"))
-    return p.join(s, (p.cell == s.cell) & close).select(
+    return p.hint("merge").join(s.hint("merge"), (p.cell == s.cell) & close).select(
         F.least("pc", "sc").alias("a"), F.greatest("pc", "sc").alias("b"))
 
 

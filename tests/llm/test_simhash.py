@@ -103,6 +103,16 @@ def test_pairs_inside_a_component_are_not_emitted(spark):
     assert S.grid_links(nodes, 3).count() == 0
 
 
+def test_exploded_probes_are_not_broadcast(spark, tmp_path):
+    """A plan takes the probes for as small as their nodes, and there are 34 a node."""
+    rng = random.Random(9)
+    path = str(tmp_path / "nodes")
+    spark.createDataFrame([(f, f) for f in (rng.getrandbits(63) for _ in range(500))], "fp long, comp long").write.parquet(path)
+    for distance in (1, 2, 3):
+        plan = S.grid_links(spark.read.parquet(path), distance)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_manhattan_distance_of_the_embedding_is_a_lower_bound(spark):
     rng = random.Random(1)
     rows = [(rng.getrandbits(63), rng.getrandbits(63) * rng.choice((1, -1))) for _ in range(50)]
